@@ -328,8 +328,8 @@ def louvain(
     nodes: DataFrame,
     edges: DataFrame,
     max_levels: int = 10,
-    max_sweeps: int = 20,
-    min_gain: float = 1e-7,
+    max_sweeps: int = 10,
+    min_gain: float = 1e-4,
     seed: int = 7,
     weight: str | None = None,
 ):
@@ -396,20 +396,20 @@ def louvain(
 def _louvain_sweep(rows: DataFrame, level_nodes: DataFrame, assign: DataFrame, m: float, salt: int, min_gain: float) -> DataFrame:
     cv = assign.select(F.col("node").alias("v"), F.col("c").alias("cv"))
     tot = assign.join(level_nodes, "node").groupBy("c").agg(F.sum("k").alias("tot"))
-    # weight from u into each neighbouring community (self rows left out)
-    a = (
-        rows.where(F.col("u") != F.col("v")).join(cv, "v")
-        .groupBy("u", "cv").agg(F.sum("w").alias("a"))
-    )
     me = assign.select(F.col("node").alias("u"), F.col("c").alias("cur")).join(
         level_nodes.select(F.col("node").alias("u"), "k"), "u"
     )
     active = me.where(F.pmod(F.xxhash64("u", F.lit(salt)), F.lit(2)) == 0)
-    cand = (
+    # weight from each active u into each neighbouring community (self rows left out)
+    a = (
+        rows.where(F.col("u") != F.col("v")).join(cv, "v")
+        .groupBy("u", "cv").agg(F.sum("w").alias("a"))
+    )
+    cand = cut_lineage(
         a.join(active, "u")
         .join(tot.select(F.col("c").alias("cv"), "tot"), "cv")
         .select(
-            "u", "cv", "cur", "k", "a",
+            "u", "cv", "cur", "k",
             (
                 F.col("a") / F.lit(m)
                 - F.col("k") * (F.col("tot") - F.when(F.col("cv") == F.col("cur"), F.col("k")).otherwise(0.0))
@@ -419,15 +419,20 @@ def _louvain_sweep(rows: DataFrame, level_nodes: DataFrame, assign: DataFrame, m
     )
     stay = cand.where(F.col("cv") == F.col("cur")).select("u", F.col("gain").alias("stay_gain"))
     best = cand.where(F.col("cv") != F.col("cur")).groupBy("u").agg(
-        F.min_by(F.struct("cv", "gain"), F.struct((-F.col("gain")).alias("ng"), F.col("cv"))).alias("b")
-    )
-    # staying in a community with no neighbour inside: gain = -k (tot - k) / 2m^2
-    own = me.join(tot.select(F.col("c").alias("cur"), "tot"), "cur").select(
-        "u", (-F.col("k") * (F.col("tot") - F.col("k")) / F.lit(2.0 * m * m)).alias("own_gain")
+        F.min_by(F.struct("cv", "gain"), F.struct((-F.col("gain")).alias("ng"), F.col("cv"))).alias("b"),
+        F.first("k").alias("k"),
+        F.first("cur").alias("cur"),
     )
+    # staying where no neighbour is: gain = -k (tot - k) / 2m^2
     moves = (
-        best.join(own, "u").join(stay, "u", "left")
-        .select("u", F.col("b.cv").alias("to"), F.col("b.gain").alias("g"), F.coalesce("stay_gain", "own_gain").alias("sg"))
+        best.join(tot.select(F.col("c").alias("cur"), "tot"), "cur")
+        .join(stay, "u", "left")
+        .select(
+            "u",
+            F.col("b.cv").alias("to"),
+            F.col("b.gain").alias("g"),
+            F.coalesce(F.col("stay_gain"), -F.col("k") * (F.col("tot") - F.col("k")) / F.lit(2.0 * m * m)).alias("sg"),
+        )
         .where(F.col("g") > F.col("sg") + F.lit(min_gain))
     )
     return (
@@ -440,27 +445,34 @@ def _louvain_sweep(rows: DataFrame, level_nodes: DataFrame, assign: DataFrame, m
 
 
 def indexed_adjacency(edges: DataFrame, bucket_size: int = 10_000) -> DataFrame:
-    """``(src, idx, dst)`` with ``idx`` dense in ``0..outdeg-1`` per source.
+    """``(src, idx, dst, dst_deg)`` with ``idx`` dense in ``0..outdeg(src)-1``.
 
     Built in salted buckets: a source with degree d is split into
     ceil(d / bucket_size) hash buckets, each numbered by its own window, and
     bucket offsets come from a window over the (small) per-bucket counts. So
-    no single task sorts all edges of a hub.
+    no single task sorts all edges of a hub. ``dst_deg`` is the out-degree of
+    the target (NULL for a sink), so a walker carries the degree it needs for
+    its next step and each step is a single join.
     """
+    from pyspark.sql.window import Window
+
     e = edges.select("src", "dst").distinct()
     deg = e.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
     e = e.join(deg, "src").withColumn(
         "bucket", F.pmod(F.xxhash64("dst"), F.ceil(F.col("deg") / F.lit(bucket_size)).cast("long"))
     )
-    from pyspark.sql.window import Window
-
-    rn = F.row_number().over(Window.partitionBy("src", "bucket").orderBy("dst")) - 1
-    e = e.withColumn("rn", rn)
+    e = e.withColumn("rn", F.row_number().over(Window.partitionBy("src", "bucket").orderBy("dst")) - 1)
     counts = e.groupBy("src", "bucket").agg(F.count(F.lit(1)).alias("cnt"))
     offs = counts.withColumn(
-        "off", F.coalesce(F.sum("cnt").over(Window.partitionBy("src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        "off",
+        F.coalesce(
+            F.sum("cnt").over(Window.partitionBy("src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)),
+            F.lit(0),
+        ),
     ).select("src", "bucket", "off")
-    return e.join(offs, ["src", "bucket"]).select("src", (F.col("off") + F.col("rn")).alias("idx"), "dst", "deg")
+    indexed = e.join(offs, ["src", "bucket"]).select("src", (F.col("off") + F.col("rn")).alias("idx"), "dst")
+    dst_deg = deg.select(F.col("src").alias("dst"), F.col("deg").alias("dst_deg"))
+    return indexed.join(dst_deg, "dst", "left").select("src", "idx", "dst", "dst_deg")
 
 
 def random_walks(
@@ -473,35 +485,29 @@ def random_walks(
 ) -> DataFrame:
     """Uniform first-order walks (node2vec with p = q = 1): ``(walk_id, path array<long>)``.
 
-    Each step joins walkers with the indexed adjacency on ``(node, idx)``,
-    where ``idx = hash(seed, walk, step) mod outdeg`` (reproducible, no
-    ``rand()``). A walk that reaches a node without out-edges ends there.
+    Each step is one left join of the walkers with the indexed adjacency on
+    ``(node, idx)``, where ``idx = hash(seed, walk, step) mod outdeg`` is
+    reproducible (no ``rand()``). The composite key spreads the walkers that
+    sit on a hub over all of its edges. A walk that reaches a node without
+    out-edges ends there. The walk is carried as an array column, so no
+    per-walk regrouping is needed.
     """
-    adj = indexed_adjacency(edges).persist()
-    deg = adj.select(F.col("src").alias("node"), "deg").distinct()
-    starts = nodes.select(F.col("id").alias("node")).distinct()
+    adj = cut_lineage(indexed_adjacency(edges))
+    deg = adj.groupBy(F.col("src").alias("node")).agg(F.count(F.lit(1)).alias("deg"))
+    starts = nodes.select(F.col("id").alias("node")).distinct().join(deg, "node", "left")
     walkers = starts.select(
-        F.explode(F.sequence(F.lit(0), F.lit(walks_per_node - 1))).alias("r"), "node"
-    ).select(
-        F.struct("node", "r").alias("walk_id"), "node", F.array("node").alias("path"), F.lit(True).alias("alive")
-    )
+        F.explode(F.sequence(F.lit(0), F.lit(walks_per_node - 1))).alias("r"), "node", "deg"
+    ).select(F.struct("node", "r").alias("walk_id"), "node", "deg", F.array("node").alias("path"))
     walkers = cut_lineage(walkers)
+    hops = adj.select(F.col("src").alias("node"), "idx", F.col("dst").alias("nxt"), F.col("dst_deg").alias("nxt_deg"))
     for step in range(1, walk_length):
-        live = walkers.where("alive")
-        done = walkers.where(~F.col("alive"))
-        hop = live.join(deg, "node", "left").withColumn(
-            "idx", F.pmod(F.xxhash64(F.lit(seed), F.col("walk_id.node"), F.col("walk_id.r"), F.lit(step)), F.col("deg"))
-        )
-        nxt = hop.join(
-            adj.select(F.col("src").alias("node"), "idx", F.col("dst").alias("nxt")), ["node", "idx"], "left"
-        )
-        walkers = done.unionByName(
-            nxt.select(
-                "walk_id",
-                F.coalesce("nxt", "node").alias("node"),
-                F.when(F.col("nxt").isNotNull(), F.concat("path", F.array("nxt"))).otherwise(F.col("path")).alias("path"),
-                F.col("nxt").isNotNull().alias("alive"),
-            )
+        idx = F.pmod(F.xxhash64(F.lit(seed), F.col("walk_id.node"), F.col("walk_id.r"), F.lit(step)), F.col("deg"))
+        moved = walkers.withColumn("idx", F.when(F.col("deg") > 0, idx)).join(hops, ["node", "idx"], "left")
+        walkers = moved.select(
+            "walk_id",
+            F.coalesce("nxt", "node").alias("node"),
+            F.when(F.col("nxt").isNotNull(), F.col("nxt_deg")).alias("deg"),
+            F.when(F.col("nxt").isNotNull(), F.concat("path", F.array("nxt"))).otherwise(F.col("path")).alias("path"),
         )
         if step % checkpoint_every == 0:
             walkers = cut_lineage(walkers)

@@ -21,11 +21,11 @@ RECOMMENDED_CONF = {
 }
 
 
-def tuned_builder(master: str = "local[8]", shuffle_partitions: int = 8):
+def tuned_builder(master: str = "local[8]", shuffle_partitions: int = 8, driver_memory: str = "8g"):
     b = SparkSession.builder.master(master)
     for k, v in RECOMMENDED_CONF.items():
         b = b.config(k, v)
-    return b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    return b.config("spark.sql.shuffle.partitions", str(shuffle_partitions)).config("spark.driver.memory", driver_memory)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -59,4 +59,11 @@ def cut_lineage(df, eager: bool = True):
     replay every previous round.
     """
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    if not eager:
+        return df.checkpoint(eager=False)
+    # cache first: the checkpoint write then reads the cached blocks instead
+    # of recomputing the plan a second time
+    df.persist()
+    out = df.checkpoint(eager=True)
+    df.unpersist()
+    return out
