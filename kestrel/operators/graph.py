@@ -114,7 +114,8 @@ def pagerank(
     spark = nodes.sparkSession
     n = _partitions(spark)
     ids = nodes.select("id").distinct().repartition(n, "id").persist()
-    e = edges.select("src", "dst")
+    # read once for both the out-degrees and the weighted edge list
+    e = edges.select("src", "dst").persist()
     outdeg = e.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
     while True:
         hubs = outdeg.where(F.col("deg") > hub_degree).select(F.col("src").alias("hub"))
@@ -130,6 +131,8 @@ def pagerank(
     else:
         light, heavy = weighted, None
     light = light.repartition(n, "src").persist()
+    light.count()
+    e.unpersist()
 
     ranks = ids.select("id", F.lit(1.0 - damping).alias("rank"))
     for it in range(1, max_iter + 1):
@@ -343,7 +346,8 @@ def louvain(
     rarely swap into each other's community). Each node picks the neighbour
     community with the largest modularity gain (ties: smallest community id)
     and moves only if that beats staying. A sweep that does not raise
-    modularity is undone. Then communities are contracted into nodes with a
+    modularity by more than ``min_gain`` is undone (two such sweeps in a row
+    end the level). Then communities are contracted into nodes with a
     ``groupBy`` over the adjacency rows and the next level starts.
     """
     spark = nodes.sparkSession
@@ -365,7 +369,7 @@ def louvain(
         start_q = q
         fails = 0
         for sweep in range(max_sweeps):
-            moved = _louvain_sweep(rows, level_nodes, assign, m, seed + 1000 * level + sweep, min_gain)
+            moved = _louvain_sweep(rows, level_nodes, assign, m, seed + 1000 * level + sweep, 1e-12)
             moved = cut_lineage(moved)
             new_q = _modularity_rows(rows, moved).head()[0]
             if new_q > q + min_gain:
@@ -393,7 +397,7 @@ def louvain(
     return membership.select("id", F.col("c").alias("community")), levels
 
 
-def _louvain_sweep(rows: DataFrame, level_nodes: DataFrame, assign: DataFrame, m: float, salt: int, min_gain: float) -> DataFrame:
+def _louvain_sweep(rows: DataFrame, level_nodes: DataFrame, assign: DataFrame, m: float, salt: int, min_move: float) -> DataFrame:
     cv = assign.select(F.col("node").alias("v"), F.col("c").alias("cv"))
     tot = assign.join(level_nodes, "node").groupBy("c").agg(F.sum("k").alias("tot"))
     me = assign.select(F.col("node").alias("u"), F.col("c").alias("cur")).join(
@@ -433,7 +437,7 @@ def _louvain_sweep(rows: DataFrame, level_nodes: DataFrame, assign: DataFrame, m
             F.col("b.gain").alias("g"),
             F.coalesce(F.col("stay_gain"), -F.col("k") * (F.col("tot") - F.col("k")) / F.lit(2.0 * m * m)).alias("sg"),
         )
-        .where(F.col("g") > F.col("sg") + F.lit(min_gain))
+        .where(F.col("g") > F.col("sg") + F.lit(min_move))
     )
     return (
         assign.join(moves.select(F.col("u").alias("node"), "to"), "node", "left")

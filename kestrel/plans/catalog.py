@@ -325,7 +325,7 @@ def q_node2vec(spark, base):
 
 
 def q_node_features(spark, base):
-    return flows.graph_node_features(spark, base)
+    return flows.compute_graph_node_features(spark, base)
 
 
 def q_export_nodes(spark, base):

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from kestrel.operators import balance, clean, evaluate, features, graph, models
 from kestrel.plans import fixtures
+from kestrel.session import scratch_path
 
 BATCH_NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 BATCH_FEATURES = BATCH_NUMERIC + ["l_shipdateVec", "l_linestatusVec"]
@@ -60,7 +61,23 @@ GRAPH_FULL = ["betweenness", "days", "louvain", "pageRank", "partner", "triangle
 GRAPH_BASIC = ["days", "partner", "views"]
 
 
+_FEATURE_TABLES: dict[tuple[str, str], str] = {}
+
+
 def graph_node_features(spark: SparkSession, base: str) -> DataFrame:
+    """G8 as a materialised table: computed once per application and input
+    folder, written under the shared checkpoint folder and read back by every
+    later query (the five graph scores are the expensive part)."""
+    key = (spark.sparkContext.applicationId, base)
+    path = _FEATURE_TABLES.get(key)
+    if path is None:
+        path = scratch_path(spark, "node-features")
+        compute_graph_node_features(spark, base).write.mode("overwrite").parquet(path)
+        _FEATURE_TABLES[key] = path
+    return spark.read.parquet(path)
+
+
+def compute_graph_node_features(spark: SparkSession, base: str) -> DataFrame:
     """Nodes with betweenness, PageRank, Louvain, triangles and node2vec columns."""
     nodes, _, merged = graph_frames(spark, base)
     nodes = nodes.persist()

@@ -81,3 +81,29 @@ def test_entry_runs(spark):
         return
     rows = E.entry(spark).collect()
     assert len(rows) == 1 and 0.0 <= rows[0]["accuracy"] <= 1.0
+
+
+def test_encoded_schema_stream_keeps_first_row_of_each_file(spark):
+    from kestrel.sources.schemas import ENCODED_ACCIDENTS_SCHEMA, ACCIDENTS_SCHEMA, NODE_FEATURES_SCHEMA
+
+    assert len(ACCIDENTS_SCHEMA) == 49 and len(ENCODED_ACCIDENTS_SCHEMA) == 33 and len(NODE_FEATURES_SCHEMA) == 15
+    cols = [F.lit(float(i)).alias(f.name) for i, f in enumerate(ENCODED_ACCIDENTS_SCHEMA.fields)]
+    df = spark.range(10).select(*cols)
+    src = files.write_features(df.repartition(2), scratch_path(spark, "t-enc"), header=False)
+    out = scratch_path(spark, "t-enc-out")
+    s = stream.prepare(stream.read_csv_stream(spark, src, ENCODED_ACCIDENTS_SCHEMA, header=False), {"Severity": "label"})
+    stream.run_batches(s, lambda b, e: stream.write_epoch(b, e, out), scratch_path(spark, "t-enc-ckpt"))
+    back = spark.read.parquet(out)
+    assert back.count() == 10 and "label" in back.columns
+
+
+def test_accidents_csv_scan_by_position(spark, tmp_path):
+    from kestrel.sources.schemas import ACCIDENTS_SCHEMA
+
+    header = ",".join(f.name for f in ACCIDENTS_SCHEMA.fields)
+    vals = ["x" if f.dataType.simpleString() == "string" else "1" for f in ACCIDENTS_SCHEMA.fields]
+    p = tmp_path / "acc.csv"
+    p.write_text(header + "\n" + ",".join(vals) + "\n")
+    df = files.read_csv(spark, str(p), ACCIDENTS_SCHEMA, header=True)
+    r = df.head()
+    assert r["Severity"] == 1 and r["Distance(mi)"] == 1.0 and r["ID"] == "x"
