@@ -61,7 +61,7 @@ def q_modes_with_nulls(spark, base):
 
 
 def q_correlation(spark, base):
-    return _round(profile.correlation(read_table(spark, base, "lineitem")), ["corr"])
+    return _round(profile.correlation(read_table(spark, base, "lineitem", balance=True)), ["corr"])
 
 
 def q_top_orders(spark, base):
@@ -107,7 +107,7 @@ def q_impute_mode(spark, base):
 
 
 def q_token_counts(spark, base):
-    docs = features.add_tokens(read_table(spark, base, "documents"), "text", "tokens")
+    docs = features.add_tokens(read_table(spark, base, "documents", balance=True), "text", "tokens")
     return docs.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -98,7 +98,7 @@ def price_text_part(spark, base):
 
 
 def time_text(spark, base):
-    li = read_table(spark, base, "lineitem")
+    li = read_table(spark, base, "lineitem", balance=True)
     o = read_table(spark, base, "orders")
     return li.join(o, li.l_orderkey == o.o_orderkey).selectExpr(*TIME_TEXT_JOIN[1])
 

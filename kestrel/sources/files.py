@@ -13,9 +13,24 @@ TABLES = (
 CSV_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
-def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """Parquet table ``<base>/<name>.parquet``; filters and projections push into the scan."""
-    return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, base: str, name: str, balance: bool = False) -> DataFrame:
+    """Parquet table ``<base>/<name>.parquet``; filters and projections push into the scan.
+
+    A file written as a single row group is read by a single task whatever
+    the split size. With ``balance`` (for CPU-heavy per-row work), when the
+    scan yields fewer partitions than the cluster's
+    default parallelism, rows are spread round-robin over that many
+    partitions so per-row work (hashes, sketches, parsing) uses every core.
+    Projections and filters are still pushed below the repartition into the
+    scan. A large input has many splits, so the check (planning only, no
+    job) leaves it untouched.
+    """
+    df = spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+    if balance:
+        want = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < want:
+            df = df.repartition(want)
+    return df
 
 
 def load_tables(spark: SparkSession, base: str, names=TABLES) -> dict[str, DataFrame]:
