@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from kestrel.functions.columns import element, epoch_seconds, parse_vector, tokens
 from kestrel.operators.profile import _q
+from kestrel.session import parallelism
 
 
 def add_tokens(df: DataFrame, column: str, out: str | None = None, sep: str = " ") -> DataFrame:
@@ -116,7 +117,7 @@ def text_embedding(
     """
     out = out or column + "Vec"
     tok = df.withColumn("_tokens", F.coalesce(tokens(_q(column)), F.array().cast("array<string>")))
-    parts = num_partitions or max(1, df.sparkSession.sparkContext.defaultParallelism)
+    parts = num_partitions or max(1, parallelism(df.sparkSession))
     model = Word2Vec(
         vectorSize=vector_size,
         minCount=min_count,

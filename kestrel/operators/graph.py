@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kestrel.session import cut_lineage
+from kestrel.session import cut_lineage, parallelism
 
 # ---------------------------------------------------------------- load / shape
 
@@ -539,7 +539,7 @@ def node2vec(
     """
     walks = random_walks(nodes, edges, walk_length, walks_per_node, seed)
     sentences = walks.select(F.transform("path", lambda x: x.cast("string")).alias("sentence"))
-    parts = num_partitions or max(1, nodes.sparkSession.sparkContext.defaultParallelism)
+    parts = num_partitions or max(1, parallelism(nodes.sparkSession))
     model = Word2Vec(
         vectorSize=dimension, windowSize=window, minCount=0, seed=seed, maxIter=max_iter,
         numPartitions=parts, inputCol="sentence", outputCol="v", maxSentenceLength=max(1000, walk_length),

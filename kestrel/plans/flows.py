@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from kestrel.operators import balance, clean, evaluate, features, graph, models
 from kestrel.plans import fixtures
-from kestrel.session import scratch_path
+from kestrel.session import application_id, scratch_path
 
 BATCH_NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 BATCH_FEATURES = BATCH_NUMERIC + ["l_shipdateVec", "l_linestatusVec"]
@@ -68,7 +68,7 @@ def graph_node_features(spark: SparkSession, base: str) -> DataFrame:
     """G8 as a materialised table: computed once per application and input
     folder, written under the shared checkpoint folder and read back by every
     later query (the five graph scores are the expensive part)."""
-    key = (spark.sparkContext.applicationId, base)
+    key = (application_id(spark), base)
     path = _FEATURE_TABLES.get(key)
     if path is None:
         path = scratch_path(spark, "node-features")

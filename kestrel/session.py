@@ -28,6 +28,21 @@ def tuned_builder(master: str = "local[8]", shuffle_partitions: int = 8, driver_
     return b.config("spark.sql.shuffle.partitions", str(shuffle_partitions)).config("spark.driver.memory", driver_memory)
 
 
+def parallelism(spark: SparkSession) -> int:
+    """Default parallelism of the cluster (shuffle partitions when no context is reachable)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - e.g. a Connect session has no SparkContext
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def application_id(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001
+        return str(id(spark))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -35,13 +50,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     temporary folder is set, so ``DataFrame.checkpoint()`` is always reliable
     (written to storage, never ``localCheckpoint``).
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect: the server's spark.checkpoint.dir applies
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="kestrel-ckpt-")
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
