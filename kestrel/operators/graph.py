@@ -260,7 +260,8 @@ def _brandes_batch(src_ids: DataFrame, adj: DataFrame, max_levels: int | None):
         if nxt.isEmpty():
             break
         levels.append(nxt)
-        visited = cut_lineage(visited.unionByName(nxt.select("s", "v")))
+        # a flat union of checkpointed levels: no extra materialisation per level
+        visited = visited.unionByName(nxt.select("s", "v"))
     if len(levels) == 1:
         return None
     deltas = []

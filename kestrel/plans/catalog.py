@@ -222,14 +222,16 @@ def q_fit_stages(spark, base):
 
 
 def q_save_load(spark, base):
+    """The re-loaded model scores every test row exactly like the fitted one."""
     train, test = flows.batch_split(spark, base)
     m = models.logistic(train, 10, 0.3, 0.8)
     path = models.save_model(m, scratch_path(spark, "logistic-model"))
     back = models.load_model(path, "LogisticRegressionModel")
-    a = models.score(m, test).select(F.col("prediction").alias("p1"), "label", F.monotonically_increasing_id().alias("i"))
-    b = models.score(back, test).select(F.col("prediction").alias("p2"), F.monotonically_increasing_id().alias("i"))
-    j = a.join(b, "i")
-    return j.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("p1") == F.col("p2")).alias("n_equal"))
+    back = back.setPredictionCol("p2").setRawPredictionCol("raw2").setProbabilityCol("prob2")
+    both = back.transform(models.score(m, test))
+    return both.agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("prediction") == F.col("p2")).alias("n_equal")
+    )
 
 
 def q_prediction_preview(spark, base):

@@ -257,6 +257,17 @@ def modularity() -> str:
     )
 
 
+def save_load() -> str:
+    """Every test row of the batch flow is scored identically by the re-loaded
+    model: ``n_equal = n`` = rows left after imputation and the NaN / NULL drop,
+    in hash buckets 70..99 of (orderkey, linenumber, partkey)."""
+    b = "CAST(('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey)), 1, 8)) AS BIGINT) % 100"
+    return (
+        f"WITH t AS {_gappy_lineitem()} SELECT count(*) AS n, count(*) AS n_equal FROM t "
+        f"WHERE NOT isnan(l_extendedprice) AND NOT isnan(l_discount) AND l_shipdate IS NOT NULL AND {b} >= 70"
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     bool_src = "(" + fx.sql_select(fx.BOOL_TEXT_LINEITEM, "lineitem") + ")"
     price_src = "(" + fx.sql_select(fx.PRICE_TEXT_PART, "part") + ")"
@@ -332,6 +343,7 @@ def oracle_sql() -> dict[str, str]:
         "triangles": triangles(),
         "triangle_total": triangle_total(),
         "modularity": modularity(),
+        "save_load": save_load(),
         "csv_roundtrip": "SELECT * FROM lineitem",
         "stream_counts": "SELECT event_type, count(*) AS n, round(sum(value), 6) AS value_sum FROM events GROUP BY 1",
     }
