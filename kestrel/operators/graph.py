@@ -135,6 +135,10 @@ def pagerank(
     e.unpersist()
 
     ranks = ids.select("id", F.lit(1.0 - damping).alias("rank"))
+    if heavy is not None:
+        # ranks feed two joins per round (light edges and the hub broadcast);
+        # materialise every round so the plan does not double each round
+        checkpoint_every = 1
     for it in range(1, max_iter + 1):
         contrib = light.join(ranks, light.src == ranks.id).select("dst", (F.col("rank") * F.col("w")).alias("c"))
         if heavy is not None:
@@ -341,8 +345,8 @@ def louvain(
 ):
     """Louvain communities (Blondel et al. 2008). Returns ``(assignment, levels)``.
 
-    ``assignment`` is ``(id, community)`` (community = smallest-id-free label:
-    the id of a member node), ``levels`` is ``(level, modularity)``.
+    ``assignment`` is ``(id, community)`` (a community is labelled by the id of
+    one of its members), ``levels`` is ``(level, modularity)``.
 
     Local moving runs as synchronous sweeps; in each sweep only the nodes
     whose hash with the sweep number is even may move (so two neighbours
@@ -352,31 +356,34 @@ def louvain(
     modularity by more than ``min_gain`` is undone (two such sweeps in a row
     end the level). Then communities are contracted into nodes with a
     ``groupBy`` over the adjacency rows and the next level starts.
+
+    Per sweep the adjacency rows are joined once with both ends' communities
+    and grouped to ``(u, cu, cv, a, self_w)``; that one table gives the
+    modularity of the assignment and the move candidates of the next sweep.
     """
     spark = nodes.sparkSession
-    rows = _sym_rows(edges, weight)
-    # nodes without edges are singleton communities and never move
+    rows = cut_lineage(_sym_rows(edges, weight))
     all_ids = nodes.select(F.col("id").alias("node")).distinct()
-    rows = cut_lineage(rows)
     membership = cut_lineage(all_ids.select(F.col("node").alias("id"), F.col("node").alias("c")))
     level_rows = []
     for level in range(max_levels):
         k = rows.groupBy(F.col("u").alias("node")).agg(F.sum("w").alias("k"))
-        level_nodes = cut_lineage(rows.select(F.col("u").alias("node")).distinct().join(k, "node"))
+        level_nodes = cut_lineage(k)
         two_m = rows.agg(F.sum("w")).head()[0] or 0.0
         if two_m == 0:
             break
         m = two_m / 2.0
         assign = cut_lineage(level_nodes.select("node", F.col("node").alias("c")))
-        q = _modularity_rows(rows, assign).head()[0]
+        weights = cut_lineage(_community_weights(rows, assign))
+        q = _modularity_from(weights, assign, level_nodes, two_m)
         start_q = q
         fails = 0
         for sweep in range(max_sweeps):
-            moved = _louvain_sweep(rows, level_nodes, assign, m, seed + 1000 * level + sweep, 1e-12)
-            moved = cut_lineage(moved)
-            new_q = _modularity_rows(rows, moved).head()[0]
+            moved = cut_lineage(_louvain_sweep(weights, level_nodes, assign, m, seed + 1000 * level + sweep, 1e-12))
+            moved_weights = cut_lineage(_community_weights(rows, moved))
+            new_q = _modularity_from(moved_weights, moved, level_nodes, two_m)
             if new_q > q + min_gain:
-                assign, q, fails = moved, new_q, 0
+                assign, weights, q, fails = moved, moved_weights, new_q, 0
             else:
                 fails += 1
                 if fails >= 2:
@@ -385,33 +392,50 @@ def louvain(
             if level == 0:
                 level_rows.append((level, q))
             break
-        # compose membership and contract
         membership = cut_lineage(
             membership.join(assign.select(F.col("node").alias("c"), F.col("c").alias("c2")), "c", "left")
             .select("id", F.coalesce(F.col("c2"), F.col("c")).alias("c"))
         )
         level_rows.append((level, q))
-        cu = assign.select(F.col("node").alias("u"), F.col("c").alias("cu"))
-        cv = assign.select(F.col("node").alias("v"), F.col("c").alias("cv"))
+        # contract: community pairs become the adjacency rows of the next level
         rows = cut_lineage(
-            rows.join(cu, "u").join(cv, "v").groupBy(F.col("cu").alias("u"), F.col("cv").alias("v")).agg(F.sum("w").alias("w"))
+            weights.groupBy(F.col("cu").alias("u"), F.col("cv").alias("v"))
+            .agg(F.sum(F.coalesce(F.col("a"), F.lit(0.0)) + F.coalesce(F.col("self_w"), F.lit(0.0))).alias("w"))
         )
     levels = spark.createDataFrame(level_rows, "level int, modularity double")
     return membership.select("id", F.col("c").alias("community")), levels
 
 
-def _louvain_sweep(rows: DataFrame, level_nodes: DataFrame, assign: DataFrame, m: float, salt: int, min_move: float) -> DataFrame:
+def _community_weights(rows: DataFrame, assign: DataFrame) -> DataFrame:
+    """``(u, cu, cv, a, self_w)``: weight from node u into community cv (self rows apart)."""
+    cu = assign.select(F.col("node").alias("u"), F.col("c").alias("cu"))
     cv = assign.select(F.col("node").alias("v"), F.col("c").alias("cv"))
+    return (
+        rows.join(cv, "v").join(cu, "u")
+        .groupBy("u", "cu", "cv")
+        .agg(
+            F.sum(F.when(F.col("u") != F.col("v"), F.col("w"))).alias("a"),
+            F.sum(F.when(F.col("u") == F.col("v"), F.col("w"))).alias("self_w"),
+        )
+    )
+
+
+def _modularity_from(weights: DataFrame, assign: DataFrame, level_nodes: DataFrame, two_m: float) -> float:
+    inside = weights.where(F.col("cu") == F.col("cv")).agg(
+        F.sum(F.coalesce(F.col("a"), F.lit(0.0)) + F.coalesce(F.col("self_w"), F.lit(0.0)))
+    ).head()[0] or 0.0
+    tot = assign.join(level_nodes, "node").groupBy("c").agg(F.sum("k").alias("tot"))
+    sq = tot.agg(F.sum(F.col("tot") * F.col("tot"))).head()[0] or 0.0
+    return inside / two_m - sq / (two_m * two_m)
+
+
+def _louvain_sweep(weights: DataFrame, level_nodes: DataFrame, assign: DataFrame, m: float, salt: int, min_move: float) -> DataFrame:
     tot = assign.join(level_nodes, "node").groupBy("c").agg(F.sum("k").alias("tot"))
     me = assign.select(F.col("node").alias("u"), F.col("c").alias("cur")).join(
         level_nodes.select(F.col("node").alias("u"), "k"), "u"
     )
     active = me.where(F.pmod(F.xxhash64("u", F.lit(salt)), F.lit(2)) == 0)
-    # weight from each active u into each neighbouring community (self rows left out)
-    a = (
-        rows.where(F.col("u") != F.col("v")).join(cv, "v")
-        .groupBy("u", "cv").agg(F.sum("w").alias("a"))
-    )
+    a = weights.where(F.col("a").isNotNull()).select("u", "cv", "a")
     cand = cut_lineage(
         a.join(active, "u")
         .join(tot.select(F.col("c").alias("cv"), "tot"), "cv")

@@ -264,7 +264,8 @@ def save_load() -> str:
     b = "CAST(('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey)), 1, 8)) AS BIGINT) % 100"
     return (
         f"WITH t AS {_gappy_lineitem()} SELECT count(*) AS n, count(*) AS n_equal FROM t "
-        f"WHERE NOT isnan(l_extendedprice) AND NOT isnan(l_discount) AND l_shipdate IS NOT NULL AND {b} >= 70"
+        f"WHERE NOT coalesce(isnan(l_extendedprice), FALSE) AND NOT coalesce(isnan(l_discount), FALSE) "
+        f"AND l_shipdate IS NOT NULL AND {b} >= 70"
     )
 
 
