@@ -321,6 +321,21 @@ def q_louvain_levels(spark, base):
     return _round(levels, ["modularity"])
 
 
+def q_betweenness_summary(spark, base):
+    """Min / max / sum of betweenness and nodes written, from the node-feature table."""
+    feats = flows.graph_node_features(spark, base)
+    return _round(graph.run_summary(feats, "betweenness"), ["min_score", "max_score", "score_sum"])
+
+
+def q_louvain_summary(spark, base):
+    """Community count and modularity of the Louvain partition in the node-feature table."""
+    feats = flows.graph_node_features(spark, base)
+    _, _, merged = flows.graph_frames(spark, base)
+    q = graph.modularity(merged, feats.select("id", F.col("louvain").alias("community")))
+    n = feats.agg(F.countDistinct("louvain").alias("communities"), F.count(F.lit(1)).alias("nodes"))
+    return _round(n.crossJoin(q), ["modularity"])
+
+
 def q_node2vec(spark, base):
     nodes, _, merged = flows.graph_frames(spark, base)
     return graph.node2vec(nodes, merged)
@@ -471,6 +486,8 @@ QUERIES = {
     "modularity": q_modularity,
     "louvain": q_louvain,
     "louvain_levels": q_louvain_levels,
+    "betweenness_summary": q_betweenness_summary,
+    "louvain_summary": q_louvain_summary,
     "node2vec": q_node2vec,
     "node_features": q_node_features,
     "export_nodes": q_export_nodes,
