@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import kestrel
 from kestrel.session import scratch_path
 
 # word separators of the text contracts: blank and \t \n \v \f \r
@@ -69,3 +73,22 @@ def salted_join(
     for k in keys:
         cond = cond & left[k].eqNullSafe(right[f"_r_{k}"])
     return left.join(right, cond, how).drop("_salt", "_r_salt", *[f"_r_{k}" for k in keys])
+
+
+def prepare_python(spark: SparkSession, rows: int = 512) -> None:
+    """Make Python tasks ready: bounded Arrow batches, and this package on the workers' path.
+
+    The package is sent with ``addPyFile`` once per application (Spark's file
+    server gives it to each executor), so that a worker needs no installation.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    sc = spark.sparkContext
+    if getattr(sc, "_kestrel_sent", None) == sc.applicationId:
+        return
+    root = Path(kestrel.__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="kestrel-")) / "kestrel.zip"  # read by the driver alone
+    with zipfile.ZipFile(archive, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    sc.addPyFile(str(archive))
+    sc._kestrel_sent = sc.applicationId

@@ -2,22 +2,39 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import exact_dedup, mixing, syncmers, url_reputation
+from kestrel.llm import bpe, exact_dedup, mixing, simhash, syncmers, toxicity, url_reputation
 from kestrel.llm.common import table
 
+BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
+
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents")).documents
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN)
+
+
 def op7_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def op8_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.sample_model(docs, table(spark, sf_dir, "labels"))).drop("_row")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents")).drop("_row")
 
@@ -30,7 +47,10 @@ def op10_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_mix_sources": op3_mix_sources,
+    "op5_simhash_gray": op5_simhash_gray,
+    "op6_bpe_round_trip": op6_bpe_round_trip,
     "op7_syncmer_fingerprints": op7_syncmer_fingerprints,
+    "op8_weak_toxicity": op8_weak_toxicity,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_url_reputation": op10_url_reputation,
 }
