@@ -6,17 +6,29 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import bpe, exact_dedup, mixing, simhash, syncmers, toxicity, url_reputation
+from kestrel.llm import bpe, exact_dedup, html_extract, license_rules, mixing, simhash, suffix_dedup, syncmers, toxicity, url_reputation
 from kestrel.llm.common import table
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_rules.scan(table(spark, sf_dir, "documents"))
+
+
+def op2_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents")).documents
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_suffix_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("_row")
+
+
 def op5_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -46,7 +58,10 @@ def op10_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_license_rules": op1_license_rules,
+    "op2_html_blocks": op2_html_blocks,
     "op3_mix_sources": op3_mix_sources,
+    "op4_suffix_runs": op4_suffix_runs,
     "op5_simhash_gray": op5_simhash_gray,
     "op6_bpe_round_trip": op6_bpe_round_trip,
     "op7_syncmer_fingerprints": op7_syncmer_fingerprints,
@@ -56,6 +71,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_license_rules": license_rules.oracle_sql(),
     "op3_mix_sources": mixing.oracle_sql(),
     "op9_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,

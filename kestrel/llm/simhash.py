@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import materialise, salted_join, prepare_python
+from kestrel.llm.common import materialise, prepare_python, salted_join
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -18,6 +18,7 @@ HASH_SEED = 42
 BLOCKS = 4  # blocks of 16 bits: fingerprints within 3 bits agree on one of them
 SUB_BLOCKS = 4  # blocks of 12 bits of what is left, for block values that many share
 HOT_ROWS = 100_000
+SALTS = 8
 FAN = 8  # children of an index node
 PAIRS = 1 << 20  # node pairs expanded at once
 CHUNK_ROWS = 1 << 18
@@ -242,11 +243,11 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = salted_join(both.where("v > u"), least, ["u"], ["v"]).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = salted_join(both.where("v > u"), least, ["u"], ["v"], salts=SALTS).select(F.col("v").alias("u"), F.col("m").alias("v"))
         down = large.where("u <> v").distinct()
         down = down.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         least = down.groupBy("u").agg(F.min("v").alias("m"))
-        joined = salted_join(down, least, ["u"], ["v"])
+        joined = salted_join(down, least, ["u"], ["v"], salts=SALTS)
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
         links = materialise(small.where("u <> v").distinct(), "simhash-links")
         now = tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
@@ -275,7 +276,9 @@ def near_duplicates(
     named = fps.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     best = named.groupBy("root").agg(F.min("first").alias("best"))
     named = salted_join(named.select("fp", "root"), best, ["root"], ["fp"])
-    out = salted_join(rows, named.select("fp", "best"), ["fp"], ["_row"])
+    # two written tables: a fingerprint that many rows share is split by Spark's skew join
+    named = materialise(named.select(F.col("fp").alias("_fp"), "best"), "simhash-named")
+    out = rows.join(named, F.col("fp") == F.col("_fp"))
     return out.select("_row", "doc_id", "fp", F.col("best.doc_id").alias("component_id"), F.col("best._row").alias("keep_row"))
 
 
