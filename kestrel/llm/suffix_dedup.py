@@ -8,30 +8,29 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.llm.common import materialise, prepare_python
-from kestrel.llm.suffix_merge import ORDER, cut, merge, neighbour_lcp, pack, place, unpack, unplace
+from kestrel.llm.suffix_merge import ORDER, PLACE, cut, lcp_from, merge, neighbour_lcp, pack, place, unpack, unplace
 
 WINDOW = 100  # bytes of a repeated string
 GRAM = 32  # bytes of an anchor
 REACH = WINDOW - GRAM  # an anchor starts up to this far into a window
-CHUNK = 1 << 22  # bytes that anchors are computed over at once
+CHUNK = 1 << 18  # bytes that anchors are computed over at once: arrays that fit a core's cache
 RUN_ENTRIES = 1 << 17  # entries of a sorted run
 RANGE_ENTRIES = 1 << 16  # entries meant for a merge range
 MAX_RANGES = 100_000
 SAMPLES_A_RANGE = 4
-PLACE_BITS = 24
+FEW = 32  # contexts of an anchor that are compared with each other at once
+PLACE_BITS = 20  # of a position among them
 
 
-def _mixed(h: np.ndarray, size: int, to: int) -> np.ndarray:
+def _doubled(h: np.ndarray, size: int, to: int) -> np.ndarray:
     """Hashes of ``to`` bytes at each position from those of ``size`` bytes (size < to <= 2 size)."""
-    a, b = h[: len(h) - (to - size)], h[to - size :]
-    out = a * np.uint64(0x9E3779B97F4A7C15)
-    out ^= out >> np.uint64(29)
-    out += b * np.uint64(0xD6E8FEB86659FD93)
-    out ^= out >> np.uint64(32)
+    out = h[: len(h) - (to - size)] * np.uint64(0x9E3779B97F4A7C15 + 2 * to)
+    out += h[to - size :]
     return out
 
 
@@ -47,7 +46,9 @@ def anchors(raw: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.nd
     h, size = _BYTE[raw], 1
     while size < GRAM:
         to = min(2 * size, GRAM)
-        h, size = _mixed(h, size, to), to
+        h, size = _doubled(h, size, to), to
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
     low = (h >> np.uint64(PLACE_BITS) << np.uint64(PLACE_BITS)) | np.arange(len(h), dtype=np.uint64)
     size = 1
     while size < REACH + 1:
@@ -108,6 +109,18 @@ def _anchor_rows(hash_only: bool):
     return run
 
 
+def _pack_spans(spans: np.ndarray) -> bytes:
+    """Rows of (row, start, end) by row and start, as differences, compressed."""
+    spans = spans[np.lexsort((spans[:, 1], spans[:, 0]))]
+    columns = np.column_stack([np.diff(spans[:, 0], prepend=0), spans[:, 1], spans[:, 2] - spans[:, 1]])
+    return b"\0" + zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(columns.T).tobytes())
+
+
+def _unpack_spans(blob: bytes) -> np.ndarray:
+    columns = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob[1:]), np.int64).reshape(3, -1)
+    return np.column_stack([np.cumsum(columns[0]), columns[1], columns[1] + columns[2]])
+
+
 class _Runs:
     """Collects entries of a task, and turns every RUN_ENTRIES of them into a sorted run cut by ``splitters``.
 
@@ -129,11 +142,15 @@ class _Runs:
         size = np.fromiter(map(len, entries), np.int64, len(entries))
         lcp = neighbour_lcp(entries)
         again = np.r_[False, (size[1:] == size[:-1]) & (lcp[1:] >= size[1:] - ORDER)]
-        spans = [self.covers(e) for e, x in zip(entries, again.tolist(), strict=True) if x]
-        rows = [(target, pack(part)) for target, part in cut([e for e, x in zip(entries, again.tolist(), strict=True) if not x], self.splitters)]
-        if spans:
-            # known spans travel with the runs; they are no part of any range
-            rows.append((rows[0][0] if rows else 0, b"\0" + np.array(spans, np.int64).tobytes()))
+        spans = [self.covers(entries[i]) for i in np.flatnonzero(again).tolist()]
+        # what an entry shares with the last one that stays is what it shares with that one's equals
+        stay = np.flatnonzero(~again)
+        lcp, entries = lcp[stay], [entries[i] for i in stay.tolist()]
+        rows = [(target, pack(entries[a:b], lcp[a:b])) for target, a, b in cut(entries, self.splitters)]
+        # known spans travel with the runs, dealt evenly; they are no part of any range
+        for part, (target, _) in zip(np.array_split(np.array(spans, np.int64).reshape(-1, 3), len(rows)), list(rows), strict=True):
+            if len(part):
+                rows.append((target, _pack_spans(part)))
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["target", "blob"])
 
 
@@ -143,13 +160,12 @@ def context_entry(raw: bytes, doc_id: int | None, row: int, pos: int, far: int,
 
 
 def _context_span(entry: bytes) -> tuple[int, int, int]:
-    _, row, pos = unplace(entry)
-    far, near = entry[-ORDER - 2], entry[-ORDER - 1]
-    return row, pos - far, pos - near + WINDOW
+    _, _, row, pos = PLACE.unpack_from(entry, len(entry) - ORDER)
+    return row, pos - entry[-ORDER - 2], pos - entry[-ORDER - 1] + WINDOW
 
 
 def _window_span(entry: bytes) -> tuple[int, int, int]:
-    _, row, pos = unplace(entry)
+    _, _, row, pos = PLACE.unpack_from(entry, len(entry) - ORDER)
     return row, pos, pos + WINDOW
 
 
@@ -222,47 +238,85 @@ def _open_windows(group: list[tuple[bytes, int]], whole: bool, head: bool, tail:
             yield e, high, low
 
 
+def _paired_spans(group: list[tuple[bytes, int]]) -> Iterator[tuple[int, int, int]]:
+    """Repeated spans among a few distinct contexts of one anchor, all of which are here.
+
+    What two of them share to the right is the least prefix length between them in sorted order, known from the merge;
+    only the left parts are compared. The later one's windows within both matches are repeated.
+    """
+    heads = []
+    for e, _ in group:
+        far, near = e[-ORDER - 2], e[-ORDER - 1]
+        heads.append((e[-ORDER:], e[WINDOW - near : -ORDER - 2], far, near))
+    for i in range(len(group) - 1):
+        shared = WINDOW
+        for j in range(i + 1, len(group)):
+            shared = min(shared, group[j][1])
+            # beyond the shorter suffix other bytes follow
+            right = min(shared, WINDOW - heads[i][3], WINDOW - heads[j][3])
+            later, other = (heads[i], heads[j]) if heads[i][0] > heads[j][0] else (heads[j], heads[i])
+            low = max(later[3], WINDOW - right)
+            high = min(later[2], len(other[1]))
+            if low <= high:
+                high = min(later[2], lcp_from(later[1], other[1], 0))
+                if low <= high:
+                    _, _, row, pos = PLACE.unpack(later[0])
+                    yield row, pos - high, pos - low + WINDOW
+
+
 def _merge_ranges(kind: str):
     """Merge the runs of each range; yields spans that are repeated and, for contexts, windows left to compare."""
 
+    covers = _context_span if kind == "contexts" else _window_span
+
     def solve(blobs: list[bytes]):
+        known = [_unpack_spans(b) for b in blobs if b[:1] == b"\0"]
+        if known:
+            yield batch(np.concatenate(known), [])
         spans, ctxs = [], []
-        covers = _context_span if kind == "contexts" else _window_span
-        runs = [unpack(b) for b in blobs if b[:1] != b"\0"]
-        for b in blobs:
-            if b[:1] == b"\0":
-                spans += np.frombuffer(b[1:], np.int64).reshape(-1, 3).tolist()
-        last, first_group, group = b"", True, []
+        size, first_group, group = -1, True, []
 
         def close(end: bool):
             nonlocal group, first_group
-            if group:
-                for e, far, near in _open_windows(group, not (first_group or end), first_group, end):
+            whole = not (first_group or end)
+            if whole and len(group) <= FEW:
+                if len(group) > 1:
+                    spans.extend(_paired_spans(group))
+            elif group:
+                for e, far, near in _open_windows(group, whole, first_group, end):
                     doc_id, row, pos = unplace(e)
-                    size = WINDOW - e[-ORDER - 1]
-                    ctx = e[size : size + far][::-1] + e[: WINDOW - near]
-                    ctxs.append((row, doc_id, pos - far, ctx))
+                    right = WINDOW - e[-ORDER - 1]
+                    ctxs.append((row, doc_id, pos - far, e[right : right + far][::-1] + e[: WINDOW - near]))
+            if group:
                 first_group = False
             group = []
 
-        for k, e in merge(runs):
-            if len(e) == len(last) and k >= len(e) - ORDER:
+        for k, e in merge([unpack(b) for b in blobs if b[:1] != b"\0"]):
+            if len(e) == size and k >= size - ORDER:
                 spans.append(covers(e))
+                if len(spans) >= 1 << 16:
+                    yield batch(spans, ctxs)
+                    spans, ctxs = [], []
             elif kind == "contexts":
                 if k < GRAM:
                     close(False)
-                group.append((e, min(k, WINDOW - e[-ORDER - 1])))
-            last = e
-            if len(spans) + len(ctxs) >= 1 << 16:
-                yield batch(spans, ctxs)
-                spans, ctxs = [], []
+                group.append((e, k))
+            size = len(e)
         close(True)
         yield batch(spans, ctxs)
 
     def batch(spans, ctxs):
-        rows = [(r, None, s, e, None) for r, s, e in spans] + [(r, d, s, None, c) for r, d, s, c in ctxs]
+        a = np.array(spans, np.int64).reshape(-1, 3)
+        row, doc_id, start, ctx = zip(*ctxs, strict=True) if ctxs else ((), (), (), ())
+        none = [None] * len(a)
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 5, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)],
+            [
+                pa.array(np.concatenate([a[:, 0], np.array(row, np.int64)])),
+                pa.array(none + list(doc_id), pa.int64()),
+                pa.array(np.concatenate([a[:, 1], np.array(start, np.int64)])),
+                pa.array(np.concatenate([a[:, 2], np.zeros(len(row), np.int64)])),
+                pa.array(none + list(ctx), pa.binary()),
+            ],
             names=["_row", "doc_id", "start", "end", "ctx"],
         )
 
@@ -307,44 +361,54 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     2. The suffixes at the other anchors, to the end of their last window and extended backwards over their first, are sorted in each
        task to runs of distinct strings, cut into ranges by sampled splitters, exchanged front-coded, and
        merged by loser trees. All windows of an equal string are repeated, but for the first in document order.
-    3. Among distinct strings of one anchor, the prefixes known from the merge leave the windows that can still be equal;
-       these go through the same merge sort as strings of 100 bytes.
+    3. Among the distinct strings of one anchor, up to FEW are compared by the prefixes known from the merge and
+       their left parts. Where there are more, or a range cuts them, these prefixes leave the windows that can still be equal;
+       they go through the same merge sort as strings of 100 bytes.
     """
-    spark = docs.sparkSession
+    found = _repeated_anchors(docs)
+    _release(docs.sparkSession)
+    contexts = _merge_contexts(docs, found)
+    _release(docs.sparkSession)
+    windows = _merge_windows(contexts.where(F.col("ctx").isNotNull()).select("_row", "doc_id", "start", "ctx"))
+    _release(docs.sparkSession)
+    return contexts.where(F.col("ctx").isNull()).select("_row", "start", "end").union(windows.select("_row", "start", "end"))
+
+
+def _repeated_anchors(docs: DataFrame) -> DataFrame:
+    """``_row, a``: the anchors whose hash occurs more than once (``a``: position and both reaches)."""
     rows = docs.select("_row", "t")
-    once = rows.mapInArrow(_anchor_rows(True), "h long").groupBy("h").agg(F.count(F.lit(1)).alias("c"))
-    again = materialise(once.where("c > 1").select("h"), "suffix-again")
-    _release(spark)
+    counts = rows.mapInArrow(_anchor_rows(True), "h long").groupBy("h").agg(F.count(F.lit(1)).alias("c"))
+    again = materialise(counts.where("c > 1").select("h"), "suffix-again")
+    del counts
+    _release(docs.sparkSession)
     found = rows.mapInArrow(_anchor_rows(False), "h long, _row long, a long")
-    found = materialise(found.join(again, "h", "left_semi").drop("h"), "suffix-anchors")
-    _release(spark)
+    return materialise(found.join(again, "h", "left_semi").drop("h"), "suffix-anchors")
+
+
+def _merge_contexts(docs: DataFrame, found: DataFrame) -> DataFrame:
     n = found.count()
     ranges = max(1, min(MAX_RANGES, -(-n // RANGE_ENTRIES)))
     texts = docs.select("_row", "doc_id", "t")
-
     # a bounded sample of suffixes, from which the ranges are cut
     rare = found.where(F.pmod(F.xxhash64("_row", "a"), F.lit(max(1, n // (SAMPLES_A_RANGE * ranges)))) == 0)
     rare = rare.limit(2 * SAMPLES_A_RANGE * MAX_RANGES).groupBy("_row").agg(F.collect_list("a").alias("found"))
     samples = texts.join(F.broadcast(rare), "_row").mapInArrow(_context_samples, "e binary").collect()
     splitters = _splitters([bytes(r["e"]) for r in samples], ranges)
-
     lists = found.groupBy("_row").agg(F.collect_list("a").alias("found"))
     runs = texts.join(lists, "_row").mapInArrow(_context_runs(splitters), "target int, blob binary")
-    merged = _merged(runs, ranges, "contexts", "suffix-contexts")
-    _release(spark)
+    return _merged(runs, ranges, "contexts", "suffix-contexts")
 
-    left = merged.where(F.col("ctx").isNotNull()).select("_row", "doc_id", "start", "ctx")
+
+def _merge_windows(left: DataFrame) -> DataFrame:
     size = left.agg(F.sum(F.octet_length("ctx") - (WINDOW - 1)).alias("n"), F.count(F.lit(1)).alias("c")).first()
-    ranges = max(1, min(MAX_RANGES, -(-(size["n"] or 0) // RANGE_ENTRIES)))
+    n = size["n"] or 0
+    ranges = max(1, min(MAX_RANGES, -(-n // RANGE_ENTRIES)))
     some = left.where(F.pmod(F.xxhash64("_row", "start"), F.lit(max(1, size["c"] // (SAMPLES_A_RANGE * ranges)))) == 0)
     some = some.limit(2 * SAMPLES_A_RANGE * MAX_RANGES).select(F.substring("ctx", 1, WINDOW).alias("e")).collect()
     splitters = _splitters([bytes(r["e"]) + bytes(ORDER) for r in some], ranges)
-    parts = max(1, min(1 << 14, (size["n"] or 0) // RUN_ENTRIES))
-    windows = left.repartition(parts).mapInArrow(_window_runs(splitters), "target int, blob binary")
-    more = _merged(windows, ranges, "windows", "suffix-windows")
-    _release(spark)
-    spans = merged.where(F.col("ctx").isNull()).select("_row", "start", "end")
-    return spans.union(more.select("_row", "start", "end"))
+    parts = max(1, min(1 << 14, n // RUN_ENTRIES))
+    runs = left.repartition(parts).mapInArrow(_window_runs(splitters), "target int, blob binary")
+    return _merged(runs, ranges, "windows", "suffix-windows")
 
 
 def _remove(batches):

@@ -6,7 +6,7 @@ An entry is a string followed by ORDER bytes that say where it stands; entries s
 from __future__ import annotations
 
 import struct
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -22,7 +22,8 @@ def place(doc_id: int | None, row: int, pos: int) -> bytes:
 
 
 def unplace(entry: bytes) -> tuple[int | None, int, int]:
-    missing, doc_id, row, pos = PLACE.unpack(entry[-ORDER:])
+    """(doc_id, row, position) of an entry."""
+    missing, doc_id, row, pos = PLACE.unpack_from(entry, len(entry) - ORDER)
     return (None if missing else doc_id - SIGN), row, pos
 
 
@@ -41,9 +42,9 @@ def neighbour_lcp(entries: list[bytes]) -> np.ndarray:
     return out
 
 
-def pack(entries: list[bytes]) -> bytes:
-    """Front-coded run: shared prefix lengths, rest lengths, rests; compressed."""
-    lcp = neighbour_lcp(entries)
+def pack(entries: list[bytes], lcp: np.ndarray | None = None) -> bytes:
+    """Front-coded run: shared prefix lengths, rest lengths, rests; compressed. ``lcp``: known prefix lengths."""
+    lcp = neighbour_lcp(entries) if lcp is None else np.r_[0, lcp[1:]]
     rests = [e[k:] for e, k in zip(entries, lcp.tolist(), strict=True)]
     lengths = np.fromiter(map(len, rests), np.uint8, len(rests))
     body = struct.pack("<I", len(entries)) + lcp.astype(np.uint8).tobytes() + lengths.tobytes() + b"".join(rests)
@@ -61,21 +62,17 @@ def unpack(blob: bytes) -> Iterator[tuple[int, bytes]]:
         yield k, last
 
 
-def cut(entries: list[bytes], splitters: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
-    """(range number, its part) of a sorted run; range r ends before splitters[r]."""
+def cut(entries: list[bytes], splitters: list[bytes]) -> Iterator[tuple[int, int, int]]:
+    """(range number, start, end) of the parts of a sorted run; range r ends before splitters[r]."""
     at = 0
-    for r, s in enumerate(splitters):
-        end = bisect_left(entries, s, at)
-        if end > at:
-            yield r, entries[at:end]
+    while at < len(entries):
+        r = bisect_right(splitters, entries[at])
+        end = bisect_left(entries, splitters[r], at) if r < len(splitters) else len(entries)
+        yield r, at, end
         at = end
-        if at == len(entries):
-            return
-    if at < len(entries):
-        yield len(splitters), entries[at:]
 
 
-def _lcp_from(a: bytes, b: bytes, k: int) -> int:
+def lcp_from(a: bytes, b: bytes, k: int) -> int:
     """Length of the common prefix of two strings known to share their first k bytes."""
     n = min(len(a), len(b))
     if a[k:n] == b[k:n]:
@@ -103,35 +100,39 @@ def merge(runs: Iterable[Iterator[tuple[int, bytes]]]) -> Iterator[tuple[int, by
     k = 1
     while k < len(streams):
         k *= 2
-    done = (-1, b"", None)  # a stream that has ended loses to all
-    def head(i: int):
-        got = next(streams[i], None) if i < len(streams) else None
-        return done if got is None else (got[0], got[1], i)
-
-    def play(a, b):
-        """(winner, loser) of two heads whose lengths refer to the same earlier entry."""
-        if a[0] != b[0]:
-            return (a, b) if a[0] > b[0] else (b, a)
-        if a[2] is None:
-            return a, b
-        x, y = a[1], b[1]
-        n = _lcp_from(x, y, a[0])
-        if x[n : n + 1] <= y[n : n + 1]:
-            return a, (n, y, b[2])
-        return b, (n, x, a[2])
-
-    losers = [done] * k
-    winners = [done] * k + [head(i) for i in range(k)]
+    end = (-1, b"")  # a stream that has ended shares less than nothing: it loses to all
+    # losers: known prefix, entry and stream of the head that waits at each inner node
+    lens, heads, whose = [-1] * k, [b""] * k, [k] * k
+    first = [next(s, end) for s in streams] + [end] * (k - len(streams))
     # first entries have no predecessor: they share nothing with it
-    winners = [w if w[2] is None else (0, w[1], w[2]) for w in winners]
+    won = [None] * k + [(min(n, 0), e, i) for i, (n, e) in enumerate(first)]
     for node in range(k - 1, 0, -1):
-        winners[node], losers[node] = play(winners[2 * node], winners[2 * node + 1])
-    top = winners[1]
-    while top[2] is not None:
-        yield top[0], top[1]
-        i = top[2]
-        top = head(i)
-        node = (k + i) // 2
+        a, b = won[2 * node], won[2 * node + 1]
+        n = a[0]
+        if n == b[0] == 0:
+            n = lcp_from(a[1], b[1], 0)
+            if a[1][n : n + 1] > b[1][n : n + 1]:
+                a, b = b, a
+            b = (n, b[1], b[2])
+        elif n < b[0]:
+            a, b = b, a
+        won[node] = a
+        lens[node], heads[node], whose[node] = b
+    n, e, i = won[1]
+    while n >= 0:
+        yield n, e
+        n, e = next(streams[i], end)
+        node = (k + i) >> 1
         while node:
-            top, losers[node] = play(top, losers[node])
-            node //= 2
+            m = lens[node]
+            if n == m:
+                if n >= 0:
+                    f = heads[node]
+                    c = lcp_from(e, f, n)
+                    if e[c : c + 1] <= f[c : c + 1]:
+                        lens[node] = c
+                    else:
+                        lens[node], heads[node], whose[node], e, i = c, e, i, f, whose[node]
+            elif n < m:
+                lens[node], heads[node], whose[node], n, e, i = n, e, i, m, heads[node], whose[node]
+            node >>= 1
