@@ -65,7 +65,8 @@ def impute_mean(df: DataFrame, columns: list[str] | None = None, overrides: dict
     """Fill NULL with the column mean (fitted, or the given literals).
 
     ``coalesce`` is used instead of ``fillna`` because ``fillna`` also replaces
-    NaN, which the operator keeps.
+    NaN, which the operator keeps. A filled integer column becomes double: a mean
+    of 1.5 stays 1.5.
     """
     means = dict(fit_means(df, columns))
     means.update(overrides or {})
@@ -74,7 +75,8 @@ def impute_mean(df: DataFrame, columns: list[str] | None = None, overrides: dict
     for c, m in means.items():
         if m is None:
             continue
-        fills[c] = F.coalesce(F.col(_q(c)), F.lit(m).cast(types[c]))
+        kind = types[c] if isinstance(types[c], (T.FloatType, T.DoubleType, T.DecimalType)) else T.DoubleType()
+        fills[c] = F.coalesce(F.col(_q(c)).cast(kind), F.lit(m).cast(kind))
     return df.withColumns(fills)
 
 

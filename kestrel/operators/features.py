@@ -7,9 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kestrel.functions.columns import element, epoch_seconds, parse_vector, tokens
+from kestrel.functions.columns import duration_seconds, element, epoch_seconds, parse_vector, tokens
 from kestrel.operators.profile import _q
-from kestrel.session import parallelism
 
 
 def add_tokens(df: DataFrame, column: str, out: str | None = None, sep: str = " ") -> DataFrame:
@@ -26,7 +25,7 @@ def add_epoch_seconds(df: DataFrame, columns: list[str], suffix: str = "Vec", fm
 
 def add_duration(df: DataFrame, start: str, end: str, out: str = "Duration", drop: bool = True) -> DataFrame:
     """``out = end - start`` (epoch seconds)."""
-    res = df.withColumn(out, F.col(_q(end)) - F.col(_q(start)))
+    res = df.withColumn(out, duration_seconds(_q(start), _q(end)))
     return res.drop(start, end) if drop else res
 
 
@@ -104,7 +103,7 @@ def text_embedding(
     vector_size: int = 100,
     min_count: int = 5,
     seed: int = 42,
-    num_partitions: int | None = None,
+    num_partitions: int = 8,
     max_iter: int = 1,
 ):
     """Word2Vec document vector = mean of its word vectors.
@@ -117,12 +116,11 @@ def text_embedding(
     """
     out = out or column + "Vec"
     tok = df.withColumn("_tokens", F.coalesce(tokens(_q(column)), F.array().cast("array<string>")))
-    parts = num_partitions or max(1, parallelism(df.sparkSession))
     model = Word2Vec(
         vectorSize=vector_size,
         minCount=min_count,
         seed=seed,
-        numPartitions=parts,
+        numPartitions=num_partitions,
         maxIter=max_iter,
         inputCol="_tokens",
         outputCol=out,

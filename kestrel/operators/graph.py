@@ -5,24 +5,25 @@ algorithm is a loop of joins and grouped aggregates over those frames; the
 driver only holds loop counters and a few scalar checks. Iterative state is
 checkpointed into the session's reliable checkpoint folder every few rounds.
 
-Skew: a single hub may own a third of all edges. Joins keyed by node id run
-with AQE skew-join splitting; PageRank additionally routes high-degree
-sources through a broadcast of their (bounded, counted) rank rows; the edge
-index used by random walks is built in salted buckets so no window holds
-all edges of one hub.
+Skew: a single hub may own a third of all edges. Joins of edges with per-node
+values deal a hub's edges over salts (``spread_join``, or for PageRank a
+number of salts that follows the degree), so their plans are the same with and without hubs; the
+edge index used by random walks is built in salted buckets so no window holds all edges of one hub.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.ml.feature import Word2Vec
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kestrel.session import cut_lineage, parallelism
+from kestrel.functions.columns import bool_text_to_int, parse_vector, to_double
+from kestrel.operators.joins import spread_join
+from kestrel.session import cut_lineage
+from kestrel.sources.files import read_csv, write_features
+from kestrel.sources.schemas import NODE_FEATURES_SCHEMA
 
 # ---------------------------------------------------------------- load / shape
 
@@ -81,6 +82,12 @@ def _simple_pairs(edges: DataFrame, keep_loops: bool = False) -> DataFrame:
     return p.distinct()
 
 
+def _md5_number(*parts):
+    """First 32 bits of the MD5 over ``:``-joined parts: a hash that any engine can replay."""
+    text = F.concat_ws(":", *[(F.col(p) if isinstance(p, str) else p).cast("string") for p in parts])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast(T.LongType())
+
+
 def _partitions(spark) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -94,74 +101,64 @@ def pagerank(
     max_iter: int = 20,
     damping: float = 0.85,
     tol: float | None = None,
-    checkpoint_every: int = 10,
-    hub_degree: int = 100_000,
-    max_hubs: int = 1_000_000,
+    checkpoint_every: int = 5,
+    edges_per_salt: int = 100_000,
 ) -> DataFrame:
     """``r = (1 - d) + d * sum(r(u) / outdeg(u))`` over in-edges, start ``1 - d``.
 
     Unnormalised, no sink redistribution, self-loops and parallel edges count
     in the out-degree (Page et al.). Returns ``(id, pagerank)``.
 
-    Plan per round: light edges are hash-partitioned by ``src`` once and
-    cached, ranks stay hash-partitioned by ``id``, so the rank x edge join needs
-    no re-shuffle of the edges. Sources with more than ``hub_degree`` out-edges
-    are joined through a broadcast of their rank rows instead (their number is
-    at most |E| / hub_degree and is counted against ``max_hubs``), so one hub
-    never lands in one task. Contributions are summed per ``dst`` with a
-    map-side partial aggregate.
+    One plan for all nodes: a source's edges are dealt to ceil(outdeg /
+    ``edges_per_salt``) salts by a hash of the target, the edge list is partitioned by
+    (source, salt) once and cached; each round a node's rank is
+    sent to its salts (one for nearly all nodes). Contributions are summed per target with a map-side partial aggregate.
     """
+    return _pagerank(nodes, edges, max_iter, damping, tol, checkpoint_every, edges_per_salt)[0]
+
+
+def pagerank_run(nodes: DataFrame, edges: DataFrame, max_iter: int = 20, damping: float = 0.85, tol: float | None = None) -> DataFrame:
+    """One row ``(iterations, min_score, max_score, score_sum, nodes)`` of a PageRank run."""
+    ranks, rounds = _pagerank(nodes, edges, max_iter, damping, tol, 5, 100_000)
+    return run_summary(ranks, "pagerank").withColumn("iterations", F.lit(rounds))
+
+
+def _pagerank(nodes, edges, max_iter, damping, tol, checkpoint_every, edges_per_salt):
     spark = nodes.sparkSession
     n = _partitions(spark)
-    ids = nodes.select("id").distinct().repartition(n, "id").persist()
-    # read once for both the out-degrees and the weighted edge list
-    e = edges.select("src", "dst").persist()
-    outdeg = e.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
-    while True:
-        hubs = outdeg.where(F.col("deg") > hub_degree).select(F.col("src").alias("hub"))
-        n_hubs = hubs.count()
-        if n_hubs <= max_hubs:
-            break
-        hub_degree *= 2
-    weighted = e.join(outdeg, "src").select("src", "dst", (F.lit(1.0) / F.col("deg")).alias("w"))
-    if n_hubs:
-        hubs = F.broadcast(hubs.persist())
-        light = weighted.join(hubs, weighted.src == hubs.hub, "left_anti")
-        heavy = weighted.join(hubs, weighted.src == hubs.hub, "left_semi").repartition(n, "dst").persist()
-    else:
-        light, heavy = weighted, None
-    light = light.repartition(n, "src").persist()
-    light.count()
-    e.unpersist()
-
-    ranks = ids.select("id", F.lit(1.0 - damping).alias("rank"))
-    if heavy is not None:
-        # ranks feed two joins per round (light edges and the hub broadcast);
-        # materialise every round so the plan does not double each round
-        checkpoint_every = 1
+    e = edges.select("src", "dst")
+    outdeg = cut_lineage(e.groupBy("src").agg(F.count(F.lit(1)).alias("deg")))
+    salts = F.ceil(F.col("deg") / F.lit(edges_per_salt))
+    weighted = spread_join(e, outdeg, "src", ["dst"]).select(
+        "src", F.pmod(F.xxhash64("dst"), salts).alias("salt"), "dst", (F.lit(1.0) / F.col("deg")).alias("w")
+    )
+    weighted = weighted.repartition(n, "src", "salt").persist()
+    ids = cut_lineage(
+        nodes.select("id").distinct()
+        .join(outdeg.select(F.col("src").alias("id"), salts.alias("salts")), "id", "left")
+        .select("id", F.coalesce("salts", F.lit(0)).alias("salts"))
+    )
+    ranks = ids.select("id", "salts", F.lit(1.0 - damping).alias("rank"))
+    rounds = 0
     for it in range(1, max_iter + 1):
-        contrib = light.join(ranks, light.src == ranks.id).select("dst", (F.col("rank") * F.col("w")).alias("c"))
-        if heavy is not None:
-            hub_ranks = F.broadcast(ranks.join(hubs, ranks.id == hubs.hub, "left_semi"))
-            contrib = contrib.unionByName(
-                heavy.join(hub_ranks, heavy.src == hub_ranks.id).select("dst", (F.col("rank") * F.col("w")).alias("c"))
-            )
+        rounds = it
+        sent = ranks.where("salts > 0").select(
+            F.col("id").alias("src"), "rank", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt")
+        )
+        contrib = weighted.join(sent, ["src", "salt"]).select("dst", (F.col("rank") * F.col("w")).alias("c"))
         sums = contrib.groupBy("dst").agg(F.sum("c").alias("s"))
-        # ids stay hash-partitioned by id, so keeping nodes without in-edges
-        # costs no extra shuffle of the node table
         new = ids.join(sums, ids.id == sums.dst, "left").select(
-            "id", (F.lit(1.0 - damping) + F.lit(damping) * F.coalesce(F.col("s"), F.lit(0.0))).alias("rank")
+            "id", "salts", (F.lit(1.0 - damping) + F.lit(damping) * F.coalesce(F.col("s"), F.lit(0.0))).alias("rank")
         )
         if it % checkpoint_every == 0 or it == max_iter or tol is not None:
             new = cut_lineage(new)
         if tol is not None:
-            diff = new.join(ranks.withColumnRenamed("rank", "old"), "id").agg(F.max(F.abs(F.col("rank") - F.col("old")))).head()[0]
-            ranks = new
-            if diff is not None and diff < tol:
-                break
-        else:
-            ranks = new
-    return ranks.select("id", F.col("rank").alias("pagerank"))
+            diff = new.join(ranks.select("id", F.col("rank").alias("old")), "id").agg(F.max(F.abs(F.col("rank") - F.col("old")))).head()[0]
+        ranks = new
+        if tol is not None and diff is not None and diff < tol:
+            break
+    weighted.unpersist()
+    return ranks.select("id", F.col("rank").alias("pagerank")), rounds
 
 
 # ---------------------------------------------------------------- triangles
@@ -175,19 +172,21 @@ def triangles(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     node stay bounded even for a hub (all of a hub's edges point *into* it).
     A wedge closes when its third side exists; each triangle is found once.
     """
-    pairs = _simple_pairs(edges).persist()
+    pairs = cut_lineage(_simple_pairs(edges))
     deg = (
         pairs.select(F.col("lo").alias("v")).unionAll(pairs.select(F.col("hi").alias("v")))
         .groupBy("v").agg(F.count(F.lit(1)).alias("d"))
     )
     dl = deg.select(F.col("v").alias("lo"), F.col("d").alias("dlo"))
     dh = deg.select(F.col("v").alias("hi"), F.col("d").alias("dhi"))
-    j = pairs.join(dl, "lo").join(dh, "hi")
+    j = spread_join(spread_join(pairs, dl, "lo", ["hi"]), dh, "hi", ["lo"])
     lo_first = (F.col("dlo") < F.col("dhi")) | ((F.col("dlo") == F.col("dhi")) & (F.col("lo") < F.col("hi")))
-    oriented = j.select(
-        F.when(lo_first, F.col("lo")).otherwise(F.col("hi")).alias("u"),
-        F.when(lo_first, F.col("hi")).otherwise(F.col("lo")).alias("v"),
-    ).persist()
+    oriented = cut_lineage(
+        j.select(
+            F.when(lo_first, F.col("lo")).otherwise(F.col("hi")).alias("u"),
+            F.when(lo_first, F.col("hi")).otherwise(F.col("lo")).alias("v"),
+        )
+    )
     a = oriented.select(F.col("u"), F.col("v").alias("x"))
     b = oriented.select(F.col("u"), F.col("v").alias("y"))
     wedges = a.join(b, "u").where(F.col("x") < F.col("y"))
@@ -205,56 +204,41 @@ def triangles(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def triangle_total(per_node: DataFrame) -> DataFrame:
-    """Global triangle count = sum over nodes / 3."""
+    """Global triangle count (sum over nodes / 3) and nodes written."""
     return per_node.agg((F.sum("triangles") / 3).cast(T.LongType()).alias("global_triangles"), F.count(F.lit(1)).alias("nodes"))
 
 
 # ---------------------------------------------------------------- betweenness
 
 
-def betweenness(
-    nodes: DataFrame,
-    edges: DataFrame,
-    directed: bool = True,
-    state_rows: int = 200_000_000,
-    max_levels: int | None = None,
-) -> DataFrame:
+def betweenness(nodes: DataFrame, edges: DataFrame, directed: bool = True) -> DataFrame:
     """Exact betweenness centrality (Brandes 2001), unnormalised ``(id, betweenness)``.
 
-    All sources are processed, in hash-chosen batches sized so that the
-    ``(source, node)`` state of one batch stays under ``state_rows`` rows.
-    Per batch, a level-synchronous BFS keeps ``(s, v, sigma)`` per level
+    A level-synchronous BFS from all sources keeps ``(s, v, sigma)`` per level
     (join with the adjacency + ``groupBy``), then dependencies are accumulated
-    from the deepest level back. Every level is checkpointed. Self-loops and
+    from the deepest level back. Every level is written to the scratch folder. Self-loops and
     parallel edges do not change shortest paths and are dropped. For an
     undirected graph each pair is seen from both ends, so scores are halved.
+
+    Cost: exact betweenness is O(V E) work and keeps a row per reachable (source, node) pair; no
+    sampling and no level limit is applied.
     """
-    spark = nodes.sparkSession
     adj = edges.where(F.col("src") != F.col("dst")).select("src", "dst")
     if not directed:
         adj = adj.unionByName(adj.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    adj = adj.distinct().persist()
-    ids = nodes.select("id").distinct().persist()
-    n_nodes = ids.count()
-    n_batches = max(1, math.ceil(n_nodes * n_nodes / max(1, state_rows)))
-    totals = None
-    for b in range(n_batches):
-        src_ids = ids if n_batches == 1 else ids.where(F.pmod(F.xxhash64("id"), F.lit(n_batches)) == b)
-        part = _brandes_batch(src_ids, adj, max_levels)
-        if part is None:
-            continue
-        part = cut_lineage(part)
-        totals = part if totals is None else cut_lineage(totals.unionByName(part).groupBy("id").agg(F.sum("bc").alias("bc")))
+    adj = cut_lineage(adj.distinct())
+    ids = cut_lineage(nodes.select("id").distinct())
+    totals = _brandes(ids, adj)
     scale = 1.0 if directed else 0.5
     res = ids.join(totals, "id", "left") if totals is not None else ids.withColumn("bc", F.lit(None).cast("double"))
     return res.select("id", (F.coalesce(F.col("bc"), F.lit(0.0)) * F.lit(scale)).alias("betweenness"))
 
 
-def _brandes_batch(src_ids: DataFrame, adj: DataFrame, max_levels: int | None):
-    level = cut_lineage(src_ids.select(F.col("id").alias("s"), F.col("id").alias("v"), F.lit(1.0).alias("sigma")))
+def _brandes(ids: DataFrame, adj: DataFrame):
+    level = ids.select(F.col("id").alias("s"), F.col("id").alias("v"), F.lit(1.0).alias("sigma"))
     levels = [level]
     visited = level.select("s", "v")
-    while max_levels is None or len(levels) <= max_levels:
+    while True:
         nxt = (
             levels[-1].join(adj, levels[-1].v == adj.src)
             .groupBy("s", F.col("dst").alias("v")).agg(F.sum("sigma").alias("sigma"))
@@ -264,7 +248,7 @@ def _brandes_batch(src_ids: DataFrame, adj: DataFrame, max_levels: int | None):
         if nxt.isEmpty():
             break
         levels.append(nxt)
-        # a flat union of checkpointed levels: no extra materialisation per level
+        # a flat union of written levels: no extra materialisation per level
         visited = visited.unionByName(nxt.select("s", "v"))
     if len(levels) == 1:
         return None
@@ -337,9 +321,7 @@ def modularity(edges: DataFrame, partition: DataFrame, id_col: str = "id", commu
 def louvain(
     nodes: DataFrame,
     edges: DataFrame,
-    max_levels: int = 10,
-    max_sweeps: int = 10,
-    min_gain: float = 1e-4,
+    min_gain: float = 1e-6,
     seed: int = 7,
     weight: str | None = None,
 ):
@@ -348,14 +330,17 @@ def louvain(
     ``assignment`` is ``(id, community)`` (a community is labelled by the id of
     one of its members), ``levels`` is ``(level, modularity)``.
 
-    Local moving runs as synchronous sweeps; in each sweep only the nodes
-    whose hash with the sweep number is even may move (so two neighbours
-    rarely swap into each other's community). Each node picks the neighbour
+    Local moving runs as synchronous sweeps. Per level the nodes fall into two
+    halves by a hash (MD5 of seed, level and node), which take turns, so
+    two neighbours rarely swap into each other's community. Each node of the half picks the neighbour
     community with the largest modularity gain (ties: smallest community id)
     and moves only if that beats staying. A sweep that does not raise
-    modularity by more than ``min_gain`` is undone (two such sweeps in a row
-    end the level). Then communities are contracted into nodes with a
-    ``groupBy`` over the adjacency rows and the next level starts.
+    modularity by more than ``min_gain`` is undone.
+
+    Convergence rule: a level ends when neither half's sweep raises modularity by more than ``min_gain``
+    (either would repeat the same moves); the method ends with the first level that does not raise it.
+    There is no limit on sweeps or levels: modularity is bounded and every kept sweep raises it. Then communities are
+    contracted into nodes with a ``groupBy`` over the adjacency rows and the next level starts.
 
     Per sweep the adjacency rows are joined once with both ends' communities
     and grouped to ``(u, cu, cv, a, self_w)``; that one table gives the
@@ -365,29 +350,27 @@ def louvain(
     rows = cut_lineage(_sym_rows(edges, weight))
     all_ids = nodes.select(F.col("id").alias("node")).distinct()
     membership = cut_lineage(all_ids.select(F.col("node").alias("id"), F.col("node").alias("c")))
-    level_rows = []
-    for level in range(max_levels):
-        k = rows.groupBy(F.col("u").alias("node")).agg(F.sum("w").alias("k"))
-        level_nodes = cut_lineage(k)
-        two_m = rows.agg(F.sum("w")).head()[0] or 0.0
+    level_rows: list[tuple[int, float]] = []
+    level = 0
+    while True:
+        level_nodes = cut_lineage(rows.groupBy(F.col("u").alias("node")).agg(F.sum("w").alias("k")))
+        two_m = level_nodes.agg(F.sum("k")).head()[0] or 0.0
         if two_m == 0:
             break
         m = two_m / 2.0
-        assign = cut_lineage(level_nodes.select("node", F.col("node").alias("c")))
+        assign = level_nodes.select("node", F.col("node").alias("c"))
         weights = cut_lineage(_community_weights(rows, assign))
-        q = _modularity_from(weights, assign, level_nodes, two_m)
-        start_q = q
-        fails = 0
-        for sweep in range(max_sweeps):
-            moved = cut_lineage(_louvain_sweep(weights, level_nodes, assign, m, seed + 1000 * level + sweep, 1e-12))
+        start_q = q = _modularity_from(weights, assign, level_nodes, two_m)
+        half = fails = 0
+        while fails < 2:
+            moved = cut_lineage(_louvain_sweep(weights, level_nodes, assign, m, f"{seed}:{level}", half, 1e-12))
             moved_weights = cut_lineage(_community_weights(rows, moved))
             new_q = _modularity_from(moved_weights, moved, level_nodes, two_m)
             if new_q > q + min_gain:
                 assign, weights, q, fails = moved, moved_weights, new_q, 0
             else:
                 fails += 1
-                if fails >= 2:
-                    break
+            half = 1 - half
         if q <= start_q + min_gain:
             if level == 0:
                 level_rows.append((level, q))
@@ -402,6 +385,7 @@ def louvain(
             weights.groupBy(F.col("cu").alias("u"), F.col("cv").alias("v"))
             .agg(F.sum(F.coalesce(F.col("a"), F.lit(0.0)) + F.coalesce(F.col("self_w"), F.lit(0.0))).alias("w"))
         )
+        level += 1
     levels = spark.createDataFrame(level_rows, "level int, modularity double")
     return membership.select("id", F.col("c").alias("community")), levels
 
@@ -411,7 +395,7 @@ def _community_weights(rows: DataFrame, assign: DataFrame) -> DataFrame:
     cu = assign.select(F.col("node").alias("u"), F.col("c").alias("cu"))
     cv = assign.select(F.col("node").alias("v"), F.col("c").alias("cv"))
     return (
-        rows.join(cv, "v").join(cu, "u")
+        spread_join(spread_join(rows, cu, "u", ["v"]), cv, "v", ["u"])
         .groupBy("u", "cu", "cv")
         .agg(
             F.sum(F.when(F.col("u") != F.col("v"), F.col("w"))).alias("a"),
@@ -429,12 +413,12 @@ def _modularity_from(weights: DataFrame, assign: DataFrame, level_nodes: DataFra
     return inside / two_m - sq / (two_m * two_m)
 
 
-def _louvain_sweep(weights: DataFrame, level_nodes: DataFrame, assign: DataFrame, m: float, salt: int, min_move: float) -> DataFrame:
+def _louvain_sweep(weights: DataFrame, level_nodes: DataFrame, assign: DataFrame, m: float, salt: str, half: int, min_move: float) -> DataFrame:
     tot = assign.join(level_nodes, "node").groupBy("c").agg(F.sum("k").alias("tot"))
     me = assign.select(F.col("node").alias("u"), F.col("c").alias("cur")).join(
         level_nodes.select(F.col("node").alias("u"), "k"), "u"
     )
-    active = me.where(F.pmod(F.xxhash64("u", F.lit(salt)), F.lit(2)) == 0)
+    active = me.where(_md5_number(F.lit(salt), "u") % 2 == half)
     a = weights.where(F.col("a").isNotNull()).select("u", "cv", "a")
     cand = cut_lineage(
         a.join(active, "u")
@@ -487,10 +471,10 @@ def indexed_adjacency(edges: DataFrame, bucket_size: int = 10_000) -> DataFrame:
     """
     from pyspark.sql.window import Window
 
-    e = edges.select("src", "dst").distinct()
-    deg = e.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
-    e = e.join(deg, "src").withColumn(
-        "bucket", F.pmod(F.xxhash64("dst"), F.ceil(F.col("deg") / F.lit(bucket_size)).cast("long"))
+    e = cut_lineage(edges.select("src", "dst").distinct())
+    deg = cut_lineage(e.groupBy("src").agg(F.count(F.lit(1)).alias("deg")))
+    e = spread_join(e, deg, "src", ["dst"]).withColumn(
+        "bucket", _md5_number("dst") % F.ceil(F.col("deg") / F.lit(bucket_size)).cast("long")
     )
     e = e.withColumn("rn", F.row_number().over(Window.partitionBy("src", "bucket").orderBy("dst")) - 1)
     counts = e.groupBy("src", "bucket").agg(F.count(F.lit(1)).alias("cnt"))
@@ -503,7 +487,7 @@ def indexed_adjacency(edges: DataFrame, bucket_size: int = 10_000) -> DataFrame:
     ).select("src", "bucket", "off")
     indexed = e.join(offs, ["src", "bucket"]).select("src", (F.col("off") + F.col("rn")).alias("idx"), "dst")
     dst_deg = deg.select(F.col("src").alias("dst"), F.col("deg").alias("dst_deg"))
-    return indexed.join(dst_deg, "dst", "left").select("src", "idx", "dst", "dst_deg")
+    return spread_join(indexed, dst_deg, "dst", ["src"], "left").select("src", "idx", "dst", "dst_deg")
 
 
 def random_walks(
@@ -532,7 +516,7 @@ def random_walks(
     walkers = cut_lineage(walkers)
     hops = adj.select(F.col("src").alias("node"), "idx", F.col("dst").alias("nxt"), F.col("dst_deg").alias("nxt_deg"))
     for step in range(1, walk_length):
-        idx = F.pmod(F.xxhash64(F.lit(seed), F.col("walk_id.node"), F.col("walk_id.r"), F.lit(step)), F.col("deg"))
+        idx = _md5_number(F.lit(seed), F.col("walk_id.node"), F.col("walk_id.r"), F.lit(step)) % F.col("deg")
         moved = walkers.withColumn("idx", F.when(F.col("deg") > 0, idx)).join(hops, ["node", "idx"], "left")
         walkers = moved.select(
             "walk_id",
@@ -553,7 +537,7 @@ def node2vec(
     walks_per_node: int = 10,
     window: int = 10,
     seed: int = 42,
-    num_partitions: int | None = None,
+    num_partitions: int = 8,
     max_iter: int = 1,
 ) -> DataFrame:
     """Node embeddings ``(id, node2vec array<double>)`` from walks + skip-gram Word2Vec.
@@ -564,10 +548,9 @@ def node2vec(
     """
     walks = random_walks(nodes, edges, walk_length, walks_per_node, seed)
     sentences = walks.select(F.transform("path", lambda x: x.cast("string")).alias("sentence"))
-    parts = num_partitions or max(1, parallelism(nodes.sparkSession))
     model = Word2Vec(
         vectorSize=dimension, windowSize=window, minCount=0, seed=seed, maxIter=max_iter,
-        numPartitions=parts, inputCol="sentence", outputCol="v", maxSentenceLength=max(1000, walk_length),
+        numPartitions=num_partitions, inputCol="sentence", outputCol="v", maxSentenceLength=max(1000, walk_length),
     ).fit(sentences)
     vecs = model.getVectors().select(F.col("word").cast(T.LongType()).alias("id"), vector_to_array("vector").alias("node2vec"))
     return nodes.select("id").distinct().join(vecs, "id", "left")
@@ -584,19 +567,42 @@ def node_features(nodes: DataFrame, **results: DataFrame) -> DataFrame:
     return out
 
 
-def export_nodes(features: DataFrame, path: str) -> str:
-    """Write node properties as CSV with a header; arrays become JSON text.
+def export_nodes(features: DataFrame, path: str, label: str = "User") -> str:
+    """Write node properties as CSV in the 15-column export layout, with a header.
 
-    A distributed write (one file per partition); no node list is gathered.
+    ``_id`` is the node's id, ``_labels`` its label, the three relationship columns
+    stay NULL, arrays become JSON text. A distributed write (one file per
+    partition); no node list is gathered.
     """
+    extra = {"_id": F.col("id").cast("string"), "_labels": F.lit(":" + label)}
     cols = []
-    for f in features.schema.fields:
-        if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            cols.append(F.to_json(F.col(f.name)).alias(f.name))
+    for f in NODE_FEATURES_SCHEMA.fields:
+        if f.name in features.columns:
+            c = F.col(f.name)
+            kind = features.schema[f.name].dataType
+            c = F.to_json(c) if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)) else c
         else:
-            cols.append(F.col(f.name))
-    features.select(*cols).write.mode("overwrite").option("header", True).csv(path)
-    return path
+            c = extra.get(f.name, F.lit(None))
+        cols.append(c.cast("string").alias(f.name))
+    return write_features(features.select(*cols), path, header=True)
+
+
+EXPORT_DROPS = ("_start", "_end", "_type", "_id", "_labels", "id")
+
+
+def read_exported_nodes(spark, path: str, drop=EXPORT_DROPS) -> DataFrame:
+    """Read an export back: drop the columns without properties, type the others.
+
+    ``betweenness, days, louvain, pageRank, triangles, views`` become doubles, ``mature`` and ``partner``
+    0/1 integers, ``node2vec`` an array of doubles; ``id``, if kept, stays text.
+    """
+    back = read_csv(spark, path, NODE_FEATURES_SCHEMA, header=True, encoded=True).drop(*drop)
+    doubles = ("betweenness", "days", "louvain", "pageRank", "triangles", "views")
+    return back.withColumns(
+        {c: to_double(c) for c in doubles}
+        | {c: bool_text_to_int(c) for c in ("mature", "partner")}
+        | {"node2vec": parse_vector("node2vec")}
+    )
 
 
 def run_summary(scores: DataFrame, column: str) -> DataFrame:

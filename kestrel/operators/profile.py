@@ -10,8 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from kestrel.functions.columns import is_missing
+from kestrel.session import scratch_path
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -22,6 +24,7 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 
 def string_columns(df: DataFrame) -> list[str]:
+    """Columns of text, in schema order."""
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
@@ -72,20 +75,48 @@ def missing_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame
     return long.orderBy(F.desc("n_missing"), F.asc("column_name"))
 
 
-def summary(
-    df: DataFrame,
-    columns: list[str] | None = None,
-    percentiles=(0.25, 0.5, 0.75),
-    accuracy: int = 10000,
-) -> DataFrame:
+def _stacked(df: DataFrame, columns: list[str], kind: T.DataType) -> DataFrame:
+    """``(column_name, value)`` for every listed column, in one scan."""
+    pairs = [F.struct(F.lit(c).alias("column_name"), F.col(_q(c)).cast(kind).alias("value")) for c in columns]
+    return df.select(F.explode(F.array(*pairs)).alias("kv")).select("kv.column_name", "kv.value")
+
+
+def exact_percentiles(df: DataFrame, columns: list[str], percentiles=(0.25, 0.5, 0.75)) -> DataFrame:
+    """``(column_name, p, value)``: the value at rank ceil(p * n) of each column's n values, exact at any size.
+
+    Distinct values with their counts are sorted over all tasks by a range
+    partitioning on (column, value) and written once with their partition's
+    number. The partitions' totals say which of them holds each rank, and only those are
+    searched. No task sees more than one range, and no sketch is gathered anywhere.
+    """
+    spark = df.sparkSession
+    counts = _stacked(df, columns, T.DoubleType()).where("value IS NOT NULL")
+    counts = counts.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    path = scratch_path(spark, "ranked-values")
+    counts.repartitionByRange("column_name", "value").withColumn("part", F.spark_partition_id()).write.parquet(path)
+    counts = spark.read.parquet(path)
+    before = Window.partitionBy("column_name").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = counts.groupBy("column_name", "part").agg(F.sum("n").alias("part_n"))
+    parts = parts.withColumn("start", F.coalesce(F.sum("part_n").over(before), F.lit(0)))
+    total = Window.partitionBy("column_name")
+    wanted = parts.withColumn("total", F.sum("part_n").over(total)).withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in percentiles])))
+    wanted = wanted.withColumn("rank", F.greatest(F.lit(1), F.ceil(F.col("p") * F.col("total"))))
+    wanted = wanted.where((F.col("rank") > F.col("start")) & (F.col("rank") <= F.col("start") + F.col("part_n")))
+    # one row per column and percentile
+    wanted = F.broadcast(wanted.select("column_name", "part", "start", "p", "rank"))
+    upto = Window.partitionBy("column_name", "part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ranges = counts.join(F.broadcast(wanted.select("column_name", "part").distinct()), ["column_name", "part"], "left_semi")
+    ranked = ranges.withColumn("upto", F.sum("n").over(upto)).join(wanted, ["column_name", "part"])
+    last = F.col("start") + F.col("upto")
+    return ranked.where((last >= F.col("rank")) & (last - F.col("n") < F.col("rank"))).select("column_name", "p", "value")
+
+
+def summary(df: DataFrame, columns: list[str] | None = None, percentiles=(0.25, 0.5, 0.75)) -> DataFrame:
     """A3: count, mean, sample stddev, min, percentiles, max for each numeric column.
 
-    One aggregate pass for all columns. Percentiles use ``percentile_approx``:
-    with ``accuracy`` at or above the row count the result is exact (the value
-    at rank ceil(p * n)); the sketch memory is O(accuracy) per column, not O(n).
+    One aggregate pass for the moments, and ``exact_percentiles`` for the ranks.
     """
     cols = list(columns) if columns else numeric_columns(df)
-    parr = F.array(*[F.lit(float(p)) for p in percentiles])
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(_q(c)).cast(T.DoubleType())
@@ -94,21 +125,30 @@ def summary(
             F.avg(x).alias(f"mean{i}"),
             F.stddev_samp(x).alias(f"sd{i}"),
             F.min(x).alias(f"min{i}"),
-            F.percentile_approx(x, parr, accuracy).alias(f"q{i}"),
             F.max(x).alias(f"max{i}"),
         ]
-    one = df.agg(*aggs)
     idx = {c: i for i, c in enumerate(cols)}
     fields = {
         "count": lambda n: F.col(f"n{idx[n]}"),
         "mean": lambda n: F.col(f"mean{idx[n]}"),
         "stddev": lambda n: F.col(f"sd{idx[n]}"),
         "min": lambda n: F.col(f"min{idx[n]}"),
+        "max": lambda n: F.col(f"max{idx[n]}"),
     }
-    for j, p in enumerate(percentiles):
-        fields[f"p{int(round(p * 100))}"] = (lambda jj: lambda n: F.col(f"q{idx[n]}")[jj])(j)
-    fields["max"] = lambda n: F.col(f"max{idx[n]}")
-    return _unpivot_row(one, cols, fields)
+    moments = _unpivot_row(df.agg(*aggs), cols, fields)
+    ranks = exact_percentiles(df, cols, percentiles).groupBy("column_name").agg(
+        *[F.max(F.when(F.col("p") == float(p), F.col("value"))).alias(f"p{int(round(p * 100))}") for p in percentiles]
+    )
+    # one row per column on either side
+    out = moments.join(ranks, "column_name", "left")
+    return out.select("column_name", "count", "mean", "stddev", "min", *[f"p{int(round(p * 100))}" for p in percentiles], "max")
+
+
+def summary_text(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """A3 for text columns: ``(column_name, count, min, max)``; mean and deviation have no meaning there."""
+    cols = list(columns) if columns else string_columns(df)
+    stacked = _stacked(df, cols, T.StringType())
+    return stacked.groupBy("column_name").agg(F.count("value").alias("count"), F.min("value").alias("min"), F.max("value").alias("max"))
 
 
 def value_counts(df: DataFrame, columns: list[str], drop_nulls: bool = False) -> DataFrame:
@@ -118,14 +158,7 @@ def value_counts(df: DataFrame, columns: list[str], drop_nulls: bool = False) ->
     hash aggregate combines on the map side, so a hot value costs one row per
     partition, not one row per occurrence.
     """
-    stacked = df.select(
-        F.explode(
-            F.array(*[
-                F.struct(F.lit(c).alias("column_name"), F.col(_q(c)).cast(T.StringType()).alias("value"))
-                for c in columns
-            ])
-        ).alias("kv")
-    ).select("kv.column_name", "kv.value")
+    stacked = _stacked(df, columns, T.StringType())
     if drop_nulls:
         stacked = stacked.where(F.col("value").isNotNull())
     return stacked.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
@@ -134,43 +167,54 @@ def value_counts(df: DataFrame, columns: list[str], drop_nulls: bool = False) ->
 def modes(df: DataFrame, columns: list[str]) -> DataFrame:
     """Most frequent non-null value per column; ties go to the smallest value.
 
-    ``min_by`` over ``(-count, value)`` is an ordinary partial aggregate, so a
+    The largest count per column is a hash aggregate with one row per column;
+    only values that reach it are compared as text. A
     column with millions of distinct values is never gathered into one task.
     """
     counts = value_counts(df, columns, drop_nulls=True)
-    return counts.groupBy("column_name").agg(
-        F.min_by(F.struct("value", "n"), F.struct((-F.col("n")).alias("neg_n"), F.col("value"))).alias("m")
-    ).select("column_name", F.col("m.value").alias("mode"), F.col("m.n").alias("n"))
+    # one row per listed column
+    top = F.broadcast(counts.groupBy("column_name").agg(F.max("n").alias("n")))
+    return counts.join(top, ["column_name", "n"]).groupBy("column_name").agg(F.min("value").alias("mode"), F.max("n").alias("n"))
 
 
 def correlation(df: DataFrame, columns: list[str] | None = None, method: str = "pearson") -> DataFrame:
     """Correlation matrix as long rows ``(col_a, col_b, corr)``.
 
-    Pearson: every pair in a single aggregate (``corr`` skips rows where either
-    side is NULL). Spearman goes through ``pyspark.ml.stat.Correlation`` (rank
-    transform by sort); the k x k matrix is the only thing on the driver.
+    Pearson: one pass for means and counts, one flat aggregate of products of
+    centred columns. A pair skips rows where either side is NULL; only pairs with
+    such rows need their own ``corr``. Spearman goes through
+    ``pyspark.ml.stat.Correlation`` (rank transform by sort); the k x k matrix is the
+    only thing on the driver.
     """
     cols = list(columns) if columns else numeric_columns(df)
     spark = df.sparkSession
-    if method == "pearson":
-        pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-        one = df.agg(*[
-            F.corr(F.col(_q(cols[i])).cast("double"), F.col(_q(cols[j])).cast("double")).alias(f"c{i}_{j}")
-            for i, j in pairs
-        ])
-        structs = []
-        for i, j in pairs:
-            structs.append(F.struct(F.lit(cols[i]).alias("col_a"), F.lit(cols[j]).alias("col_b"), F.col(f"c{i}_{j}").alias("corr")))
-            if i != j:
-                structs.append(F.struct(F.lit(cols[j]).alias("col_a"), F.lit(cols[i]).alias("col_b"), F.col(f"c{i}_{j}").alias("corr")))
-        return one.select(F.inline(F.array(*structs)))
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-
-    vec = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="skip").transform(df.select(*[F.col(_q(c)) for c in cols]))
-    m = Correlation.corr(vec, "_v", method).head()[0].toArray()
-    rows = [(cols[i], cols[j], float(m[i][j])) for i in range(len(cols)) for j in range(len(cols))]
-    return spark.createDataFrame(rows, "col_a string, col_b string, corr double")
+    if method != "pearson":
+        from pyspark.ml.feature import VectorAssembler
+        from pyspark.ml.stat import Correlation
+
+        vec = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="skip").transform(df.select(*[F.col(_q(c)) for c in cols]))
+        m = Correlation.corr(vec, "_v", method).head()[0].toArray()
+        rows = [(a, b, float(m[i][j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
+        return spark.createDataFrame(rows, "col_a string, col_b string, corr double")
+
+    x = [F.col(_q(c)).cast("double") for c in cols]
+    first = df.agg(F.count(F.lit(1)).alias("n"), *[f(v).alias(f"{k}{i}") for i, v in enumerate(x) for k, f in (("n", F.count), ("m", F.avg))]).head()
+    whole = [first[f"n{i}"] == first["n"] and first["n"] > 0 for i in range(len(cols))]
+    centred = [v - F.lit(first[f"m{i}"]) if whole[i] else v for i, v in enumerate(x)]
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    aggs = [
+        (F.sum(centred[i] * centred[j]) if whole[i] and whole[j] else F.corr(x[i], x[j])).alias(f"c{i}_{j}") for i, j in pairs
+    ]
+    one = df.agg(*aggs)
+    structs = []
+    for i, j in pairs:
+        c = F.col(f"c{i}_{j}")
+        if whole[i] and whole[j]:
+            spread = F.sqrt(F.col(f"c{i}_{i}")) * F.sqrt(F.col(f"c{j}_{j}"))
+            c = F.when(spread > 0, c / spread)
+        for a, b in {(i, j), (j, i)}:
+            structs.append(F.struct(F.lit(cols[a]).alias("col_a"), F.lit(cols[b]).alias("col_b"), c.alias("corr")))
+    return one.select(F.inline(F.array(*structs)))
 
 
 def top_n(df: DataFrame, n: int, order_by: list) -> DataFrame:

@@ -7,18 +7,21 @@ decimals, the same way in the SQL oracle.
 
 from __future__ import annotations
 
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from kestrel.functions.columns import bool_text_to_int
 from kestrel.operators import balance, clean, evaluate, features, graph, models, profile
 from kestrel.plans import fixtures, flows
-from kestrel.session import scratch_path
+from kestrel.session import cut_lineage, scratch_path
 from kestrel.sources import files
 from kestrel.sources.files import read_table
+from kestrel.sources.schemas import ACCIDENTS_SCHEMA, ENCODED_ACCIDENTS_SCHEMA
 from kestrel.streaming import stream
 
 R = 6
@@ -44,10 +47,14 @@ def q_missing_counts(spark, base):
 
 
 def q_summary_numeric(spark, base):
-    s = profile.summary(read_table(spark, base, "lineitem"), accuracy=1_000_000)
+    s = profile.summary(read_table(spark, base, "lineitem"))
     return _round(s, ["mean", "stddev"])
 
 
+def q_summary_text(spark, base):
+    return profile.summary_text(fixtures.gappy_orders(spark, base))
+
+
 def q_value_counts(spark, base):
     return profile.value_counts(read_table(spark, base, "orders"), ["o_orderstatus", "o_orderpriority"])
 
@@ -61,7 +68,17 @@ def q_modes_with_nulls(spark, base):
 
 
 def q_correlation(spark, base):
-    return _round(profile.correlation(read_table(spark, base, "lineitem", balance=True)), ["corr"])
+    return _round(profile.correlation(read_table(spark, base, "lineitem")), ["corr"])
+
+
+def q_correlation_gaps(spark, base):
+    """Pairs with NULL gaps: rows where either side is missing are skipped."""
+    li = fixtures.gappy_lineitem(spark, base).select("l_quantity", "l_tax", "l_linenumber")
+    return _round(profile.correlation(li), ["corr"])
+
+
+def q_spearman(spark, base):
+    return _round(profile.correlation(read_table(spark, base, "part").select("p_size", "p_retailprice"), method="spearman"), ["corr"])
 
 
 def q_top_orders(spark, base):
@@ -72,6 +89,14 @@ def q_top_orders(spark, base):
 # ---------------------------------------------------------------- clean
 
 
+def q_project(spark, base):
+    return clean.project(read_table(spark, base, "orders"), ["o_orderpriority", "o_orderkey", "o_totalprice"])
+
+
+def q_rename(spark, base):
+    return clean.rename(read_table(spark, base, "labels"), {"quality": "is_good", "toxic": "is_toxic"})
+
+
 def q_drop_columns(spark, base):
     return clean.drop_columns(read_table(spark, base, "lineitem"), ["L_COMMENT", "l_Tax", "L_SHIPDATE", "l_returnFLAG"])
 
@@ -99,6 +124,14 @@ def q_impute_mean(spark, base):
     return _round(out, cols)
 
 
+def q_impute_overrides(spark, base):
+    """C1 with literal means; a filled integer column becomes double."""
+    li = fixtures.gappy_lineitem(spark, base)
+    li = li.withColumn("line_gap", F.when(F.col("l_orderkey") % 3 != 0, F.col("l_linenumber")))
+    out = clean.impute_mean(li, ["l_quantity", "line_gap"], overrides={"l_quantity": 25.5, "l_discount": 0.05})
+    return _round(out, ["line_gap"])
+
+
 def q_impute_mode(spark, base):
     return clean.impute_mode(fixtures.gappy_orders(spark, base), ["o_orderstatus", "o_orderpriority"])
 
@@ -107,7 +140,7 @@ def q_impute_mode(spark, base):
 
 
 def q_token_counts(spark, base):
-    docs = features.add_tokens(read_table(spark, base, "documents", balance=True), "text", "tokens")
+    docs = features.add_tokens(read_table(spark, base, "documents"), "text", "tokens")
     return docs.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -166,12 +199,18 @@ def q_text_embedding(spark, base):
 
 
 def q_hash_split(spark, base):
+    """Rows and quantity of either side, in one scan grouped by the side."""
     li = read_table(spark, base, "lineitem")
-    train, test = balance.hash_split(li, ["l_orderkey", "l_linenumber"], 0.7)
-    side = lambda d, s: d.agg(
-        F.lit(s).alias("side"), F.count(F.lit(1)).alias("n_rows"), F.sum("l_quantity").alias("sum_qty")
-    )
-    return side(train, "train").unionByName(side(test, "test"))
+    side = F.when(balance.split_side(["l_orderkey", "l_linenumber"], 0.7), F.lit("train")).otherwise(F.lit("test"))
+    return li.groupBy(side.alias("side")).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("l_quantity").alias("sum_qty"))
+
+
+def q_random_split(spark, base):
+    """F5 with Spark's seeded sampler: the two sides make up the table, each row on one side."""
+    li = read_table(spark, base, "lineitem")
+    train, test = balance.random_split(li, (0.7, 0.3), seed=42)
+    both = train.withColumn("side", F.lit(1)).unionByName(test.withColumn("side", F.lit(1)))
+    return both.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("l_quantity").alias("sum_qty"), F.sum("l_orderkey").alias("sum_keys"))
 
 
 def q_replicate(spark, base):
@@ -182,6 +221,10 @@ def q_oversample(spark, base):
     return balance.oversample(read_table(spark, base, "labels"), "quality")
 
 
+def q_class_ratio(spark, base):
+    return balance.class_ratio(read_table(spark, base, "labels"), "quality")
+
+
 def q_label_counts(spark, base):
     return balance.label_counts(balance.oversample(read_table(spark, base, "labels"), "quality"), "quality")
 
@@ -199,18 +242,30 @@ def q_accuracy(spark, base):
 
 
 def q_logistic(spark, base):
-    return flows.batch_classifier_metrics(spark, base)
+    """M1 with the notebook's settings: every test row scored, per label."""
+    train, test = flows.batch_split(spark, base)
+    return models.scored_rows(models.score(models.logistic(train), test))
+
+
+def q_logistic_optimum(spark, base):
+    """M1: the fitted model meets the optimality condition of its penalised loss on its training rows."""
+    enc = _encoded_lineitem(spark, base).select(
+        *[(F.col(c) / s).alias(c) for c, s in (("l_quantity", 50.0), ("l_discount", 0.1), ("l_tax", 0.08))],
+        (F.col("ship_s") / 1e9).alias("ship_s"), F.col("flag_n").alias("label"),
+    )
+    rows = VectorAssembler(inputCols=["l_quantity", "l_discount", "l_tax", "ship_s"], outputCol="features").transform(enc).select("features", "label")
+    model = LogisticRegression(maxIter=500, regParam=0.001, elasticNetParam=0.0, standardization=False, tol=1e-12).fit(rows)
+    worst = models.logistic_gradient(model, rows, 0.001)
+    return rows.agg(F.count(F.lit(1)).alias("n"), F.lit(worst < 1e-4).alias("optimal"))
 
 
 def q_perceptron(spark, base):
     train, test = flows.batch_split(spark, base)
     m = models.perceptron(train, hidden=(16,), max_iter=100)
-    return evaluate.weighted_metrics(models.score(m, test)).withColumn("model", F.lit("perceptron"))
+    return models.scored_rows(models.score(m, test))
 
 
 def q_fit_stages(spark, base):
-    from pyspark.ml.classification import LogisticRegression
-
     df = flows.prepared_lineitem(spark, base)
     train, test = balance.hash_split(df, flows.BATCH_KEYS, 0.7)
     stages = [
@@ -218,7 +273,7 @@ def q_fit_stages(spark, base):
         LogisticRegression(maxIter=100, regParam=0.3, elasticNetParam=0.8, labelCol="label_idx"),
     ]
     fitted = models.fit_stages(stages, train)
-    return evaluate.weighted_metrics(fitted.transform(test), "label_idx").withColumn("model", F.lit("stages"))
+    return models.scored_rows(fitted.transform(test), "label_idx")
 
 
 def q_save_load(spark, base):
@@ -237,36 +292,58 @@ def q_save_load(spark, base):
 def q_prediction_preview(spark, base):
     train, test = flows.batch_split(spark, base)
     m = models.logistic(train, 10, 0.3, 0.8)
-    scored = models.score(m, test).select("label", "prediction", vector_to_array("probability").alias("probability"))
-    return models.preview(scored, 20, [F.desc(F.col("probability")[0]), F.asc("label")])
+    scored = models.score(m, test).select(*flows.BATCH_KEYS, "label", "prediction", vector_to_array("probability").alias("probability"))
+    return models.preview(scored, 20, [F.desc(F.col("probability")[0]), F.asc("label"), *[F.asc(c) for c in flows.BATCH_KEYS]])
 
 
 def q_forest_importances(spark, base):
-    feats = features.expand_array(flows.graph_node_features(spark, base), "node2vec", 2)
-    cols = flows.GRAPH_FULL
-    tr = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep").transform(
-        feats.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in cols], F.col("mature").cast("double").alias("label"))
-    )
+    """M8: importances by feature name; they are shares, so they sum to 1."""
+    feats = flows.classifier_frame(flows.graph_node_features(spark, base))
+    tr = features.assemble(feats, flows.GRAPH_FULL, label="label")
     m = models.forest(tr, max_depth=20, num_trees=21, seed=42)
-    return models.importances(m, models.feature_names(tr))
+    imp = models.importances(m, models.feature_names(tr))
+    everything = Window.partitionBy(F.lit(0))  # one row per feature
+    return imp.select("feature", F.round(F.sum("importance").over(everything), R).alias("total"), (F.col("importance") >= 0).alias("is_share"))
+
+
+def _comparison_facts(metrics):
+    """Rows of M10 that SQL can check: test rows of either feature set, all metrics being shares."""
+    shares = [(F.col(c) >= 0) & (F.col(c) <= 1) for c in ("accuracy", "weighted_precision", "weighted_recall", "weighted_f1")]
+    return metrics.select("feature_set", "model", "n", (shares[0] & shares[1] & shares[2] & shares[3]).alias("are_shares"))
 
 
 def q_compare_feature_sets(spark, base):
-    return flows.graph_classifier_comparison(spark, base, "forest")
+    return _comparison_facts(flows.graph_classifier_comparison(spark, base, "forest"))
 
 
 def q_graph_logistic(spark, base):
-    return flows.graph_classifier_comparison(spark, base, "logistic")
+    return _comparison_facts(flows.graph_classifier_comparison(spark, base, "logistic"))
 
 
 # ---------------------------------------------------------------- graph
 
 
 def q_graph_load_counts(spark, base):
+    """One row per step, each counted once."""
     nodes, loaded, merged = flows.graph_frames(spark, base)
-    return graph.load_counts(nodes).withColumnRenamed("n", "nodes").crossJoin(
-        graph.load_counts(loaded).withColumnRenamed("n", "edges_loaded")
-    ).crossJoin(graph.load_counts(merged).withColumnRenamed("n", "edges_merged"))
+    loaded = cut_lineage(loaded)
+    steps = {"nodes": nodes, "edges_loaded": loaded, "edges_merged": graph.merge_edges(loaded)}
+    out = None
+    for name, df in steps.items():
+        row = graph.load_counts(df).select(F.lit(name).alias("step"), "n")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def q_graph_load_csv(spark, base):
+    """S5/S6 from header CSV files, as the load scripts read them: counts of nodes and of edges between known nodes."""
+    nodes_csv = files.write_features(fixtures.graph_node_table(spark, base), scratch_path(spark, "users-csv"), header=True)
+    edges_csv = files.write_features(fixtures.graph_raw_edges(spark, base), scratch_path(spark, "edges-csv"), header=True)
+    raw = files.read_csv(spark, nodes_csv, "new_id long, days int, mature int, views double, partner int", header=True, encoded=True)
+    nodes = graph.load_nodes(raw)
+    edges = graph.load_edges(files.read_csv(spark, edges_csv, "`from` long, `to` long", header=True, encoded=True), nodes)
+    count = lambda df, name: graph.load_counts(df).select(F.lit(name).alias("step"), "n")
+    return count(nodes, "nodes").unionByName(count(edges, "edges_loaded"))
 
 
 def q_merge_edges(spark, base):
@@ -284,8 +361,7 @@ def q_pagerank(spark, base):
 
 def q_pagerank_summary(spark, base):
     nodes, _, merged = flows.graph_frames(spark, base)
-    s = graph.run_summary(graph.pagerank(nodes, merged), "pagerank")
-    return _round(s, ["min_score", "max_score", "score_sum"])
+    return _round(graph.pagerank_run(nodes, merged), ["min_score", "max_score", "score_sum"])
 
 
 def q_triangles(spark, base):
@@ -295,7 +371,9 @@ def q_triangles(spark, base):
 
 def q_triangle_total(spark, base):
     nodes, _, merged = flows.graph_frames(spark, base)
-    return graph.triangle_total(graph.triangles(nodes, merged))
+    merged = cut_lineage(merged)
+    edges = merged.agg(F.count(F.lit(1)).alias("n")).head()["n"]
+    return graph.triangle_total(graph.triangles(nodes, merged)).withColumn("relationships", F.lit(edges))
 
 
 def q_betweenness(spark, base):
@@ -309,48 +387,75 @@ def q_modularity(spark, base):
     return _round(graph.modularity(merged, part), ["modularity"])
 
 
-def q_louvain(spark, base):
+def _louvain(spark, base):
     nodes, _, merged = flows.graph_frames(spark, base)
-    comm, _ = graph.louvain(nodes, merged)
-    return comm
+    merged = cut_lineage(merged)
+    return nodes, merged, *graph.louvain(nodes, merged)
+
+
+def q_louvain(spark, base):
+    """Every node once, its community named by a node."""
+    nodes, _, comm, _ = _louvain(spark, base)
+    names = nodes.select(F.col("id").alias("community")).distinct()
+    known = comm.join(names.withColumn("named", F.lit(True)), "community", "left")
+    return known.select("id", F.coalesce("named", F.lit(False)).alias("named"))
 
 
 def q_louvain_levels(spark, base):
-    nodes, _, merged = flows.graph_frames(spark, base)
-    _, levels = graph.louvain(nodes, merged)
-    return _round(levels, ["modularity"])
+    """The level list rises, and its last modularity is G5's on the final partition."""
+    _, merged, comm, levels = _louvain(spark, base)
+    q = graph.modularity(merged, comm).head()["modularity"]
+    qs = [r["modularity"] for r in levels.orderBy("level").collect()]  # one number per level
+    n = merged.agg(F.count(F.lit(1)).alias("edges"))
+    return n.select("edges", F.lit(qs == sorted(qs)).alias("rises"), F.lit(abs(qs[-1] - q) < 1e-9).alias("agrees"))
 
 
 def q_betweenness_summary(spark, base):
-    """Min / max / sum of betweenness and nodes written, from the node-feature table."""
-    feats = flows.graph_node_features(spark, base)
-    return _round(graph.run_summary(feats, "betweenness"), ["min_score", "max_score", "score_sum"])
+    """Min / max / sum of betweenness and nodes written."""
+    nodes, _, merged = flows.graph_frames(spark, base)
+    return _round(graph.run_summary(graph.betweenness(nodes, merged), "betweenness"), ["min_score", "max_score", "score_sum"])
 
 
 def q_louvain_summary(spark, base):
-    """Community count and modularity of the Louvain partition in the node-feature table."""
-    feats = flows.graph_node_features(spark, base)
-    _, _, merged = flows.graph_frames(spark, base)
-    q = graph.modularity(merged, feats.select("id", F.col("louvain").alias("community")))
-    n = feats.agg(F.countDistinct("louvain").alias("communities"), F.count(F.lit(1)).alias("nodes"))
-    return _round(n.crossJoin(q), ["modularity"])
+    """Community count and modularity of the Louvain partition, and nodes written."""
+    _, merged, comm, _ = _louvain(spark, base)
+    q = graph.modularity(merged, comm).head()["modularity"]
+    n = comm.agg(F.countDistinct("community").alias("communities"), F.count(F.lit(1)).alias("nodes"))
+    return n.withColumn("modularity", F.round(F.lit(q), R))
+
+
+def q_random_walks(spark, base):
+    """Walks of node2vec, whose steps hash the walk and the step: a replay gives the same paths."""
+    nodes, _, merged = flows.graph_frames(spark, base)
+    walks = graph.random_walks(nodes, merged, walk_length=4, walks_per_node=2)
+    return walks.select(F.col("walk_id.node").alias("id"), F.col("walk_id.r").alias("walk"), F.array_join(F.transform("path", lambda x: x.cast("string")), ",").alias("path"))
 
 
 def q_node2vec(spark, base):
+    """A vector of the wanted width for every node."""
     nodes, _, merged = flows.graph_frames(spark, base)
-    return graph.node2vec(nodes, merged)
+    return graph.node2vec(nodes, merged).select("id", F.size("node2vec").alias("width"))
+
+
+def _feature_facts(feats):
+    """Columns of G8 that SQL can replay; the two randomised ones by presence."""
+    out = feats.select(
+        F.col("id").cast("long").alias("id"), F.col("days").cast("double").alias("days"), F.col("mature").cast("int").alias("mature"),
+        F.col("partner").cast("int").alias("partner"), "views", "betweenness", "pageRank", F.col("triangles").cast("double").alias("triangles"),
+        F.col("louvain").isNotNull().alias("has_community"), F.size("node2vec").alias("width"),
+    )
+    return _round(out, ["betweenness", "pageRank"])
 
 
 def q_node_features(spark, base):
-    return flows.graph_node_features(spark, base)
+    return _feature_facts(flows.graph_node_features(spark, base))
 
 
 def q_export_nodes(spark, base):
-    feats = flows.graph_node_features(spark, base)
-    path = graph.export_nodes(feats, scratch_path(spark, "nodes-csv"))
-    schema = ", ".join(f"`{c}` string" for c in feats.columns)
-    back = spark.read.schema(schema).option("header", True).csv(path)
-    return features.add_parsed_vector(back, "node2vec")
+    """The 15-column export, read back, without the columns that hold no property, typed."""
+    path = graph.export_nodes(flows.graph_node_features(spark, base), scratch_path(spark, "nodes-csv"))
+    back = graph.read_exported_nodes(spark, path, drop=[c for c in graph.EXPORT_DROPS if c != "id"])
+    return _feature_facts(back)
 
 
 # ---------------------------------------------------------------- sources / streams
@@ -359,7 +464,34 @@ def q_export_nodes(spark, base):
 def q_csv_roundtrip(spark, base):
     li = read_table(spark, base, "lineitem")
     path = files.write_features(li, scratch_path(spark, "lineitem-csv"), header=True)
-    return files.read_csv(spark, path, li.schema, header=True)
+    return files.read_csv(spark, path, li.schema, header=True, encoded=True)
+
+
+def q_csv_text_roundtrip(spark, base):
+    """Whole texts with line breaks, quotes and blanks, NULL apart from empty."""
+    docs = fixtures.awkward_documents(spark, base)
+    path = files.write_features(docs, scratch_path(spark, "documents-csv"), header=True)
+    return files.read_csv(spark, path, docs.schema, header=True, encoded=True)
+
+
+def q_declared_layouts(spark, base):
+    """Order lines written and read through the declared 49- and 33-column layouts, bound by position."""
+    li = fixtures.layout_lineitem(spark, base)
+    out = None
+    for name, schema in (("accidents", ACCIDENTS_SCHEMA), ("encoded", ENCODED_ACCIDENTS_SCHEMA)):
+        cols = []
+        for i, f in enumerate(schema.fields):
+            number = (F.col("k") + i).cast(f.dataType)
+            cols.append((F.concat(F.lit(f"{i}:"), F.col("note")) if f.dataType == T.StringType() else number).alias(f.name))
+        path = files.write_features(li.select(*cols), scratch_path(spark, f"{name}-csv"), header=name == "accidents")
+        back = files.read_csv(spark, path, schema, header=name == "accidents", encoded=True)
+        last = back.columns[-1]
+        facts = back.agg(
+            F.lit(name).alias("layout"), F.lit(len(back.columns)).alias("width"), F.count(F.lit(1)).alias("n"),
+            F.sum(F.col("Severity").cast("long")).alias("severity"), F.sum(F.length(F.col(last).cast("string")).cast("long")).alias("last_length"),
+        )
+        out = facts if out is None else out.unionByName(facts)
+    return out
 
 
 EVENT_SCHEMA = T.StructType([
@@ -407,6 +539,7 @@ ENCODED_SCHEMA = T.StructType([T.StructField(c, T.DoubleType()) for c in STREAM_
 
 
 def q_stream_train_per_batch(spark, base):
+    """R2: over all epochs, every row is trained on or tested, on the side its keys hash to."""
     enc = _encoded_lineitem(spark, base)
     src = files.write_features(enc.repartition(3, "l_orderkey"), scratch_path(spark, "encoded-csv"), header=False)
     out = scratch_path(spark, "train-batches")
@@ -414,26 +547,27 @@ def q_stream_train_per_batch(spark, base):
     s = stream.prepare(s, {"flag_n": "label"})
     fn = stream.train_per_batch(STREAM_FEATURES, out, key_cols=["l_orderkey", "l_quantity"])
     stream.run_batches(s, fn, scratch_path(spark, "train-ckpt"))
-    return spark.read.parquet(out)
+    shares = F.min((F.col("accuracy") >= 0) & (F.col("accuracy") <= 1))
+    return spark.read.parquet(out).agg(
+        F.sum("n_train").alias("n_train"), F.sum("n_test").alias("n_test"), F.sum("n").alias("n_scored"), shares.alias("are_shares")
+    )
 
 
 def q_score_stream(spark, base):
-    from pyspark.ml import PipelineModel
-    from pyspark.ml.classification import LogisticRegression
-
+    """A re-loaded model scores the stream row by row as it scores the table."""
     enc = _encoded_lineitem(spark, base).withColumnRenamed("flag_n", "label")
     fitted = models.fit_stages(
         [VectorAssembler(inputCols=STREAM_FEATURES, outputCol="features"), LogisticRegression(maxIter=20, regParam=0.01)],
         enc,
     )
-    mpath = models.save_model(fitted, scratch_path(spark, "stream-model"))
-    loaded = PipelineModel.load(mpath)
+    loaded = models.load_model(models.save_model(fitted, scratch_path(spark, "stream-model")))
     src = files.write_features(_encoded_lineitem(spark, base).repartition(2, "l_orderkey"), scratch_path(spark, "score-csv"), header=False)
     out = scratch_path(spark, "scored")
     s = stream.prepare(stream.read_csv_stream(spark, src, ENCODED_SCHEMA, max_files_per_trigger=1), {"flag_n": "label"})
-    scored = stream.score_stream(loaded, s).select("label", "prediction")
+    scored = stream.score_stream(loaded, s).select(*STREAM_FEATURES, "label", "prediction")
     stream.run_batches(scored, lambda b, e: stream.write_epoch(b, e, out), scratch_path(spark, "score-ckpt"))
-    return spark.read.parquet(out).groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"))
+    again = models.score(fitted, spark.read.parquet(out).withColumnRenamed("prediction", "streamed"))
+    return again.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("prediction") == F.col("streamed")).alias("n_equal"))
 
 
 QUERIES = {
@@ -441,17 +575,23 @@ QUERIES = {
     "schema_table": q_schema_table,
     "missing_counts": q_missing_counts,
     "summary_numeric": q_summary_numeric,
+    "summary_text": q_summary_text,
     "value_counts": q_value_counts,
     "modes": q_modes,
     "modes_with_nulls": q_modes_with_nulls,
     "correlation": q_correlation,
+    "correlation_gaps": q_correlation_gaps,
+    "spearman": q_spearman,
     "top_orders": q_top_orders,
+    "project": q_project,
+    "rename": q_rename,
     "drop_columns": q_drop_columns,
     "drop_missing": q_drop_missing,
     "to_double": q_to_double,
     "bool_text": q_bool_text,
     "lower_columns": q_lower_columns,
     "impute_mean": q_impute_mean,
+    "impute_overrides": q_impute_overrides,
     "impute_mode": q_impute_mode,
     "token_counts": q_token_counts,
     "doc_token_stats": q_doc_token_stats,
@@ -462,12 +602,15 @@ QUERIES = {
     "assemble": q_assemble,
     "text_embedding": q_text_embedding,
     "hash_split": q_hash_split,
+    "random_split": q_random_split,
     "replicate": q_replicate,
     "oversample": q_oversample,
+    "class_ratio": q_class_ratio,
     "label_counts": q_label_counts,
     "weighted_metrics": q_weighted_metrics,
     "accuracy": q_accuracy,
     "logistic": q_logistic,
+    "logistic_optimum": q_logistic_optimum,
     "perceptron": q_perceptron,
     "fit_stages": q_fit_stages,
     "save_load": q_save_load,
@@ -476,6 +619,7 @@ QUERIES = {
     "compare_feature_sets": q_compare_feature_sets,
     "graph_logistic": q_graph_logistic,
     "graph_load_counts": q_graph_load_counts,
+    "graph_load_csv": q_graph_load_csv,
     "merge_edges": q_merge_edges,
     "project_undirected": q_project_undirected,
     "pagerank": q_pagerank,
@@ -488,10 +632,13 @@ QUERIES = {
     "louvain_levels": q_louvain_levels,
     "betweenness_summary": q_betweenness_summary,
     "louvain_summary": q_louvain_summary,
+    "random_walks": q_random_walks,
     "node2vec": q_node2vec,
     "node_features": q_node_features,
     "export_nodes": q_export_nodes,
     "csv_roundtrip": q_csv_roundtrip,
+    "csv_text_roundtrip": q_csv_text_roundtrip,
+    "declared_layouts": q_declared_layouts,
     "stream_counts": q_stream_counts,
     "stream_train_per_batch": q_stream_train_per_batch,
     "score_stream": q_score_stream,

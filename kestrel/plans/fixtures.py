@@ -69,6 +69,19 @@ RULE_PREDICTIONS = [
     "WHEN l_discount < 0.05 THEN 0.0 ELSE 2.0 END AS prediction",
 ]
 
+# whole texts, some NULL, empty or with blanks, quotes and codes that a CSV file must keep apart
+AWKWARD_DOCUMENTS = [
+    "doc_id",
+    "CASE WHEN doc_id % 7 = 0 THEN NULL WHEN doc_id % 11 = 0 THEN '' "
+    "WHEN doc_id % 5 = 0 THEN '  ' || chr(10) || ' \"a,b\" ' || chr(92) || 'n ' || chr(13) || text || ' ' ELSE text END AS text",
+    "CASE WHEN doc_id % 3 = 0 THEN '\"' || lang ELSE lang END AS lang",
+    "source",
+    "n_chars",
+]
+
+# order lines with a text that holds a comma, for the declared layouts
+LAYOUT_LINEITEM = ["l_linenumber AS k", "l_returnflag || ', \"' || l_linestatus || '\"' AS note"]
+
 # graph: customers are nodes; an order line links its customer to the customer
 # whose key equals the part key (unknown ends exist and are dropped on load)
 GRAPH_NODES = [
@@ -89,6 +102,14 @@ def gappy_orders(spark: SparkSession, base: str) -> DataFrame:
     return read_table(spark, base, "orders").selectExpr(*GAPPY_ORDERS)
 
 
+def awkward_documents(spark: SparkSession, base: str) -> DataFrame:
+    return read_table(spark, base, "documents").selectExpr(*AWKWARD_DOCUMENTS)
+
+
+def layout_lineitem(spark: SparkSession, base: str) -> DataFrame:
+    return read_table(spark, base, "lineitem").selectExpr(*LAYOUT_LINEITEM)
+
+
 def bool_text_lineitem(spark, base):
     return read_table(spark, base, "lineitem").selectExpr(*BOOL_TEXT_LINEITEM)
 
@@ -98,7 +119,7 @@ def price_text_part(spark, base):
 
 
 def time_text(spark, base):
-    li = read_table(spark, base, "lineitem", balance=True)
+    li = read_table(spark, base, "lineitem")
     o = read_table(spark, base, "orders")
     return li.join(o, li.l_orderkey == o.o_orderkey).selectExpr(*TIME_TEXT_JOIN[1])
 

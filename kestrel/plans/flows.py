@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from kestrel.operators import balance, clean, evaluate, features, graph, models
 from kestrel.plans import fixtures
-from kestrel.session import application_id, scratch_path
+from kestrel.session import cut_lineage
 
 BATCH_NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 BATCH_FEATURES = BATCH_NUMERIC + ["l_shipdateVec", "l_linestatusVec"]
@@ -27,7 +27,8 @@ def prepared_lineitem(spark: SparkSession, base: str) -> DataFrame:
     df = clean.impute_mode(df, ["l_returnflag", "l_linestatus"])
     df = clean.drop_missing_rows(df)
     df = clean.lower_columns(df, ["l_linestatus"])
-    df = features.add_epoch_seconds(df, ["l_shipdate"])
+    # written once: index fit, training and test sides read this table
+    df = cut_lineage(features.add_epoch_seconds(df, ["l_shipdate"]))
     df, _ = features.string_index(df, ["l_linestatus", "l_returnflag"])
     return df.withColumnRenamed("l_returnflagVec", "label_idx")
 
@@ -35,7 +36,7 @@ def prepared_lineitem(spark: SparkSession, base: str) -> DataFrame:
 def batch_split(spark: SparkSession, base: str):
     df = prepared_lineitem(spark, base)
     train, test = balance.hash_split(df, BATCH_KEYS, 0.7)
-    asm = lambda d: features.assemble(d, BATCH_FEATURES, label="label_idx")
+    asm = lambda d: features.assemble(d, BATCH_FEATURES, label="label_idx", keep=BATCH_KEYS)
     return asm(train), asm(test)
 
 
@@ -61,35 +62,28 @@ GRAPH_FULL = ["betweenness", "days", "louvain", "pageRank", "partner", "triangle
 GRAPH_BASIC = ["days", "partner", "views"]
 
 
-_FEATURE_TABLES: dict[tuple[str, str], str] = {}
-
-
 def graph_node_features(spark: SparkSession, base: str) -> DataFrame:
-    """G8 as a materialised table: computed once per application and input
-    folder, written under the shared checkpoint folder and read back by every
-    later query (the five graph scores are the expensive part)."""
-    key = (application_id(spark), base)
-    path = _FEATURE_TABLES.get(key)
-    if path is None:
-        path = scratch_path(spark, "node-features")
-        compute_graph_node_features(spark, base).write.mode("overwrite").parquet(path)
-        _FEATURE_TABLES[key] = path
-    return spark.read.parquet(path)
-
-
-def compute_graph_node_features(spark: SparkSession, base: str) -> DataFrame:
-    """Nodes with betweenness, PageRank, Louvain, triangles and node2vec columns."""
+    """Nodes with betweenness, PageRank, Louvain, triangles and node2vec columns, computed from the tables."""
     nodes, _, merged = graph_frames(spark, base)
-    nodes = nodes.persist()
-    merged = merged.persist()
+    nodes, merged = cut_lineage(nodes), cut_lineage(merged)
     pr = graph.pagerank(nodes, merged).withColumnRenamed("pagerank", "pageRank")
     tri = graph.triangles(nodes, merged)
     bc = graph.betweenness(nodes, merged)
     comm, _ = graph.louvain(nodes, merged)
     emb = graph.node2vec(nodes, merged)
-    return graph.node_features(
-        nodes, betweenness=bc, pagerank=pr, louvain=comm.withColumnRenamed("community", "louvain"),
-        triangles=tri, node2vec=emb,
+    return cut_lineage(
+        graph.node_features(
+            nodes, betweenness=bc, pagerank=pr, louvain=comm.withColumnRenamed("community", "louvain"),
+            triangles=tri, node2vec=emb,
+        )
+    )
+
+
+def classifier_frame(features_table: DataFrame) -> DataFrame:
+    """Feature columns as doubles, label and id. Every node has every score, so nothing is filled; a gap fails in the assembler."""
+    feats = features.expand_array(features_table, "node2vec", 2)
+    return feats.select(
+        *[F.col(f"`{c}`").cast("double").alias(c) for c in GRAPH_FULL], F.col("mature").cast("int").alias("label"), "id"
     )
 
 
@@ -98,12 +92,7 @@ def graph_classifier_comparison(spark: SparkSession, base: str, model: str = "fo
 
     Split first (hash of the node id), then oversample the training side only.
     """
-    feats = graph_node_features(spark, base)
-    feats = features.expand_array(feats, "node2vec", 2)
-    feats = feats.select(
-        *[F.col(f"`{c}`").cast("double").alias(c) for c in GRAPH_FULL if c not in ("partner",)],
-        F.col("partner").cast("int").alias("partner"), F.col("mature").cast("int").alias("label"), "id",
-    ).fillna(0.0)
+    feats = classifier_frame(graph_node_features(spark, base))
     train, test = balance.hash_split(feats, ["id"], 0.7)
     train = balance.oversample(train, "label")
     kw = dict(max_depth=20, num_trees=21, seed=42) if model == "forest" else dict(max_iter=1000, reg_param=0.03, elastic_net=0.3)

@@ -1,10 +1,10 @@
 """Independent SQL (DuckDB dialect) for every exactly checkable query in the catalog.
 
 Derived inputs reuse the expression text of :mod:`kestrel.plans.fixtures`.
-Queries whose result depends on randomised training or iteration order
-(models, Louvain, node2vec, betweenness on the whole graph) have no entry
-and are checked by row count here and by property / brute-force tests in
-``tests/``.
+Trained models, Louvain and embeddings have no closed SQL form; their queries return
+facts about the result that SQL can state (rows scored per label, the optimality
+condition, agreement of two computations). Four queries whose values depend on training have no entry
+and are held to brute force or properties in ``tests/``.
 """
 
 from __future__ import annotations
@@ -148,14 +148,67 @@ def one_hot() -> str:
     )
 
 
+def _train_side(keys: str) -> str:
+    """First 32 bits of the MD5 below 70 % of 2^32."""
+    return f"CAST(('0x' || substr(md5(concat_ws('|', {keys})), 1, 8)) AS BIGINT) < {round(0.7 * 2**32)}"
+
+
 def hash_split() -> str:
-    b = "CAST(('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber)), 1, 8)) AS BIGINT) % 100"
+    side = f"CASE WHEN {_train_side('l_orderkey, l_linenumber')} THEN 'train' ELSE 'test' END"
+    return f"SELECT {side} AS side, count(*) AS n_rows, sum(l_quantity) AS sum_qty FROM lineitem GROUP BY 1"
+
+
+def impute_overrides() -> str:
+    sel = []
+    for c in GAPPY_TYPES:
+        fill = {"l_quantity": "25.5", "l_discount": "0.05"}.get(c)
+        sel.append(f"coalesce({c}, CAST({fill} AS DOUBLE)) AS {c}" if fill else c)
+    gap = "CASE WHEN l_orderkey % 3 <> 0 THEN l_linenumber END"
+    mean = f"(SELECT avg({gap}) FROM t)"
+    return f"WITH t AS {_gappy_lineitem()} SELECT {', '.join(sel)}, round(coalesce(CAST({gap} AS DOUBLE), {mean}), 6) AS line_gap FROM t"
+
+
+def summary_text() -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count({c}) AS count, min({c}) AS min, max({c}) AS max FROM {_gappy_orders()} t"
+        for c in ("o_orderstatus", "o_orderpriority")
+    )
+
+
+def correlation_gaps() -> str:
+    cols = ["l_quantity", "l_tax", "l_linenumber"]
+    e = lambda a, b: f"round(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 6)"
+    return f"WITH t AS {_gappy_lineitem()} " + " UNION ALL ".join(
+        f"SELECT '{a}' AS col_a, '{b}' AS col_b, {e(a, b)} AS corr FROM t" for a in cols for b in cols
+    )
+
+
+def spearman() -> str:
+    """Correlation of average ranks."""
+    cols = ["p_size", "p_retailprice"]
+    rank = lambda c: f"(rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0)::DOUBLE AS r_{c}"
+    return f"WITH t AS (SELECT {', '.join(map(rank, cols))} FROM part) " + " UNION ALL ".join(
+        f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr(r_{a}, r_{b}), 6) AS corr FROM t" for a in cols for b in cols
+    )
+
+
+def _cleaned_lineitem() -> str:
+    """Rows of the batch flow after imputation and the NaN / NULL drop, with the label's index."""
     return (
-        f"SELECT CASE WHEN {b} < 70 THEN 'train' ELSE 'test' END AS side, count(*) AS n_rows, "
-        "sum(l_quantity) AS sum_qty FROM lineitem GROUP BY 1"
+        f"t AS {_gappy_lineitem()}, "
+        "mode_flag AS (SELECT l_returnflag AS v FROM t WHERE l_returnflag IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1), "
+        "cleaned AS (SELECT *, coalesce(l_returnflag, (SELECT v FROM mode_flag)) AS flag FROM t "
+        "WHERE NOT coalesce(isnan(l_extendedprice), FALSE) AND NOT coalesce(isnan(l_discount), FALSE) AND l_shipdate IS NOT NULL), "
+        "idx AS (SELECT flag, CAST(row_number() OVER (ORDER BY count(*) DESC, flag) - 1 AS DOUBLE) AS label FROM cleaned GROUP BY 1), "
+        f"test AS (SELECT label FROM cleaned JOIN idx USING (flag) WHERE NOT {_train_side('l_orderkey, l_linenumber, l_partkey')})"
     )
 
 
+def scored_rows() -> str:
+    """Every test row of the batch flow is scored, consistently, per label."""
+    return f"WITH {_cleaned_lineitem()} SELECT label, count(*) AS n, count(*) AS n_consistent, TRUE AS at_least_majority FROM test GROUP BY 1"
+
+
 def _oversampled() -> str:
     return (
         "WITH c AS (SELECT quality, count(*) AS n FROM labels WHERE quality IS NOT NULL GROUP BY 1), "
@@ -221,7 +274,72 @@ def pagerank() -> str:
 def pagerank_summary() -> str:
     return _pagerank_cte() + (
         "SELECT round(min(rank), 6) AS min_score, round(max(rank), 6) AS max_score, "
-        "round(sum(rank), 6) AS score_sum, count(*) AS nodes FROM r20"
+        "round(sum(rank), 6) AS score_sum, count(*) AS nodes, 20 AS iterations FROM r20"
+    )
+
+
+# Brandes in SQL: distances by a keyed recursion, path counts level by level, dependencies from the deepest level back
+BETWEENNESS_CTE = (
+    "adj AS MATERIALIZED (SELECT DISTINCT src, dst FROM merged WHERE src <> dst), "
+    "bfs(s, v, d) USING KEY (s, v) AS (SELECT id, id, 0 FROM ids UNION "
+    "SELECT b.s, a.dst, min(b.d) + 1 FROM bfs b JOIN adj a ON b.v = a.src "
+    "WHERE NOT EXISTS (SELECT 1 FROM recurring.bfs r WHERE r.s = b.s AND r.v = a.dst) GROUP BY b.s, a.dst), "
+    "dist AS MATERIALIZED (SELECT s, v, d FROM bfs), "
+    "dag AS MATERIALIZED (SELECT b.s, a.src AS v, a.dst AS w, b.d FROM dist b JOIN adj a ON b.v = a.src "
+    "JOIN dist c ON c.s = b.s AND c.v = a.dst AND c.d = b.d + 1), "
+    "paths(s, v, d, sigma) AS (SELECT id, id, 0, 1.0::DOUBLE FROM ids UNION ALL "
+    "SELECT g.s, g.w, g.d + 1, sum(p.sigma) FROM paths p JOIN dag g ON g.s = p.s AND g.v = p.v GROUP BY g.s, g.w, g.d), "
+    "sig AS MATERIALIZED (SELECT * FROM paths), "
+    "back(s, v, d, delta) AS (SELECT s, v, d, 0.0::DOUBLE FROM sig WHERE d = (SELECT max(d) FROM sig) UNION ALL "
+    "SELECT x.s, x.v, x.d, coalesce(sum(x.sigma / y.sigma * (1 + w.delta)), 0.0) FROM sig x "
+    "JOIN (SELECT DISTINCT d FROM back) l ON x.d = l.d - 1 LEFT JOIN dag g ON g.s = x.s AND g.v = x.v "
+    "LEFT JOIN back w ON w.s = g.s AND w.v = g.w LEFT JOIN sig y ON y.s = g.s AND y.v = g.w GROUP BY x.s, x.v, x.d), "
+    "bc AS (SELECT ids.id, coalesce(sum(delta), 0.0) AS score FROM ids LEFT JOIN back ON back.v = ids.id AND back.s <> back.v GROUP BY 1)"
+)
+
+
+def betweenness() -> str:
+    return f"WITH RECURSIVE {GRAPH_CTE}, {BETWEENNESS_CTE} SELECT id, round(score, 6) AS betweenness FROM bc"
+
+
+def betweenness_summary() -> str:
+    return (
+        f"WITH RECURSIVE {GRAPH_CTE}, {BETWEENNESS_CTE} SELECT round(min(score), 6) AS min_score, "
+        "round(max(score), 6) AS max_score, round(sum(score), 6) AS score_sum, count(*) AS nodes FROM bc"
+    )
+
+
+def random_walks(seed: int = 42, length: int = 4, walks: int = 2) -> str:
+    """Replay of the hashed walks, a step per CTE."""
+    parts = [
+        GRAPH_CTE,
+        "outs AS (SELECT src, dst, count(*) OVER (PARTITION BY src) AS deg FROM (SELECT DISTINCT src, dst FROM merged))",
+        "hops AS (SELECT src, dst, deg, row_number() OVER (PARTITION BY src ORDER BY "
+        "('0x' || substr(md5(dst::VARCHAR), 1, 8))::BIGINT % CAST(ceil(deg / 10000) AS BIGINT), dst) - 1 AS idx FROM outs)",
+        f"w0 AS (SELECT id, walk, id AS node, id::VARCHAR AS path, TRUE AS walking FROM ids, (SELECT unnest(range({walks})) AS walk))",
+    ]
+    for k in range(1, length):
+        h = f"('0x' || substr(md5('{seed}:' || id || ':' || walk || ':{k}'), 1, 8))::BIGINT"
+        parts.append(
+            f"w{k} AS (SELECT w.id, w.walk, coalesce(h.dst, w.node) AS node, CASE WHEN h.dst IS NULL THEN w.path ELSE w.path || ',' || h.dst END AS path, "
+            f"h.dst IS NOT NULL AS walking FROM (SELECT *, {h} AS h FROM w{k - 1}) w LEFT JOIN hops h ON w.walking AND h.src = w.node AND h.idx = w.h % h.deg)"
+        )
+    return "WITH " + ", ".join(parts) + f" SELECT id, walk, path FROM w{length - 1}"
+
+
+def node_facts() -> str:
+    return (
+        f"WITH RECURSIVE {_pagerank_cte()[len('WITH '):].rstrip()}, {TRIANGLE_CTE}, {BETWEENNESS_CTE} "
+        "SELECT n.new_id AS id, CAST(n.days AS DOUBLE) AS days, n.mature, n.partner, n.views, round(bc.score, 6) AS betweenness, "
+        'round(r20.rank, 6) AS "pageRank", CAST(coalesce(per.n, 0) AS DOUBLE) AS triangles, TRUE AS has_community, 2 AS width '
+        "FROM nodes n JOIN bc ON bc.id = n.new_id JOIN r20 ON r20.id = n.new_id LEFT JOIN per ON per.id = n.new_id"
+    )
+
+
+def comparison(model: str) -> str:
+    side = f"SELECT count(*) FROM nodes WHERE NOT {_train_side('new_id')}"
+    return f"WITH {GRAPH_CTE} " + " UNION ALL ".join(
+        f"SELECT '{name}' AS feature_set, '{model}' AS model, ({side}) AS n, TRUE AS are_shares" for name in ("graph", "basic")
     )
 
 
@@ -240,7 +358,7 @@ def triangles() -> str:
 def triangle_total() -> str:
     return (
         f"WITH {GRAPH_CTE}, {TRIANGLE_CTE} SELECT CAST((SELECT count(*) FROM tri) AS BIGINT) AS global_triangles, "
-        "(SELECT count(*) FROM ids) AS nodes"
+        "(SELECT count(*) FROM ids) AS nodes, (SELECT count(*) FROM merged) AS relationships"
     )
 
 
@@ -258,14 +376,26 @@ def modularity() -> str:
 
 
 def save_load() -> str:
-    """Every test row of the batch flow is scored identically by the re-loaded
-    model: ``n_equal = n`` = rows left after imputation and the NaN / NULL drop,
-    in hash buckets 70..99 of (orderkey, linenumber, partkey)."""
-    b = "CAST(('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey)), 1, 8)) AS BIGINT) % 100"
+    """Every test row of the batch flow is scored identically by the re-loaded model."""
+    return f"WITH {_cleaned_lineitem()} SELECT count(*) AS n, count(*) AS n_equal FROM test"
+
+
+def declared_layouts() -> str:
+    """Layout widths, rows, sums of Severity (4th of 49 columns, 2nd of 33) and lengths of the last column's text."""
+    src = "(" + fx.sql_select(fx.LAYOUT_LINEITEM, "lineitem") + ") t"
     return (
-        f"WITH t AS {_gappy_lineitem()} SELECT count(*) AS n, count(*) AS n_equal FROM t "
-        f"WHERE NOT coalesce(isnan(l_extendedprice), FALSE) AND NOT coalesce(isnan(l_discount), FALSE) "
-        f"AND l_shipdate IS NOT NULL AND {b} >= 70"
+        f"SELECT 'accidents' AS layout, 49 AS width, count(*) AS n, CAST(sum(k + 3) AS BIGINT) AS severity, "
+        f"CAST(sum(length('48:' || note)) AS BIGINT) AS last_length FROM {src} UNION ALL "
+        f"SELECT 'encoded', 33, count(*), CAST(sum(k + 1) AS BIGINT), CAST(sum(length(CAST(k + 32 AS VARCHAR) || '.0')) AS BIGINT) FROM {src}"
+    )
+
+
+def stream_training() -> str:
+    key = "CAST(CAST(l_orderkey AS DOUBLE) AS VARCHAR), CAST(l_quantity AS VARCHAR)"
+    return (
+        f"SELECT CAST(count(*) FILTER (WHERE {_train_side(key)}) AS BIGINT) AS n_train, "
+        f"CAST(count(*) FILTER (WHERE NOT {_train_side(key)}) AS BIGINT) AS n_test, "
+        f"CAST(count(*) FILTER (WHERE NOT {_train_side(key)}) AS BIGINT) AS n_scored, TRUE AS are_shares FROM lineitem"
     )
 
 
@@ -325,6 +455,10 @@ def oracle_sql() -> dict[str, str]:
         "hash_split": hash_split(),
         "replicate": " UNION ALL ".join(["SELECT doc_id, quality, toxic FROM labels"] * 3),
         "oversample": _oversampled() + "SELECT doc_id, quality, toxic FROM o",
+        "class_ratio": (
+            "SELECT max(n) AS major, min(n) AS minor, CAST(floor(max(n) / min(n)) AS BIGINT) + 1 AS ratio "
+            "FROM (SELECT count(*) AS n FROM labels WHERE quality IS NOT NULL GROUP BY quality)"
+        ),
         "label_counts": _oversampled() + "SELECT quality, count(*) AS n FROM o GROUP BY 1",
         "weighted_metrics": weighted_metrics(),
         "accuracy": (
@@ -332,8 +466,11 @@ def oracle_sql() -> dict[str, str]:
             f"count(*) AS n FROM ({fx.sql_select(fx.RULE_PREDICTIONS, 'lineitem')}) p"
         ),
         "graph_load_counts": (
-            f"WITH {GRAPH_CTE} SELECT (SELECT count(*) FROM nodes) AS nodes, (SELECT count(*) FROM loaded) AS edges_loaded, "
-            "(SELECT count(*) FROM merged) AS edges_merged"
+            f"WITH {GRAPH_CTE} SELECT 'nodes' AS step, count(*) AS n FROM nodes UNION ALL SELECT 'edges_loaded', count(*) FROM loaded "
+            "UNION ALL SELECT 'edges_merged', count(*) FROM merged"
+        ),
+        "graph_load_csv": (
+            f"WITH {GRAPH_CTE} SELECT 'nodes' AS step, count(*) AS n FROM nodes UNION ALL SELECT 'edges_loaded', count(*) FROM loaded"
         ),
         "merge_edges": f"WITH {GRAPH_CTE} SELECT src, dst FROM merged",
         "project_undirected": (
@@ -346,5 +483,37 @@ def oracle_sql() -> dict[str, str]:
         "modularity": modularity(),
         "save_load": save_load(),
         "csv_roundtrip": "SELECT * FROM lineitem",
+        "csv_text_roundtrip": fx.sql_select(fx.AWKWARD_DOCUMENTS, "documents"),
+        "declared_layouts": declared_layouts(),
+        "summary_text": summary_text(),
+        "correlation_gaps": correlation_gaps(),
+        "spearman": spearman(),
+        "project": "SELECT o_orderpriority, o_orderkey, o_totalprice FROM orders",
+        "rename": "SELECT doc_id, quality AS is_good, toxic AS is_toxic FROM labels",
+        "impute_overrides": impute_overrides(),
+        "random_split": "SELECT count(*) AS n_rows, sum(l_quantity) AS sum_qty, CAST(sum(l_orderkey) AS BIGINT) AS sum_keys FROM lineitem",
+        "logistic": scored_rows(),
+        "perceptron": scored_rows(),
+        "fit_stages": scored_rows(),
+        "logistic_optimum": "SELECT count(*) AS n, TRUE AS optimal FROM lineitem",
+        "forest_importances": (
+            "SELECT feature, CAST(1.0 AS DOUBLE) AS total, TRUE AS is_share FROM (SELECT unnest(["
+            "'betweenness', 'days', 'louvain', 'pageRank', 'partner', 'triangles', 'views', 'node2vec[0]', 'node2vec[1]']) AS feature)"
+        ),
+        "compare_feature_sets": comparison("forest"),
+        "graph_logistic": comparison("logistic"),
+        "betweenness": betweenness(),
+        "betweenness_summary": betweenness_summary(),
+        "louvain": f"WITH {GRAPH_CTE} SELECT id, TRUE AS named FROM ids",
+        "louvain_levels": f"WITH {GRAPH_CTE} SELECT count(*) AS edges, TRUE AS rises, TRUE AS agrees FROM merged",
+        "random_walks": random_walks(),
+        "node2vec": f"WITH {GRAPH_CTE} SELECT id, 2 AS width FROM ids",
+        "node_features": node_facts(),
+        "export_nodes": node_facts(),
+        "stream_train_per_batch": stream_training(),
+        "score_stream": (
+            "SELECT CASE WHEN l_returnflag = 'N' THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END AS label, "
+            "count(*) AS n, count(*) AS n_equal FROM lineitem GROUP BY 1"
+        ),
         "stream_counts": "SELECT event_type, count(*) AS n, round(sum(value), 6) AS value_sum FROM events GROUP BY 1",
     }

@@ -28,14 +28,6 @@ def tuned_builder(master: str = "local[8]", shuffle_partitions: int = 8, driver_
     return b.config("spark.sql.shuffle.partitions", str(shuffle_partitions)).config("spark.driver.memory", driver_memory)
 
 
-def parallelism(spark: SparkSession) -> int:
-    """Default parallelism of the cluster (shuffle partitions when no context is reachable)."""
-    try:
-        return int(spark.sparkContext.defaultParallelism)
-    except Exception:  # noqa: BLE001 - e.g. a Connect session has no SparkContext
-        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def application_id(spark: SparkSession) -> str:
     try:
         return spark.sparkContext.applicationId
@@ -46,9 +38,9 @@ def application_id(spark: SparkSession) -> str:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (unit tests, a bare local session) a
-    temporary folder is set, so ``DataFrame.checkpoint()`` is always reliable
-    (written to storage, never ``localCheckpoint``).
+    Only a local session (unit tests) that has none gets a temporary folder: there
+    driver and tasks share a disk. On a cluster a missing setting raises, as a
+    machine-local folder would leave executors without each other's files.
     """
     try:
         sc = spark.sparkContext
@@ -58,6 +50,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return sc.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.conf.get("spark.master", "").split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="kestrel-ckpt-")
     if sc is None:
         return configured
@@ -65,24 +59,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/kestrel-scratch/{application_id(spark)}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint location for intermediate tables."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/kestrel-scratch/{name}-{uuid.uuid4().hex}"
+    """A fresh folder of this application under the shared checkpoint location."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's scratch folder, when no frame that reads from it is used any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def cut_lineage(df, eager: bool = True):
-    """Materialise ``df`` into the reliable checkpoint folder and truncate its plan.
+def cut_lineage(df):
+    """Write ``df`` once into the shared scratch folder and read it back.
 
     Used by iterative operators (PageRank, BFS levels, Louvain sweeps) so the
     plan does not grow with the iteration count and a lost executor does not
-    replay every previous round.
+    replay previous rounds. Unlike ``checkpoint()`` the plan runs a single time
+    and nothing has to be cached; ``clear_scratch`` removes the files.
     """
-    checkpoint_dir(df.sparkSession)
-    if not eager:
-        return df.checkpoint(eager=False)
-    # cache first: the checkpoint write then reads the cached blocks instead
-    # of recomputing the plan a second time
-    df.persist()
-    out = df.checkpoint(eager=True)
-    df.unpersist()
-    return out
+    path = scratch_path(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,5 +1,5 @@
 from kestrel.sources.schemas import ACCIDENTS_SCHEMA, ENCODED_ACCIDENTS_SCHEMA, NODE_FEATURES_SCHEMA
-from kestrel.sources.files import read_csv, read_table, write_features, load_tables
+from kestrel.sources.files import read_csv, read_table, write_features
 
 __all__ = [
     "ACCIDENTS_SCHEMA",
@@ -8,5 +8,4 @@ __all__ = [
     "read_csv",
     "read_table",
     "write_features",
-    "load_tables",
 ]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 TABLES = (
@@ -13,34 +14,59 @@ TABLES = (
 CSV_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
-def read_table(spark: SparkSession, base: str, name: str, balance: bool = False) -> DataFrame:
-    """Parquet table ``<base>/<name>.parquet``; filters and projections push into the scan.
+def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """Parquet table ``<base>/<name>.parquet``; filters and projections push into the scan."""
+    return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+
+
+# Text in files that this package writes: a line break, a backslash, NULL and the
+# empty text each get a two-character code, so that a record is one line and
+# files stay splittable. ``\\s`` is decoded last: no other code can arise from it.
+_CODES = (("\\", "\\s"), ("\n", "\\n"), ("\r", "\\r"))
+_NULL, _EMPTY = "\\0", "\\e"
+
+
+def encode_text(df: DataFrame) -> DataFrame:
+    """Each text column in its one-line form (reversed by ``decode_text``)."""
+    out = {}
+    for f in df.schema.fields:
+        if isinstance(f.dataType, T.StringType):
+            c = quoted(f.name)
+            for raw, code in _CODES:
+                c = F.replace(c, F.lit(raw), F.lit(code))
+            c = F.when(c == "", F.lit(_EMPTY)).otherwise(F.coalesce(c, F.lit(_NULL)))
+            out[f.name] = c
+    return df.withColumns(out) if out else df
 
-    A file written as a single row group is read by a single task whatever
-    the split size. With ``balance`` (for CPU-heavy per-row work), when the
-    scan yields fewer partitions than the cluster's
-    default parallelism, rows are spread round-robin over that many
-    partitions so per-row work (hashes, sketches, parsing) uses every core.
-    Projections and filters are still pushed below the repartition into the
-    scan. A large input has many splits, so the check (planning only, no
-    job) leaves it untouched.
-    """
-    df = spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
-    if balance:
-        from kestrel.session import parallelism
 
-        want = parallelism(spark)
-        try:
-            have = df.rdd.getNumPartitions()
-        except Exception:  # noqa: BLE001 - no RDD view (Connect): leave the scan as it is
-            have = want
-        if have < want:
-            df = df.repartition(want)
-    return df
+def decode_text(df: DataFrame) -> DataFrame:
+    """Text columns of files written with ``encode_text``; works on a stream too."""
+    out = {}
+    for f in df.schema.fields:
+        if isinstance(f.dataType, T.StringType):
+            raw = c = quoted(f.name)
+            for plain, code in reversed(_CODES):
+                c = F.replace(c, F.lit(code), F.lit(plain))
+            out[f.name] = F.when(raw == _NULL, F.lit(None)).when(raw == _EMPTY, F.lit("")).otherwise(c)
+    return df.withColumns(out) if out else df
 
 
-def load_tables(spark: SparkSession, base: str, names=TABLES) -> dict[str, DataFrame]:
-    return {n: read_table(spark, base, n) for n in names}
+def quoted(name: str):
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def csv_options(header: bool, sep: str, timestamp_format: str = CSV_TIMESTAMP_FORMAT) -> dict:
+    """Options that reader and writer share: quotes are doubled, blanks are text."""
+    return {
+        "header": header,
+        "sep": sep,
+        "quote": '"',
+        "escape": '"',
+        "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
+        "timestampFormat": timestamp_format,
+        "timestampNTZFormat": timestamp_format,
+    }
 
 
 def read_csv(
@@ -50,17 +76,18 @@ def read_csv(
     header: bool = True,
     sep: str = ",",
     timestamp_format: str = CSV_TIMESTAMP_FORMAT,
+    encoded: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """CSV with an explicit schema bound by position; no inference pass."""
-    return (
-        spark.read.schema(schema)
-        .option("header", header)
-        .option("sep", sep)
-        .option("timestampFormat", timestamp_format)
-        .option("timestampNTZFormat", timestamp_format)
-        .option("mode", "PERMISSIVE")
-        .csv(path)
-    )
+    """CSV with an explicit schema bound by position; no inference pass.
+
+    ``encoded``: the file was written by ``write_features``; every text comes back
+    exactly, NULL apart from empty. A file from elsewhere with line breaks inside
+    quotes needs ``multi_line``, which makes each file one task.
+    """
+    options = csv_options(header, sep, timestamp_format) | {"mode": "PERMISSIVE", "multiLine": multi_line}
+    df = spark.read.schema(schema).options(**options).csv(path)
+    return decode_text(df) if encoded else df
 
 
 def write_features(
@@ -73,16 +100,9 @@ def write_features(
 ) -> str:
     """Write a feature table as CSV part files (the stream's input layout).
 
-    ``files`` only reduces the file count with a narrow ``coalesce``; the write
-    itself stays parallel per partition.
+    Text is written in its one-line form (``encode_text``). ``files`` only reduces
+    the file count with a narrow ``coalesce``; the write itself stays parallel per partition.
     """
     out = df.coalesce(files) if files else df
-    (
-        out.write.mode("overwrite")
-        .option("header", header)
-        .option("sep", sep)
-        .option("timestampFormat", timestamp_format)
-        .option("timestampNTZFormat", timestamp_format)
-        .csv(path)
-    )
+    encode_text(out).write.mode("overwrite").options(**csv_options(header, sep, timestamp_format)).csv(path)
     return path

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from kestrel.operators.balance import hash_split
 from kestrel.operators.evaluate import weighted_metrics
+from kestrel.sources.files import csv_options, decode_text
 
 
 def read_csv_stream(
@@ -26,12 +27,18 @@ def read_csv_stream(
     header: bool = False,
     sep: str = ",",
     max_files_per_trigger: int | None = None,
+    encoded: bool = True,
 ) -> DataFrame:
-    """S3: a directory of CSV files as an unbounded DataFrame (schema bound by position)."""
-    r = spark.readStream.schema(schema).option("header", header).option("sep", sep)
+    """S3: a directory of CSV files as an unbounded DataFrame (schema bound by position).
+
+    ``encoded``: the files were written by ``sources.files.write_features``, whose text
+    columns are decoded; pass False for files from elsewhere.
+    """
+    r = spark.readStream.schema(schema).options(**csv_options(header, sep))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.csv(path)
+    df = r.csv(path)
+    return decode_text(df) if encoded else df
 
 
 def prepare(stream: DataFrame, renames: dict[str, str]) -> DataFrame:
@@ -50,20 +57,19 @@ def write_epoch(df: DataFrame, epoch_id: int, path: str) -> None:
     )
 
 
-def run_batches(stream: DataFrame, fn, checkpoint: str, available_now: bool = True, timeout_s: float | None = 600):
+def run_batches(stream: DataFrame, fn, checkpoint: str, timeout_s: float | None = None):
     """``foreachBatch(fn)`` with a checkpoint; process what is there and stop.
 
-    ``availableNow`` drains the source in (possibly several) bounded batches
-    and terminates, instead of a default trigger waiting forever.
+    ``availableNow`` drains the source in (possibly several) bounded batches and
+    ends by itself, however long that takes. With ``timeout_s`` a stream that is
+    still running then is stopped and ``TimeoutError`` is raised: a result is
+    complete or there is none. The checkpoint lets a second call go on from there.
     """
-    w = stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 seconds")
-    q = w.start()
-    q.awaitTermination(timeout_s)
-    if q.isActive:
+    q = stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    done = q.awaitTermination(timeout_s) if timeout_s is not None else (q.awaitTermination() or True)
+    if not done:
         q.stop()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+        raise TimeoutError(f"the stream was not drained within {timeout_s} s")
     return q
 
 
@@ -81,8 +87,9 @@ def train_per_batch(
     writes ``(accuracy, weighted_precision, weighted_recall, weighted_f1, n,
     n_train, n_test)`` for the epoch. Nothing is carried between batches.
 
-    A batch with an empty side or a single label class is recorded with NULL
-    metrics instead of failing the stream.
+    Rows without a label are left out. A NULL feature fails the batch, as
+    training on part of the rows would go unnoticed: impute first. A batch with an empty side or a
+    training side of a single class is recorded with NULL metrics instead of failing the stream.
     """
 
     def fn(batch: DataFrame, epoch_id: int) -> None:
@@ -90,12 +97,8 @@ def train_per_batch(
         batch = batch.where(F.col(label).isNotNull()).persist()
         try:
             train, test = hash_split(batch, keys, train_fraction)
-            stats = batch.agg(
-                F.count_if(F.lit(True)).alias("n"),
-                F.countDistinct(label).alias("classes"),
-            ).head()
-            n_train = train.count()
-            n_test = stats["n"] - n_train
+            stats = train.agg(F.count(F.lit(1)).alias("n"), F.countDistinct(label).alias("classes")).head()
+            n_train, n_test = stats["n"], test.count()
             spark = batch.sparkSession
             if n_train == 0 or n_test == 0 or stats["classes"] < 2:
                 res = spark.createDataFrame(
@@ -105,7 +108,7 @@ def train_per_batch(
                 )
             else:
                 model = Pipeline(stages=[
-                    VectorAssembler(inputCols=features, outputCol="features", handleInvalid="skip"),
+                    VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error"),
                     LogisticRegression(maxIter=max_iter, regParam=reg_param, elasticNetParam=elastic_net, labelCol=label),
                 ]).fit(train)
                 scored = model.transform(test)

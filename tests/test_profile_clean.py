@@ -43,11 +43,45 @@ def test_modes_ignore_null_and_break_ties_by_value(spark):
 
 def test_summary_exact_percentiles(spark):
     df = spark.range(1, 101).select(F.col("id").cast("double").alias("v"))
-    r = profile.summary(df, accuracy=1_000_000).head()
+    r = profile.summary(df).head()
     assert (r["count"], r["mean"], r["min"], r["max"]) == (100, 50.5, 1.0, 100.0)
     assert (r["p25"], r["p50"], r["p75"]) == (25.0, 50.0, 75.0)
 
 
+def test_percentiles_are_exact_over_a_million_rows_with_ties_and_gaps(spark):
+    n = 1_200_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 10 != 0, ((F.col("id") * 7919) % 1_000_003).cast("double")).alias("v"), (F.col("id") % 3).cast("int").alias("w")
+    )
+    got = {(r["column_name"], r["p"]): r["value"] for r in profile.exact_percentiles(df, ["v", "w"], (0.0, 0.25, 0.5, 0.999, 1.0)).collect()}
+    values = sorted(float((i * 7919) % 1_000_003) for i in range(n) if i % 10)
+    small = sorted(float(i % 3) for i in range(n))
+    for p in (0.0, 0.25, 0.5, 0.999, 1.0):
+        assert got[("v", p)] == values[max(1, math.ceil(p * len(values))) - 1]
+        assert got[("w", p)] == small[max(1, math.ceil(p * n)) - 1]
+
+
+def test_summary_of_text_and_of_empty_columns(spark):
+    df = spark.createDataFrame([("b", None), (None, None), ("a", None)], "s string, x double")
+    assert [tuple(r) for r in profile.summary_text(df).collect()] == [("s", 2, "a", "b")]
+    r = profile.summary(df).head()
+    assert (r["count"], r["mean"], r["p50"]) == (0, None, None)
+
+
+def test_correlation_skips_rows_with_gaps(spark):
+    rows = [(float(i), float(i * i % 7), None if i % 4 == 0 else float(i % 5)) for i in range(60)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    m = {(r["col_a"], r["col_b"]): r["corr"] for r in profile.correlation(df).collect()}
+    want = df.agg(F.corr("a", "b").alias("ab"), F.corr("a", "c").alias("ac")).head()
+    assert math.isclose(m[("a", "b")], want["ab"], rel_tol=1e-9) and math.isclose(m[("c", "a")], want["ac"], rel_tol=1e-9)
+    assert len(m) == 9
+
+
+def test_mean_fill_of_integers_is_not_truncated(spark):
+    df = spark.createDataFrame([(1,), (2,), (None,)], "k int")
+    assert sorted(r["k"] for r in clean.impute_mean(df, ["k"]).collect()) == [1.0, 1.5, 2.0]
+
+
 def test_correlation_symmetric_unit_diagonal(spark):
     df = spark.range(0, 50).select(
         F.col("id").cast("double").alias("a"), (F.col("id") * F.col("id")).cast("double").alias("b"), (-F.col("id")).alias("c")

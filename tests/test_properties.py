@@ -20,6 +20,13 @@ def test_hash_split_partitions_rows(spark, keys, frac):
     assert not set(a) & set(b)  # equal keys always land on the same side
 
 
+def test_extreme_fractions_keep_both_sides(spark):
+    df = spark.range(50_000).withColumnRenamed("id", "k")
+    for frac in (0.995, 0.004):
+        n = balance.hash_split(df, ["k"], frac)[0].count()
+        assert abs(n / 50_000 - frac) < 0.002 and 0 < n < 50_000
+
+
 @SETTINGS
 @given(n=st.integers(min_value=0, max_value=30), k=st.integers(min_value=1, max_value=5))
 def test_replicate_multiplies(spark, n, k):
