@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -19,7 +18,7 @@ SAMPLE_TOXIC, SAMPLE_CLEAN = 2048, 4096
 MAX_LEXICON = 256  # lexicon voters
 STEMS = (4, 5)  # word beginnings that can be lexicon entries
 MIN_FIRES = 4  # documents of the sample that an entry must be in
-MIN_LIFT = 50.0  # how much likelier an entry must be in toxic documents than in clean ones
+MAX_CLEAN = 0.01  # share of clean documents among those of the sample that hold an entry
 CHANCE = 0.01
 ROUNDS = 50
 MIN_CORRELATION = 0.15  # residual correlation from which voters are of one group
@@ -89,27 +88,44 @@ class Model:
     correlation: np.ndarray | None = None
 
 
-def lexicon(docs: list[set[str]], toxic: np.ndarray) -> list[str]:
+@dataclass
+class Sample:
+    """Features of the labelled texts: ``names`` numbers them, ``col`` lists each document's, ``row`` its documents."""
+
+    names: list[str]
+    row: np.ndarray
+    col: np.ndarray
+    toxic: np.ndarray
+
+    @staticmethod
+    def of(texts: list[str], toxic: list[int]) -> Sample:
+        at: dict[str, int] = {}
+        cols = [np.fromiter((at.setdefault(f, len(at)) for f in sorted(features(t))), np.int32) for t in texts]
+        row = np.repeat(np.arange(len(cols), dtype=np.int32), [len(c) for c in cols])
+        return Sample(list(at), row, np.concatenate([np.zeros(0, np.int32), *cols]), np.array(toxic, float))
+
+    def counts(self, weight: np.ndarray) -> np.ndarray:
+        """Sum of the documents' weights for each feature."""
+        return np.bincount(self.col, weight[self.row], len(self.names))
+
+
+def lexicon(sample: Sample) -> list[int]:
     """Entries (words, beginnings) that mark toxic documents, the most telling first.
 
-    An entry must be MIN_LIFT times likelier in toxic documents than in clean ones, and so far beyond
-    chance that not even one of all candidates would be expected there in CHANCE trials (Chernoff bound).
+    At most MAX_CLEAN of the documents that hold an entry may be clean, and it must be in so many that by
+    chance not one of all candidates would be, but for a probability of CHANCE (Chernoff bound).
     """
-    bad, good = Counter(), Counter()
-    for d, t in zip(docs, toxic, strict=True):
-        (bad if t else good).update(f for f in d if f[0] != "~")
-    n_bad, n_good = max(int(toxic.sum()), 1), max(int((1 - toxic).sum()), 1)
+    y = sample.toxic
+    bad, good = sample.counts(y), sample.counts(1 - y)
+    n_bad, n_good = max(y.sum(), 1), max((1 - y).sum(), 1)
     base = n_bad / (n_bad + n_good)
-    found = {f: c for f, c in bad.items() if c >= MIN_FIRES}
-    needed = np.log(max(len(found), 1) / CHANCE)
-    gain = {}
-    for f, c in found.items():
-        share = min(c / (c + good[f]), 1 - 1e-9)
-        lift = ((c + 0.5) / n_bad) / ((good[f] + 0.5) / n_good)
-        evidence = (c + good[f]) * (share * np.log(share / base) + (1 - share) * np.log((1 - share) / (1 - base)))
-        if lift >= MIN_LIFT and evidence >= needed:
-            gain[f] = evidence
-    return sorted(gain, key=lambda f: (-gain[f], f))[:MAX_LEXICON]
+    found = np.flatnonzero((bad >= MIN_FIRES) & np.array([f[0] != "~" for f in sample.names], bool))
+    b, g = bad[found], good[found]
+    share = np.minimum(b / (b + g), 1 - 1e-9)
+    evidence = (b + g) * (share * np.log(share / base) + (1 - share) * np.log((1 - share) / (1 - base)))
+    chosen = np.flatnonzero((g <= MAX_CLEAN * (b + g)) & (evidence >= np.log(max(len(found), 1) / CHANCE)))
+    order = sorted(chosen, key=lambda k: (-evidence[k], sample.names[found[k]]))
+    return [int(found[k]) for k in order[:MAX_LEXICON]]
 
 
 def label_model(votes: np.ndarray, start: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -145,25 +161,22 @@ def label_model(votes: np.ndarray, start: np.ndarray, prior: float) -> tuple[np.
     return post, fires, corr
 
 
-def linear_classifier(docs: list[set[str]], target: np.ndarray) -> tuple[float, dict[str, float]]:
+def linear_classifier(sample: Sample, target: np.ndarray) -> tuple[float, dict[str, float]]:
     """L1-regularised logistic regression on binary features with soft targets (accelerated proximal steps).
 
     Features of under MIN_FIRES documents, or whose difference between the targets is within MIN_Z
     standard errors of none, are left out; MAX_FEATURES at most, the most telling first.
     """
-    n, mean = len(docs), target.mean()
-    df, sums = Counter(), Counter()
-    for d, t in zip(docs, target, strict=True):
-        df.update(d)
-        for f in d:
-            sums[f] += t - mean
-    spread = target.var() + 1e-9
-    z = {f: abs(sums[f]) / np.sqrt(c * (1 - c / n) * spread + 1e-9) for f, c in df.items() if MIN_FIRES <= c < n}
-    names = sorted((f for f, x in z.items() if x >= MIN_Z), key=lambda f: (-z[f], f))[:MAX_FEATURES]
-    at = {f: i for i, f in enumerate(names)}
-    cols = [np.fromiter(sorted(at[f] for f in d if f in at), np.int64) for d in docs]
-    row = np.repeat(np.arange(n), [len(c) for c in cols])
-    col = np.concatenate(cols)
+    n, mean = len(target), target.mean()
+    df = sample.counts(np.ones(n))
+    z = np.abs(sample.counts(target - mean)) / np.sqrt(df * (1 - df / n) * (target.var() + 1e-9) + 1e-9)
+    able = np.flatnonzero((df >= MIN_FIRES) & (df < n) & (z >= MIN_Z))
+    kept = sorted(able, key=lambda f: (-z[f], sample.names[f]))[:MAX_FEATURES]
+    names = [sample.names[f] for f in kept]
+    place = np.full(len(sample.names), -1, np.int32)
+    place[kept] = np.arange(len(kept))
+    col = place[sample.col]
+    row, col = sample.row[col >= 0], col[col >= 0]
 
     def gradient(w, b):
         z = np.bincount(row, w[col], n) + b
@@ -187,26 +200,28 @@ def linear_classifier(docs: list[set[str]], target: np.ndarray) -> tuple[float,
         w = v - step * gw
         w = np.sign(w) * np.maximum(np.abs(w) - step * L1, 0)
         b = vb - step * gb
-    return float(b), {f: float(w[i]) for f, i in at.items() if w[i]}
+    return float(b), {f: float(x) for f, x in zip(names, w, strict=True) if x}
 
 
 def fit(texts: list[str], toxic: list[int]) -> Model:
     """Fit voters, label model and classifier; with no labelled text every score is 0.01."""
-    y = np.array(toxic, float)
-    docs = [features(t) for t in texts]
-    if not docs or not y.any():
-        return Model(float(np.log(0.01 / 0.99)), {})
-    voters = lexicon(docs, y) + [f"~{i}" for i in range(len(PATTERNS))]
-    votes = np.array([[v in d for v in voters] for d in docs], float)
-    seen = votes.any(axis=0)
-    voters, votes = [v for v, s in zip(voters, seen, strict=True) if s], votes[:, seen]
+    sample = Sample.of(texts, toxic)
+    nothing = Model(float(np.log(0.01 / 0.99)), {})
+    if not sample.toxic.any():
+        return nothing
+    entries = lexicon(sample)
+    voters = entries + [i for i, f in enumerate(sample.names) if f[0] == "~"]
     if not voters:
-        return Model(float(np.log(0.01 / 0.99)), {})
-    n_lexicon = sum(v[0] != "~" for v in voters)
-    start = np.where(votes[:, : n_lexicon or None].any(axis=1), 0.9, 0.001)
-    post, fires, corr = label_model(votes > 0, start, float(np.clip(y.mean(), 0.001, 0.999)))
-    bias, weights = linear_classifier(docs, post)
-    return Model(bias, weights, voters, fires, corr)
+        return nothing
+    place = np.full(len(sample.names), -1, np.int32)
+    place[voters] = np.arange(len(voters))
+    votes = np.zeros((len(sample.toxic), len(voters)), bool)
+    hit = place[sample.col] >= 0
+    votes[sample.row[hit], place[sample.col[hit]]] = True
+    start = np.where(votes[:, : len(entries) or None].any(axis=1), 0.9, 0.001)
+    post, fires, corr = label_model(votes, start, float(np.clip(sample.toxic.mean(), 0.001, 0.999)))
+    bias, weights = linear_classifier(sample, post)
+    return Model(bias, weights, [sample.names[v] for v in voters], fires, corr)
 
 
 def sample_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
@@ -215,15 +230,16 @@ def sample_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     Only labels of rows that are not ``held_out`` are read. Of several labels of a document the
     highest counts; of several rows of an id one.
     """
-    known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = known.where(~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("_d"), "toxic")
+    known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
+    known = known.where(~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("_d"), "_toxic")
     order = F.xxhash64(F.col("_d").cast("long"), F.lit(8))
-    pick = lambda label, n: known.where(F.col("toxic") == label).orderBy(order, "_d").limit(n)
+    pick = lambda label, n: known.where(F.col("_toxic") == label).orderBy(order, "_d").limit(n)
     # a table of SAMPLE_TOXIC + SAMPLE_CLEAN rows at most
     chosen = F.broadcast(pick(1, SAMPLE_TOXIC).union(pick(0, SAMPLE_CLEAN)))
-    rows = docs.join(chosen, docs[id_col] == F.col("_d")).select("_d", F.coalesce(docs[text_col], F.lit("")).alias("t"), "toxic").collect()
+    texts = docs.select(F.col(id_col).alias("_i"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    rows = texts.join(chosen, F.col("_i") == F.col("_d")).select("_d", "t", "_toxic").collect()
     rows = sorted({r["_d"]: r for r in sorted(rows, key=lambda r: (r["_d"], r["t"]))}.values(), key=lambda r: r["_d"])
-    return fit([r["t"] for r in rows], [r["toxic"] for r in rows])
+    return fit([r["t"] for r in rows], [r["_toxic"] for r in rows])
 
 
 def _score(model: Model):
