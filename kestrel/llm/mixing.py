@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from kestrel.llm.common import WORD, hex60, materialise
+from kestrel.llm.common import WORD, hex60, materialise, salted_join
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -28,6 +28,11 @@ class Mix(NamedTuple):
     quotas: DataFrame  # shard, source, quota (blocks)
 
 
+def seeded_place(seed: int) -> Column:
+    """Place of ``doc_id`` in the seeded order of its source, 60 bits."""
+    return hex60(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
+
+
 def source_targets(sizes: DataFrame, weights: Sequence[int], share: float, max_repeats: int) -> DataFrame:
     """Water-filling of ``share`` x all tokens over the sources.
 
@@ -139,13 +144,12 @@ def mix(
     and inside a cell, so that a source holding most rows is spread.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    key = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
     base = docs.select(
         F.monotonically_increasing_id().alias("_row"),
         F.col(id_col).alias("doc_id"),
         F.col(source_col).cast("string").alias("source"),
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
-    ).withColumn("h", hex60(key))
+    ).withColumn("h", seeded_place(seed))
     base = materialise(base.withColumn("cell", F.floor(F.col("h") / F.lit((1 << 60) // CELLS)).cast("int")), "mix-base")
 
     cells = base.groupBy("source", "cell").agg(F.sum("size").alias("cell_size"))
@@ -193,13 +197,48 @@ def mix(
     return Mix(documents, quotas.select("shard", "source", "quota"))
 
 
+def whole_copies(plan: DataFrame) -> DataFrame:
+    """Whole copies of each row of ``plan`` (``_row, h, doc_id, source, size, taken``): ``_r, _copies``.
+
+    A document gets floor(taken / size) copies. The words that this leaves of a
+    source are filled by one more copy of some of the documents that have a
+    rest: they queue by (place in the seeded order) / (rest / size), so that the
+    chance of a copy is about rest / size whatever the size, and all enter whose middle
+    lies within the words left. A source's copied words thus differ from its taken
+    words by half a document at most, and no document has more than ceil(taken / size) copies.
+
+    The queue is summed over ``CELLS`` cells of each source; only the one cell in which it ends is ordered.
+    """
+    rows = plan.withColumn("whole", F.floor(F.col("taken") / F.col("size")).cast("long"))
+    rows = rows.withColumn("rest", F.col("taken") - F.col("whole") * F.col("size"))
+    key = (F.col("h") + 0.5) / float(1 << 60) * F.col("size") / F.col("rest")
+    rows = rows.withColumn("key", F.when(F.col("rest") > 0, key))
+    # the queue ends near 1
+    rows = materialise(rows.withColumn("cell", F.floor(F.least(F.col("key"), F.lit(2.0)) * (CELLS // 2)).cast("int")), "mix-copies")
+
+    cells = rows.where("rest > 0").groupBy("source", "cell").agg(F.sum("size").alias("cell_size"), F.sum("rest").alias("cell_rest"))
+    by_source = Window.partitionBy("source")
+    cells = cells.withColumn("upto", F.sum("cell_size").over(by_source.orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    cells = cells.withColumn("words_left", F.sum("cell_rest").over(by_source))
+    last = cells.where("upto - cell_size <= words_left AND words_left < upto").select(
+        "source", F.col("cell").alias("last_cell"), (F.col("words_left") - F.col("upto") + F.col("cell_size")).alias("room")
+    )
+    rows = salted_join(rows, last, ["source"], ["_row"])
+    in_last = F.coalesce(F.col("cell") == F.col("last_cell"), F.lit(False))
+    before = Window.partitionBy("source", "cell").orderBy("key", "doc_id", "size", "_row").rowsBetween(Window.unboundedPreceding, -1)
+    edge = rows.where(in_last).withColumn("start", F.coalesce(F.sum("size").over(before), F.lit(0)))
+    more = {False: F.coalesce(F.col("cell") < F.col("last_cell"), F.lit(False)), True: F.col("start") + F.col("size") / 2 <= F.col("room")}
+    counted = lambda df, at: df.select(F.col("_row").alias("_r"), (F.col("whole") + more[at].cast("int")).cast("int").alias("_copies"))
+    return counted(rows.where(~in_last), False).unionByName(counted(edge, True))
+
+
 def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
-    """The mixture as documents: each row of ``docs`` repeated taken / size times, rounded to whole copies.
+    """The mixture as documents: each row of ``docs`` repeated in whole copies, ``whole_copies`` of its tokens taken.
 
     Documents without words are in no block and leave. All columns are kept.
     """
-    copies = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
-    plan = mix(docs, **settings).documents.where("size > 0").select(F.col("_row").alias("_r"), copies.alias("_copies")).where("_copies > 0")
+    plan = mix(docs, **settings).documents.where("taken > 0").withColumn("h", seeded_place(settings.get("seed", SEED)))
+    plan = whole_copies(plan).where("_copies > 0")
     packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("d"), F.monotonically_increasing_id().alias("_row"))
     return (
         packed.join(plan, F.col("_row") == F.col("_r"))

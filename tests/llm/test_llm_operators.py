@@ -1,8 +1,10 @@
 """Operators of kestrel.llm against brute force, and their defined results in odd cases."""
 
 import hashlib
+import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -159,6 +161,34 @@ def test_mixed_documents_keep_columns(odd):
     assert out.columns == odd.columns and out.count() > 0
 
 
+@pytest.mark.parametrize("low, high, sources", [(5000, 20000, 4), (3000, 9000, 3)])
+def test_copies_of_long_documents_meet_their_targets(spark, tmp_path, low, high, sources):
+    rng = random.Random(low)
+    sizes = {i: rng.randint(low, high) for i in range(40 * sources)}
+    rows = [(i, "w " * n, "en", f"s{i % sources}", 0) for i, n in sizes.items()]
+    docs = table_of(spark, tmp_path, rows)
+    plan = {r["doc_id"]: r for r in mixing.mix(docs).documents.collect()}
+    copies = Counter(r["doc_id"] for r in mixing.mixed_documents(docs).select("doc_id").collect())
+    for s in {r["source"] for r in plan.values()}:
+        of = [r for r in plan.values() if r["source"] == s]
+        words = sum(copies[r["doc_id"]] * r["size"] for r in of)
+        assert abs(words - sum(r["taken"] for r in of)) <= max(r["size"] for r in of) / 2
+        assert abs(words - of[0]["target"]) <= max(r["size"] for r in of)
+    assert all(math.floor(r["taken"] / r["size"]) <= copies[i] <= math.ceil(r["taken"] / r["size"]) for i, r in plan.items())
+    assert max(copies.values()) <= mixing.MAX_REPEATS
+
+
+def test_copies_do_not_favour_a_size(spark, tmp_path):
+    rows = [(i, "w " * (4000 if i % 2 else 40), "en", f"s{i % 3}", 0) for i in range(1200)]
+    docs = table_of(spark, tmp_path, rows)
+    plan = {r["doc_id"]: r for r in mixing.mix(docs).documents.collect()}
+    copies = Counter(r["doc_id"] for r in mixing.mixed_documents(docs).select("doc_id").collect())
+    for s in {r["source"] for r in plan.values()}:
+        for size in (40, 4000):
+            of = [r for r in plan.values() if r["source"] == s and r["size"] == size]
+            assert abs(sum(copies[r["doc_id"]] for r in of) / len(of) - of[0]["target"] / of[0]["source_size"]) < 0.15
+
+
 # simhash
 
 
