@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import textwrap
 from collections import Counter
 
 import numpy as np
@@ -510,6 +511,66 @@ def test_licence_rules(spark):
     assert got["e"] == (1, "GPL-3.0-only") and got["i"][0] >= 1
 
 
+# published sentences that are not read off their normal form
+PUBLISHED = {
+    "MITgrant": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:\n\n',
+    "MITwarranty": 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.',
+    "MITliability": "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    "BSDgrant": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n",
+    "BSDsource": "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n",
+    "BSDbinary": "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.\n",
+    "BSDendorse": "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n",
+    "BSDwarranty": '\nTHIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.',
+    "ISCgrant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "APACHEref": "Licensed under the Apache License, Version 2.0.",
+    "APACHElong": 'Licensed under the Apache License, Version 2.0 (the "License");',
+    "APACHEcopy": "You may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\n",
+    "APACHEbasis": 'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.',
+    "GPLfree2": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.\n\n",
+    "GPLfree3": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.\n\n",
+    "GPLhope": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
+    "MPLform": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "MPLcopy": "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "CCBY": "Licensed under CC BY 4.0.",
+    "CCBYSA": "Licensed under CC BY-SA 4.0.",
+    "CCBYNC": "Licensed under CC BY-NC 4.0.",
+    "CCBYND": "Licensed under CC BY-ND 4.0.",
+    "CC0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+    "SPDXmit": "SPDX-License-Identifier: MIT",
+    "SPDXapache": "SPDX-License-Identifier: Apache-2.0",
+    "SPDXgpl2": "SPDX-License-Identifier: GPL-2.0-only",
+    "SPDXgpl3": "SPDX-License-Identifier: GPL-3.0-only",
+    "SPDXbsd3": "SPDX-License-Identifier: BSD-3-Clause",
+}
+
+
+def published(sequence, marker, margin, width):
+    text = " ".join(PUBLISHED.get(x, license_rules.SENTENCES[x].capitalize() + ".") for x in sequence)
+    text = re.sub(r"(?m)^ *(\d)\. ", lambda m: marker(m[1]), text)
+    lines = [part for line in text.split("\n") for part in (textwrap.wrap(line, width, break_long_words=False, break_on_hyphens=False) or [""])]
+    return "\n".join(margin + x for x in lines)
+
+
+def test_every_rule_finds_its_published_text(spark):
+    markers = [lambda n: f"{n}. ", lambda n: f"{n}) ", lambda n: f"({'abc'[int(n) - 1]}) ", lambda n: "* "]
+    rows = []
+    for i, (_, sequence) in enumerate(license_rules.RULES):
+        for marker in markers:
+            for margin, width in (("", 72), (" * ", 60), ("# ", 10_000)):
+                rows.append((i, published(sequence, marker, margin, width)))
+    out = license_rules.scan(spark.createDataFrame(rows, "doc_id int, text string")).collect()
+    assert len(out) == len(rows)
+    missed = set()
+    for r in out:
+        name, sequence = license_rules.RULES[r["doc_id"]]
+        if name not in r["licenses"].split(",") or not set(sequence) <= set(r["sentences"].split(",")):
+            missed.add((name, sequence, r["sentences"]))
+    assert not missed
+    one_line = " ".join(PUBLISHED[x].strip() for x in ("BSDgrant", "BSDsource", "BSDbinary", "BSDwarranty"))
+    one = license_rules.scan(spark.createDataFrame([(0, one_line)], "doc_id int, text string")).first()
+    assert one["licenses"] == "BSD-2-Clause"
+
+
 def test_every_known_sentence_has_a_cue_and_is_normal():
     for s in license_rules.SENTENCES.values():
         assert re.search(license_rules.CUES, s) and re.sub("[^a-z0-9]+", " ", s).strip() == s
