@@ -17,6 +17,8 @@ MAX_REPEATS = 2
 BLOCK_TOKENS = 1024
 BLOCKS_PER_SHARD = 8192
 SEED = 42
+# least number of blocks of a target; most blocks of a whole table and of one source
+LEAST_BLOCKS, BLOCKS, SOURCE_BLOCKS = 64, 1 << 23, 1 << 30
 CELLS = 1024
 # a prime above 2^31: coprime to any number of blocks below it, so that
 # j -> (PRIME * j + offset) mod n is a permutation of the n blocks
@@ -69,7 +71,7 @@ def _seats(sources: DataFrame) -> DataFrame:
     """One row per awarded seat; a source's seats are dealt in chunks so that a large one is not made in one task."""
     chunk = 65536
     parts = sources.where("seats > 0").select(
-        "src", "source", "target", "pool", "block", "seats", F.explode(F.sequence(F.lit(0), ((F.col("seats") - 1) / chunk).cast("long"))).alias("part")
+        "src", "source", "target", "pool", "wide", "block", "seats", F.explode(F.sequence(F.lit(0), ((F.col("seats") - 1) / chunk).cast("long"))).alias("part")
     )
     first, last = F.col("part") * chunk + 1, F.least(F.col("seats"), (F.col("part") + 1) * chunk)
     return parts.repartition("src", "part").withColumn("k", F.explode(F.sequence(first, last)))
@@ -78,14 +80,14 @@ def _seats(sources: DataFrame) -> DataFrame:
 def shard_quotas(sources: DataFrame, blocks_per_shard: int) -> DataFrame:
     """Blocks of each source in each shard: ``shard, src, source, quota``.
 
-    All seats (source, k) are ranked by their quotient target / (2k - 1),
-    highest first, and cut into shards of ``blocks_per_shard``: every prefix of
+    All seats (source, k) are ranked by their quotient target / (2k - 1), for a
+    source of smaller blocks target / (2k - 1) x wide / block, highest first, and cut into shards of ``blocks_per_shard``: every prefix of
     shards is then the Sainte-Lague apportionment of its size. The global
     rank comes from buckets of about one shard each (the quotient's rank
     is known within half the number of sources), whose counts are summed.
     """
-    seats = _seats(sources).withColumn("key", (F.col("k") - 0.5) / F.col("target"))
-    seats = seats.withColumn("bucket", F.floor(F.col("key") * F.col("pool") / F.col("block") / blocks_per_shard).cast("long"))
+    seats = _seats(sources).withColumn("key", (F.col("k") - 0.5) * (F.col("block") / F.col("wide")) / F.col("target"))
+    seats = seats.withColumn("bucket", F.floor(F.col("key") * F.col("pool") / F.col("wide") / blocks_per_shard).cast("long"))
     counts = seats.groupBy("bucket").agg(F.count(F.lit(1)).alias("c"))
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(F.col("bucket").alias("b"), F.coalesce(F.sum("c").over(before), F.lit(0)).alias("offset"))
@@ -133,7 +135,8 @@ def mix(
     quotients (``shard_quotas``), as many as have a quotient of a block or more,
     and a source fills its seats from its blocks in seeded order, going
     round again for repeats. Blocks shrink below ``block_tokens`` where the
-    smallest target would have under 64 of them, down to 2^-23 of all tokens.
+    smallest target would have under 64 of them, down to 2^-23 of all tokens; a
+    source whose target still has under 64 of them gets smaller blocks of its own.
 
     A source's total differs from its target by two blocks at most. Null text has no
     tokens, a null source is a source, a null id an id; equal rows are separate
@@ -160,8 +163,10 @@ def mix(
     least = F.min(F.when(F.col("target") > 0, F.col("target"))).over(all_rows)
     sources = (
         sources.withColumn("pool", F.sum("target").over(all_rows))
-        .withColumn("block", F.floor(F.greatest(least / 64, F.col("total") / (1 << 23))).cast("long"))
-        .withColumn("block", F.coalesce(F.greatest(F.lit(1), F.least(F.lit(block_tokens), F.col("block"))), F.lit(1)).cast("long"))
+        .withColumn("block", F.floor(F.greatest(least / LEAST_BLOCKS, F.col("total") / BLOCKS)).cast("long"))
+        .withColumn("wide", F.coalesce(F.greatest(F.lit(1), F.least(F.lit(block_tokens), F.col("block"))), F.lit(1)).cast("long"))
+        .withColumn("own", F.greatest(F.lit(1), F.floor(F.col("target") / LEAST_BLOCKS), F.ceil(F.col("source_size") / SOURCE_BLOCKS)))
+        .withColumn("block", F.least("wide", "own").cast("long"))
         .withColumn("seats", F.floor(F.col("target") / F.col("block") + 0.5).cast("long"))
     )
     sources = materialise(sources, "mix-sources")

@@ -162,6 +162,18 @@ def test_mixed_documents_keep_columns(odd):
     assert out.columns == odd.columns and out.count() > 0
 
 
+def test_small_sources_beside_a_large_one_meet_their_targets(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCKS", 1 << 8)
+    rows = [(i, "w " * 1000, "en", "s0", 0) for i in range(60)] + [(100 + i, "w " * 8, "en", "s1", 0) for i in range(5)]
+    rows += [(200 + i, "w " * 50, "en", "s2", 0) for i in range(7)]
+    taken = {}
+    for r in mixing.mix(table_of(spark, tmp_path, rows), blocks_per_shard=16).documents.collect():
+        assert r["taken"] <= mixing.MAX_REPEATS * r["size"]
+        target, got = taken.get(r["source"], (r["target"], 0))
+        taken[r["source"]] = (target, got + r["taken"])
+    assert all(abs(got - target) <= max(0.05 * target, 2) for target, got in taken.values()), taken
+
+
 @pytest.mark.parametrize("low, high, sources", [(5000, 20000, 4), (3000, 9000, 3)])
 def test_copies_of_long_documents_meet_their_targets(spark, tmp_path, low, high, sources):
     rng = random.Random(low)
