@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+ROWS_PER_SALT = 100_000
+SALTED_KEYS = 10_000
+
 
 def spread_join(big: DataFrame, small: DataFrame, key: str, spread_by: list[str], how: str = "inner", salts: int = 32) -> DataFrame:
     """Equi-join on ``key`` in which the rows of a hot key of ``big`` are dealt to ``salts`` tasks.
@@ -16,3 +19,25 @@ def spread_join(big: DataFrame, small: DataFrame, key: str, spread_by: list[str]
     left = big.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, [key, "_salt"], how).drop("_salt")
+
+
+def hot_keys(big: DataFrame, key: str, rows_per_salt: int = ROWS_PER_SALT, most: int = SALTED_KEYS) -> DataFrame:
+    """``(key, _salts)`` of the ``most`` most frequent keys of ``big`` that have over ``rows_per_salt`` rows.
+
+    At most ``most`` rows, so it may be broadcast. A key that is left out has at most 1 / ``most`` of all rows.
+    """
+    counts = big.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.where(F.col("_n") > rows_per_salt).orderBy(F.desc("_n"), key).limit(most)
+    return counts.select(key, F.ceil(F.col("_n") / F.lit(rows_per_salt)).cast("int").alias("_salts"))
+
+
+def degree_join(big: DataFrame, small: DataFrame, key: str, spread_by: list[str], hot: DataFrame, how: str = "inner") -> DataFrame:
+    """Equi-join on ``key`` in which each key has as many salts as ``hot`` (of ``hot_keys``) says, all others one.
+
+    ``small`` has at most one row per key; only the rows of hot keys are repeated, once per salt.
+    """
+    hot = F.broadcast(hot)
+    salts = F.coalesce(F.col("_salts"), F.lit(1))
+    left = big.join(hot, key, "left").withColumn("_salt", F.pmod(F.xxhash64(*spread_by), salts).cast("int")).drop("_salts")
+    right = small.join(hot, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
+    return left.join(right, [key, "_salt"], how).drop("_salt")
