@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import bpe, exact_dedup, html_extract, license_rules, mixing, simhash, suffix_dedup, syncmers, toxicity, url_reputation
+from kestrel.llm import (
+    bpe,
+    exact_dedup,
+    filter_audit,
+    html_extract,
+    language_crf,
+    license_rules,
+    mixing,
+    simhash,
+    spelling,
+    suffix_dedup,
+    syncmers,
+    toxicity,
+    url_reputation,
+)
 from kestrel.llm.common import table
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -57,6 +71,19 @@ def op10_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.filter_urls(pages, outcomes).withColumn("upper", F.round("upper", 9))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_crf.predict(docs, language_crf.sample_model(docs))
+
+
 QUERIES = {
     "op1_license_rules": op1_license_rules,
     "op2_html_blocks": op2_html_blocks,
@@ -68,6 +95,9 @@ QUERIES = {
     "op8_weak_toxicity": op8_weak_toxicity,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_url_reputation": op10_url_reputation,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_language_crf": op13_language_crf,
 }
 
 ORACLE = {
@@ -79,4 +109,5 @@ ORACLE = {
         FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
     """,
     "op10_url_reputation": url_reputation.oracle_sql(),
+    "op12_filter_audit": filter_audit.oracle_sql(),
 }
