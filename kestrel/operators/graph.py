@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kestrel.functions.columns import bool_text_to_int, parse_vector, to_double
-from kestrel.operators.joins import spread_join
+from kestrel.operators.joins import ROWS_PER_SALT, SALTED_KEYS, degree_join, salts_of, spread_join
 from kestrel.session import cut_lineage
 from kestrel.sources.files import read_csv, write_features
 from kestrel.sources.schemas import NODE_FEATURES_SCHEMA
@@ -300,9 +300,11 @@ def _sym_rows(edges: DataFrame, weight: str | None = None) -> DataFrame:
 
 def _modularity_rows(rows: DataFrame, assign: DataFrame) -> DataFrame:
     """Q = sum_c [ L_c / 2m - (K_c / 2m)^2 ] from adjacency rows and ``(node, c)``."""
+    hot = salts_of(rows, "u")
     cu = assign.select(F.col("node").alias("u"), F.col("c").alias("cu"))
     cv = assign.select(F.col("node").alias("v"), F.col("c").alias("cv"))
-    r = rows.join(cu, "u").join(cv, "v")
+    r = degree_join(rows, cu, "u", ["v"], hot)
+    r = degree_join(r, cv, "v", ["u"], None if hot is None else hot.withColumnRenamed("u", "v"))
     per_c = r.groupBy(F.col("cu").alias("c")).agg(
         F.sum(F.when(F.col("cu") == F.col("cv"), F.col("w")).otherwise(0.0)).alias("L"), F.sum("w").alias("K")
     )
@@ -315,7 +317,7 @@ def modularity(edges: DataFrame, partition: DataFrame, id_col: str = "id", commu
                weight: str | None = None) -> DataFrame:
     """Modularity of a partition ``(id, community)`` of the undirected graph, one row."""
     assign = partition.select(F.col(id_col).alias("node"), F.col(community_col).alias("c"))
-    return _modularity_rows(_sym_rows(edges, weight), assign)
+    return _modularity_rows(cut_lineage(_sym_rows(edges, weight)), assign)
 
 
 def louvain(
@@ -327,132 +329,222 @@ def louvain(
 ):
     """Louvain communities (Blondel et al. 2008). Returns ``(assignment, levels)``.
 
-    ``assignment`` is ``(id, community)`` (a community is labelled by the id of
-    one of its members), ``levels`` is ``(level, modularity)``.
+    ``assignment`` is ``(id, community)`` (a community is labelled by its smallest member), ``levels`` is
+    ``(level, modularity)`` after each phase that moved something.
 
-    Local moving runs as synchronous sweeps. Per level the nodes fall into two
-    halves by a hash (MD5 of seed, level and node), which take turns, so
-    two neighbours rarely swap into each other's community. Each node of the half picks the neighbour
-    community with the largest modularity gain (ties: smallest community id)
-    and moves only if that beats staying. A sweep that does not raise
-    modularity by more than ``min_gain`` is undone.
+    Phases alternate: single nodes move, then communities contracted to nodes move (so communities merge), level after level
+    until none does, then single nodes again from the partition reached. The method ends when neither kind
+    finds a move that raises modularity by more than ``min_gain``. ``partition_certificate`` checks that independently.
 
-    Convergence rule: a level ends when neither half's sweep raises modularity by more than ``min_gain``
-    (either would repeat the same moves); the method ends with the first level that does not raise it.
-    There is no limit on sweeps or levels: modularity is bounded and every kept sweep raises it. Then communities are
-    contracted into nodes with a ``groupBy`` over the adjacency rows and the next level starts.
-
-    Per sweep the adjacency rows are joined once with both ends' communities
-    and grouped to ``(u, cu, cv, a, self_w)``; that one table gives the
-    modularity of the assignment and the move candidates of the next sweep.
+    A phase runs in rounds (``_local_moves``) until no node has such a move. Every round raises modularity, so
+    the number of rounds and levels is not limited.
     """
     spark = nodes.sparkSession
     rows = cut_lineage(_sym_rows(edges, weight))
     all_ids = nodes.select(F.col("id").alias("node")).distinct()
-    membership = cut_lineage(all_ids.select(F.col("node").alias("id"), F.col("node").alias("c")))
-    level_rows: list[tuple[int, float]] = []
-    level = 0
+    two_m = rows.agg(F.sum("w")).head()[0] or 0.0
+    levels: list[tuple[int, float]] = []
+    if two_m == 0:
+        return all_ids.select(F.col("node").alias("id"), F.col("node").alias("community")), spark.createDataFrame(levels, "level int, modularity double")
+
+    def record(assign):
+        levels.append((len(levels), _modularity_rows(rows, assign).head()[0]))
+
+    step = 0
+    names = rows.select(F.col("u").alias("node")).distinct().withColumn("c", F.col("node"))
     while True:
-        level_nodes = cut_lineage(rows.groupBy(F.col("u").alias("node")).agg(F.sum("w").alias("k")))
-        two_m = level_nodes.agg(F.sum("k")).head()[0] or 0.0
-        if two_m == 0:
+        part, moved = _local_moves(rows, names, two_m, min_gain, f"{seed}:{step}")
+        if moved or not step:
+            record(part)
+        elif step:
             break
-        m = two_m / 2.0
-        assign = level_nodes.select("node", F.col("node").alias("c"))
-        weights = cut_lineage(_community_weights(rows, assign))
-        start_q = q = _modularity_from(weights, assign, level_nodes, two_m)
-        half = fails = 0
-        while fails < 2:
-            moved = cut_lineage(_louvain_sweep(weights, level_nodes, assign, m, f"{seed}:{level}", half, 1e-12))
-            moved_weights = cut_lineage(_community_weights(rows, moved))
-            new_q = _modularity_from(moved_weights, moved, level_nodes, two_m)
-            if new_q > q + min_gain:
-                assign, weights, q, fails = moved, moved_weights, new_q, 0
-            else:
-                fails += 1
-            half = 1 - half
-        if q <= start_q + min_gain:
-            if level == 0:
-                level_rows.append((level, q))
+        names = _named(part)
+        level_rows, merged = _contract(rows, names), False
+        while True:
+            step += 1
+            own = level_rows.select(F.col("u").alias("node")).distinct().withColumn("c", F.col("node"))
+            part, moved = _local_moves(level_rows, own, two_m, min_gain, f"{seed}:{step}")
+            if not moved:
+                break
+            merged = True
+            joint = _named(part)
+            level_rows = _contract(level_rows, joint)
+            names = cut_lineage(
+                degree_join(names, joint.select(F.col("node").alias("c"), F.col("c").alias("c2")), "c", ["node"], salts_of(names, "c"))
+                .select("node", F.col("c2").alias("c"))
+            )
+            record(names)
+        if not merged:
             break
-        membership = cut_lineage(
-            membership.join(assign.select(F.col("node").alias("c"), F.col("c").alias("c2")), "c", "left")
-            .select("id", F.coalesce(F.col("c2"), F.col("c")).alias("c"))
-        )
-        level_rows.append((level, q))
-        # contract: community pairs become the adjacency rows of the next level
-        rows = cut_lineage(
-            weights.groupBy(F.col("cu").alias("u"), F.col("cv").alias("v"))
-            .agg(F.sum(F.coalesce(F.col("a"), F.lit(0.0)) + F.coalesce(F.col("self_w"), F.lit(0.0))).alias("w"))
-        )
-        level += 1
-    levels = spark.createDataFrame(level_rows, "level int, modularity double")
-    return membership.select("id", F.col("c").alias("community")), levels
+    # a merge may have joined communities under the smaller of their names, so names are smallest members throughout
+    assignment = all_ids.join(names, "node", "left").select(F.col("node").alias("id"), F.coalesce("c", "node").alias("community"))
+    return cut_lineage(assignment), spark.createDataFrame(levels, "level int, modularity double")
 
 
-def _community_weights(rows: DataFrame, assign: DataFrame) -> DataFrame:
-    """``(u, cu, cv, a, self_w)``: weight from node u into community cv (self rows apart)."""
-    cu = assign.select(F.col("node").alias("u"), F.col("c").alias("cu"))
-    cv = assign.select(F.col("node").alias("v"), F.col("c").alias("cv"))
-    return (
-        spread_join(spread_join(rows, cu, "u", ["v"]), cv, "v", ["u"])
-        .groupBy("u", "cu", "cv")
-        .agg(
-            F.sum(F.when(F.col("u") != F.col("v"), F.col("w"))).alias("a"),
-            F.sum(F.when(F.col("u") == F.col("v"), F.col("w"))).alias("self_w"),
-        )
-    )
+def _named(part: DataFrame) -> DataFrame:
+    """``(node, c)`` with each community named by its smallest member."""
+    names = part.groupBy("c").agg(F.min("node").alias("name"))
+    return cut_lineage(degree_join(part, names, "c", ["node"], salts_of(part, "c")).select("node", F.col("name").alias("c")))
 
 
-def _modularity_from(weights: DataFrame, assign: DataFrame, level_nodes: DataFrame, two_m: float) -> float:
-    inside = weights.where(F.col("cu") == F.col("cv")).agg(
-        F.sum(F.coalesce(F.col("a"), F.lit(0.0)) + F.coalesce(F.col("self_w"), F.lit(0.0)))
-    ).head()[0] or 0.0
-    tot = assign.join(level_nodes, "node").groupBy("c").agg(F.sum("k").alias("tot"))
-    sq = tot.agg(F.sum(F.col("tot") * F.col("tot"))).head()[0] or 0.0
-    return inside / two_m - sq / (two_m * two_m)
+def _contract(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """Adjacency rows between communities."""
+    hot = salts_of(rows, "u")
+    r = degree_join(rows, names.select(F.col("node").alias("u"), F.col("c").alias("cu")), "u", ["v"], hot)
+    r = degree_join(r, names.select(F.col("node").alias("v"), F.col("c").alias("cv")), "v", ["u"], None if hot is None else hot.withColumnRenamed("u", "v"))
+    return cut_lineage(r.groupBy(F.col("cu").alias("u"), F.col("cv").alias("v")).agg(F.sum("w").alias("w")))
 
 
-def _louvain_sweep(weights: DataFrame, level_nodes: DataFrame, assign: DataFrame, m: float, salt: str, half: int, min_move: float) -> DataFrame:
-    tot = assign.join(level_nodes, "node").groupBy("c").agg(F.sum("k").alias("tot"))
-    me = assign.select(F.col("node").alias("u"), F.col("c").alias("cur")).join(
-        level_nodes.select(F.col("node").alias("u"), "k"), "u"
-    )
-    active = me.where(_md5_number(F.lit(salt), "u") % 2 == half)
-    a = weights.where(F.col("a").isNotNull()).select("u", "cv", "a")
-    cand = cut_lineage(
-        a.join(active, "u")
-        .join(tot.select(F.col("c").alias("cv"), "tot"), "cv")
-        .select(
-            "u", "cv", "cur", "k",
-            (
-                F.col("a") / F.lit(m)
-                - F.col("k") * (F.col("tot") - F.when(F.col("cv") == F.col("cur"), F.col("k")).otherwise(0.0))
-                / F.lit(2.0 * m * m)
-            ).alias("gain"),
-        )
+def _local_moves(rows: DataFrame, names: DataFrame, two_m: float, min_gain: float, salt: str) -> tuple[DataFrame, bool]:
+    """Moves nodes from the partition ``names`` (node, c) until no move gains; ``(node, c)`` and whether any was made.
+
+    In a round every node proposes its best move, and those on whose direction both communities agree are made
+    (``_agreed_moves``). Should they not raise modularity together, the ``safe`` ones among them are made instead, which
+    raise it in any case.
+    """
+    links = rows.where(F.col("u") != F.col("v"))
+    hot = salts_of(rows, "u")
+    size, loops = rows.agg(F.count(F.lit(1)), F.sum(F.when(F.col("u") == F.col("v"), F.col("w")))).head()
+    strength = rows.groupBy(F.col("u").alias("node")).agg(F.sum("w").alias("k"), F.count(F.lit(1)).alias("d"))
+    state = names.join(strength, "node").select("node", "k", "d", F.concat(F.col("c").cast("string"), F.lit("#")).alias("c"))
+    state = cut_lineage(state)
+
+    def look(state, stamp):
+        table = _proposals(links, state, hot, size, two_m / 2, min_gain, stamp)
+        own, squares, wanted = table.agg(F.sum("own"), F.sum(F.col("k") * F.col("all_k")), F.count_if("gains")).head()
+        return table, ((own or 0.0) + (loops or 0.0)) / two_m - (squares or 0.0) / (two_m * two_m), wanted
+
+    def move(moves):
+        return cut_lineage(state.join(moves.select("node", "to"), "node", "left").select("node", "k", "d", F.coalesce("to", "c").alias("c")))
+
+    rounds = 0
+    table, q, wanted = look(state, f"{salt}:0")
+    while wanted:
+        rounds += 1
+        agreed = _agreed_moves(table.where("gains"), two_m / 2, size)
+        tried = move(agreed)
+        seen = look(tried, f"{salt}:{rounds}")
+        if seen[1] <= q:
+            tried = move(agreed.where("safe"))
+            seen = look(tried, f"{salt}:{rounds}i")
+        state, (table, q, wanted) = tried, seen
+    return state.select("node", "c"), rounds > 0
+
+
+THINNINGS = 12  # a community may thin the moves that touch it to 4^-1, 4^-2, ... of them
+
+
+def _hot_communities(rows: DataFrame, key: str, size: int) -> DataFrame | None:
+    """Salts of communities that over ROWS_PER_SALT adjacency rows touch; None where the whole graph has fewer."""
+    return salts_of(rows, key) if size > ROWS_PER_SALT else None
+
+
+def _proposals(links, state, hot, size, m, min_gain, salt):
+    """Every node with edges, its community and its best move: ``u, k, c, all_k, own, to, g, gains, h``.
+
+    The best move is to the neighbouring community of highest gain (of equals the first by name), or out to a
+    community of its own. ``gains`` says whether it raises modularity by more than ``min_gain``.
+    """
+    totals = state.groupBy("c").agg(F.sum("k").alias("all_k"), F.sum("d").alias("all_d"))
+    hot_c = None
+    if size > ROWS_PER_SALT:
+        # rows of any join here on a community are at most the adjacency rows of its members
+        hot_c = totals.where(F.col("all_d") > ROWS_PER_SALT).orderBy(F.desc("all_d"), "c").limit(SALTED_KEYS)
+        hot_c = cut_lineage(hot_c.select("c", F.ceil(F.col("all_d") / F.lit(ROWS_PER_SALT)).cast("int").alias("_salts")))
+    there = state.select(F.col("node").alias("v"), F.col("c").alias("cv"))
+    weights = degree_join(links, there, "v", ["u"], None if hot is None else hot.withColumnRenamed("u", "v"))
+    weights = weights.groupBy("u", "cv").agg(F.sum("w").alias("a"))
+    me = degree_join(state, totals.select("c", "all_k"), "c", ["node"], hot_c).select(F.col("node").alias("u"), "k", "c", "all_k")
+    options = degree_join(weights, me, "u", ["cv"], hot)
+    sizes = totals.select(F.col("c").alias("cv"), F.col("all_k").alias("there_k"))
+    options = degree_join(options, sizes, "cv", ["u"], None if hot_c is None else hot_c.withColumnRenamed("c", "cv"))
+    score = F.col("a") / m - F.col("k") * F.col("there_k") / (2 * m * m)
+    options = options.withColumn("score", F.when(F.col("cv") != F.col("c"), score))
+    best = options.groupBy("u").agg(
+        F.first("k").alias("k"), F.first("c").alias("c"), F.first("all_k").alias("all_k"),
+        F.sum(F.when(F.col("cv") == F.col("c"), F.col("a")).otherwise(0.0)).alias("own"),
+        F.min(F.when(F.col("score") > 0, F.struct((-F.col("score")).alias("loss"), "cv"))).alias("best"),
     )
-    stay = cand.where(F.col("cv") == F.col("cur")).select("u", F.col("gain").alias("stay_gain"))
-    best = cand.where(F.col("cv") != F.col("cur")).groupBy("u").agg(
-        F.min_by(F.struct("cv", "gain"), F.struct((-F.col("gain")).alias("ng"), F.col("cv"))).alias("b"),
-        F.first("k").alias("k"),
-        F.first("cur").alias("cur"),
+    stay = F.col("own") / m - F.col("k") * (F.col("all_k") - F.col("k")) / (2 * m * m)
+    alone = F.concat(F.col("u").cast("string"), F.lit(f"#{salt}"))
+    best = best.select(
+        "u", "k", "c", "all_k", "own", F.coalesce("best.cv", alone).alias("to"),
+        (F.coalesce(-F.col("best.loss"), F.lit(0.0)) - stay).alias("g"),
+        _md5_number(F.lit(salt), "u").alias("h"),
     )
-    # staying where no neighbour is: gain = -k (tot - k) / 2m^2
-    moves = (
-        best.join(tot.select(F.col("c").alias("cur"), "tot"), "cur")
-        .join(stay, "u", "left")
-        .select(
-            "u",
-            F.col("b.cv").alias("to"),
-            F.col("b.gain").alias("g"),
-            F.coalesce(F.col("stay_gain"), -F.col("k") * (F.col("tot") - F.col("k")) / F.lit(2.0 * m * m)).alias("sg"),
-        )
-        .where(F.col("g") > F.col("sg") + F.lit(min_move))
+    return cut_lineage(best.withColumn("gains", F.col("g") > min_gain))
+
+
+def _agreed_moves(proposals, m, size):
+    """``(node, to, safe)``: proposals that no other opposes.
+
+    A community looks at the best proposal that would enter it and the best that would leave it (by gain, then
+    node); it receives if the former is better, else it gives. Only moves from givers to receivers are made, so no two
+    touch a community in opposite directions, and the best proposal of all is among them.
+
+    Moves that share a community reduce each other's gain by at most k k' / 2m^2 a pair. A move with gain g bears
+    other moves of total strength 2 m^2 g / k. So a community keeps a hashed part of the proposals whose strength is
+    small against what they bear; a move is safe if it bears all that its two communities keep, or if it is the best
+    proposal of both. Safe moves made at once each raise modularity by themselves, and there is always one.
+    """
+    proposals = proposals.withColumn("bears", F.col("g") * (2 * m * m) / F.col("k"))
+    thin = lambda i: F.col("h") < (1 << 32) // 4**i
+    ends = proposals.select(
+        F.explode(F.array(F.struct(F.col("to").alias("c"), F.lit(True).alias("enters")), F.struct("c", F.lit(False).alias("enters")))).alias("e"),
+        F.struct("g", "u", "k").alias("p"), "k", "h", "bears",
+    ).select("e.*", "p", "k", "h", "bears")
+    sides = ends.groupBy("c", "enters").agg(
+        F.max("p").alias("p"), F.max("bears").alias("bears"),
+        F.array(*[F.sum(F.when(thin(i), F.col("k")).otherwise(0.0)) for i in range(THINNINGS)]).alias("mass"),
     )
-    return (
-        assign.join(moves.select(F.col("u").alias("node"), "to"), "node", "left")
-        .select("node", F.coalesce(F.col("to"), F.col("c")).alias("c"))
+    # the better of the two sides decides what the community does
+    chosen = sides.groupBy("c").agg(F.max_by(F.struct("enters", "p", "bears", "mass"), "p").alias("x"))
+    kept = F.filter(F.sequence(F.lit(0), F.lit(THINNINGS - 1)), lambda i: F.get("x.mass", i) <= F.col("x.bears") / 4)
+    chosen = chosen.withColumn("thin", F.get(kept, F.lit(0)))
+    roles = cut_lineage(chosen.select(
+        "c", F.col("x.enters").alias("receives"), F.col("x.p.u").alias("first"), F.coalesce("thin", F.lit(THINNINGS)).alias("thin"),
+        (F.col("x.p.k") + F.coalesce(F.get("x.mass", F.col("thin")), F.lit(0.0))).alias("mass"),
+    ))
+    gives = roles.where("NOT receives").select("c", F.col("first").alias("f1"), F.col("thin").alias("t1"), F.col("mass").alias("m1"))
+    takes = roles.where("receives").select(F.col("c").alias("to"), F.col("first").alias("f2"), F.col("thin").alias("t2"), F.col("mass").alias("m2"))
+    pairs = degree_join(proposals, gives, "c", ["u"], _hot_communities(proposals, "c", size))
+    pairs = degree_join(pairs, takes, "to", ["u"], _hot_communities(proposals, "to", size))
+    drawn = F.col("h") < F.floor(F.lit(float(1 << 32)) / F.pow(F.lit(4.0), F.greatest("t1", "t2")))
+    both_first = (F.col("u") == F.col("f1")) & (F.col("u") == F.col("f2"))
+    made = both_first | ((F.greatest("t1", "t2") < THINNINGS) & drawn & (F.col("bears") > F.col("m1") + F.col("m2")))
+    return pairs.select(F.col("u").alias("node"), "to", made.alias("safe"))
+
+
+def partition_certificate(edges: DataFrame, partition: DataFrame, weight: str | None = None) -> DataFrame:
+    """``(id, community, node_gain, merge_gain)``: what the best single move of each node with edges, and the best merge of its
+    community with another, would add to modularity. Recomputed from the partition alone, by the definition of
+    modularity as plain SQL; no positive number in either column certifies that neither kind of step raises it.
+    """
+    spark = edges.sparkSession
+    rows = cut_lineage(_sym_rows(edges, weight))
+    two_m = rows.agg(F.sum("w")).head()[0] or 1.0
+    part = cut_lineage(partition.select(F.col("id").alias("u"), F.col("community").alias("c")))
+    return spark.sql(
+        """
+        WITH strength AS (SELECT u, sum(w) AS k FROM {rows} GROUP BY u),
+        members AS (SELECT p.u, p.c, k FROM {part} p JOIN strength s ON p.u = s.u),
+        sizes AS (SELECT c, sum(k) AS all_k FROM members GROUP BY c),
+        reach AS (SELECT r.u, q.c AS d, sum(CASE WHEN r.u = r.v THEN 0 ELSE r.w END) AS a
+                 FROM {rows} r JOIN {part} q ON r.v = q.u GROUP BY r.u, q.c),
+        home AS (SELECT m.u, m.c, m.k, z.all_k, coalesce(i.a, 0) AS own
+                 FROM members m JOIN sizes z ON m.c = z.c LEFT JOIN reach i ON i.u = m.u AND i.d = m.c),
+        moves AS (SELECT h.u, max(i.a / {s} - h.k * z.all_k / ({s} * {s})) AS best
+                  FROM home h JOIN reach i ON i.u = h.u AND i.d <> h.c JOIN sizes z ON z.c = i.d GROUP BY h.u),
+        nodes AS (SELECT h.u, h.c, 2 * (greatest(coalesce(best, 0), 0) - (own / {s} - h.k * (h.all_k - h.k) / ({s} * {s}))) AS node_gain
+                  FROM home h LEFT JOIN moves m ON m.u = h.u),
+        between AS (SELECT p.c, q.c AS d, sum(r.w) AS a FROM {rows} r JOIN {part} p ON r.u = p.u JOIN {part} q ON r.v = q.u
+                    WHERE p.c <> q.c GROUP BY p.c, q.c),
+        merges AS (SELECT b.c, max(2 * (b.a / {s} - x.all_k * y.all_k / ({s} * {s}))) AS merge_gain
+                   FROM between b JOIN sizes x ON x.c = b.c JOIN sizes y ON y.c = b.d GROUP BY b.c)
+        SELECT n.u AS id, n.c AS community, node_gain, coalesce(merge_gain, 0) AS merge_gain
+        FROM nodes n LEFT JOIN merges g ON g.c = n.c
+        """,
+        rows=rows, part=part, s=two_m,
     )
 
 

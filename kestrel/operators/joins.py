@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.session import cut_lineage
+
 ROWS_PER_SALT = 100_000
 SALTED_KEYS = 10_000
 
@@ -31,11 +33,22 @@ def hot_keys(big: DataFrame, key: str, rows_per_salt: int = ROWS_PER_SALT, most:
     return counts.select(key, F.ceil(F.col("_n") / F.lit(rows_per_salt)).cast("int").alias("_salts"))
 
 
-def degree_join(big: DataFrame, small: DataFrame, key: str, spread_by: list[str], hot: DataFrame, how: str = "inner") -> DataFrame:
+def salts_of(big: DataFrame, key: str, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame | None:
+    """``hot_keys`` as a written table, or None if no key is hot."""
+    hot = cut_lineage(hot_keys(big, key, rows_per_salt))
+    return None if hot.isEmpty() else hot
+
+
+def degree_join(
+    big: DataFrame, small: DataFrame, key: str, spread_by: list[str], hot: DataFrame | None, how: str = "inner"
+) -> DataFrame:
     """Equi-join on ``key`` in which each key has as many salts as ``hot`` (of ``hot_keys``) says, all others one.
 
-    ``small`` has at most one row per key; only the rows of hot keys are repeated, once per salt.
+    ``small`` has at most one row per key; only the rows of hot keys are repeated, once per salt. Without hot keys
+    (``hot`` is None) it is a plain join.
     """
+    if hot is None:
+        return big.join(small, key, how)
     hot = F.broadcast(hot)
     salts = F.coalesce(F.col("_salts"), F.lit(1))
     left = big.join(hot, key, "left").withColumn("_salt", F.pmod(F.xxhash64(*spread_by), salts).cast("int")).drop("_salts")

@@ -410,6 +410,13 @@ def q_louvain_levels(spark, base):
     return n.select("edges", F.lit(qs == sorted(qs)).alias("rises"), F.lit(abs(qs[-1] - q) < 1e-9).alias("agrees"))
 
 
+def q_louvain_certificate(spark, base):
+    """No move of a node and no merge of two communities raises modularity, by modularity's own definition."""
+    _, merged, comm, _ = _louvain(spark, base)
+    seen = graph.partition_certificate(merged, comm)
+    return seen.select("id", (F.col("node_gain") > 1e-6).alias("better_move"), (F.col("merge_gain") > 1e-6).alias("better_merge"))
+
+
 def q_betweenness_summary(spark, base):
     """Min / max / sum of betweenness and nodes written."""
     nodes, _, merged = flows.graph_frames(spark, base)
@@ -630,6 +637,7 @@ QUERIES = {
     "modularity": q_modularity,
     "louvain": q_louvain,
     "louvain_levels": q_louvain_levels,
+    "louvain_certificate": q_louvain_certificate,
     "betweenness_summary": q_betweenness_summary,
     "louvain_summary": q_louvain_summary,
     "random_walks": q_random_walks,

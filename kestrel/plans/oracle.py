@@ -505,6 +505,8 @@ def oracle_sql() -> dict[str, str]:
         "betweenness": betweenness(),
         "betweenness_summary": betweenness_summary(),
         "louvain": f"WITH {GRAPH_CTE} SELECT id, TRUE AS named FROM ids",
+        "louvain_certificate": f"WITH {GRAPH_CTE} SELECT id, FALSE AS better_move, FALSE AS better_merge FROM "
+        "(SELECT src AS id FROM merged UNION SELECT dst FROM merged)",
         "louvain_levels": f"WITH {GRAPH_CTE} SELECT count(*) AS edges, TRUE AS rises, TRUE AS agrees FROM merged",
         "random_walks": random_walks(),
         "node2vec": f"WITH {GRAPH_CTE} SELECT id, 2 AS width FROM ids",
