@@ -21,30 +21,33 @@ from kestrel.llm.common import prepare_python
 PIECE = 1 << 20  # characters of a text split into words at once
 ROUNDS = 48  # merges a word per recursive query; what is unfinished goes on in the next
 QUERY_BYTES = 1 << 18  # bytes of new words per recursive query
-LONG_WORD = 96  # bytes from which equal pairs of a word are contracted together
+LONG_WORD = 96  # characters from which a word is put together from pieces
 GROUP = 1 << 21  # characters whose new words are encoded by one call
-CACHED_WORDS = 300_000  # distinct words whose ids a worker keeps
+CHUNK, LAP = 192, 96  # bytes of a piece of a long word, and of it shared with the next
+CHUNKS = 256  # pieces per recursive query
+CACHED_WORDS = 900_000  # distinct words whose ids a worker keeps
 MEMORY = "300MB"
 
-# Contract each word's leftmost pair of minimum rank until no pair is in the merge table.
-# A row is a token at a position of a word; words without a mergeable pair leave the recursion.
+# Contract each word's leftmost pair of minimum rank until no pair is in the merge table. A row is a token at a
+# position of a word, with the token after it; words without a mergeable pair leave the recursion.
 ONE_PAIR = """
-WITH RECURSIVE step(word, round, pos, tok) AS (
-    SELECT word, 0, pos, tok FROM start
+WITH RECURSIVE step(word, round, pos, tok, nxt) AS (
+    SELECT word, 0, pos, tok, lead(tok) OVER (PARTITION BY word ORDER BY pos) FROM start
   UNION ALL
     (WITH hits AS (
-       SELECT a.word, min((merged::BIGINT << 32) | a.pos) AS hit
-       FROM step a JOIN step b ON b.word = a.word AND b.pos = a.pos + 1
-       JOIN merges ON pair = a.tok::BIGINT * 65536 + b.tok
-       WHERE a.round < {rounds} GROUP BY a.word),
-     best AS (SELECT word, (hit & 4294967295)::INTEGER AS place, (hit >> 32)::INTEGER AS merged FROM hits)
-     SELECT word, round + 1, CASE WHEN pos > place THEN pos - 1 ELSE pos END, CASE WHEN pos = place THEN merged ELSE tok END
-     FROM step JOIN best USING (word)
+       SELECT word, min((merged::BIGINT << 32) | pos) AS hit
+       FROM step JOIN merges ON pair = tok::BIGINT * 65536 + nxt
+       WHERE round < {rounds} GROUP BY word),
+     best AS (SELECT word, (hit & 4294967295)::INTEGER AS place, (hit >> 32)::INTEGER AS merged FROM hits),
+     joint AS (SELECT best.*, nxt AS beyond FROM best JOIN step ON step.word = best.word AND step.pos = place + 1)
+     SELECT word, round + 1, CASE WHEN pos > place THEN pos - 1 ELSE pos END, CASE WHEN pos = place THEN merged ELSE tok END,
+            CASE WHEN pos = place THEN beyond WHEN pos = place - 1 THEN merged ELSE nxt END
+     FROM step JOIN joint USING (word)
      WHERE pos <> place + 1))
 SELECT word, round, pos, tok FROM step JOIN (SELECT word, max(round) AS round FROM step GROUP BY word) USING (word, round)
 """
 
-# The same for long words: pairs of equal minimum rank that do not overlap are contracted
+# The same for long words that cannot be put together from pieces: pairs of equal minimum rank that do not overlap are contracted
 # in one round where the merge table proves that the order cannot matter (column alike).
 ALL_PAIRS = """
 WITH RECURSIVE step(word, round, pos, tok) AS (
@@ -66,9 +69,9 @@ WITH RECURSIVE step(word, round, pos, tok) AS (
 SELECT word, round, pos, tok FROM step QUALIFY round = max(round) OVER (PARTITION BY word)
 """
 
-# ids of each word as little-endian unsigned 32-bit integers in hex, and the bytes they decode to
+# ids of each word, and the hex of the bytes that they decode to
 COLLECT = """
-SELECT word, string_agg(le, '' ORDER BY pos) AS ids, string_agg(hex, '' ORDER BY pos) AS bytes
+SELECT word, list(tok ORDER BY pos) AS ids, string_agg(hex, '' ORDER BY pos) AS bytes
 FROM done JOIN vocab USING (tok) GROUP BY word
 """
 
@@ -100,6 +103,8 @@ class Tokenizer:
             raise ValueError("pairs are packed from 16-bit ids")
         self.find = regex.compile(pattern).findall
         self.ranks = ranks
+        self.size = np.zeros(max(ranks.values()) + 1, np.int64)
+        self.size[list(ranks.values())] = [len(t) for t in ranks]
         self.byte = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         left, right, merged = [], [], []
         for token, rank in ranks.items():
@@ -123,29 +128,28 @@ class Tokenizer:
             {
                 "tok": pa.array(ranks.values(), pa.int32()),
                 "hex": pa.array([t.hex() for t in ranks]),
-                "le": pa.array([r.to_bytes(4, "little").hex() for r in ranks.values()]),
             }
         )
         self.db.execute("CREATE TABLE merges AS SELECT * FROM merges")
         self.db.execute("CREATE TABLE vocab AS SELECT * FROM vocab")
         self.ids: dict[str, bytes] = {}
-        self.bytes: dict[str, bytes] = {}
+        self.odd: dict[str, bytes] = {}  # decoded bytes of words whose ids do not decode to the word itself
 
-    def _start(self, words: list[str]) -> pa.Table:
+    def _start(self, raw: list[bytes]) -> pa.Table:
         """Token-position rows: the bytes of each word; a word that is itself a token is that token."""
-        raw = [w.encode() for w in words]
         whole = np.array([self.ranks.get(r, -1) for r in raw], np.int32)
         size = np.where(whole < 0, [len(r) for r in raw], 1)
         tok = self.byte[np.frombuffer(b"".join(r if t < 0 else b"\0" for r, t in zip(raw, whole, strict=True)), np.uint8)]
         ends = np.cumsum(size)
         tok[(ends - 1)[whole >= 0]] = whole[whole >= 0]
-        word = np.repeat(np.arange(len(words), dtype=np.int32), size)
+        word = np.repeat(np.arange(len(raw), dtype=np.int32), size)
         pos = (np.arange(len(tok)) - np.repeat(ends - size, size)).astype(np.int32)
         return pa.table({"word": word, "pos": pos, "tok": tok})
 
-    def _solve(self, words: list[str], sql: str) -> None:
-        start = self._start(words)
-        parts = []
+    def _contract(self, raw: list[bytes], sql: str) -> pa.Table:
+        """Rows ``word, pos, tok`` of the contracted words."""
+        start = self._start(raw)
+        parts = [start.schema.empty_table()]
         while start.num_rows:
             self.db.register("start", start)
             got = self.db.sql(sql.format(rounds=ROUNDS)).to_arrow_table()
@@ -153,32 +157,89 @@ class Tokenizer:
             open_ = pa.compute.equal(got["round"], ROUNDS)
             parts.append(got.filter(pa.compute.invert(open_)).select(["word", "pos", "tok"]))
             start = got.filter(open_).select(["word", "pos", "tok"])
-        self.db.register("done", pa.concat_tables(parts))
-        out = self.db.sql(COLLECT).to_arrow_table()
+        return pa.concat_tables(parts)
+
+    def _keep(self, words: list[str], done: pa.Table) -> None:
+        """Remember the ids of ``words``, and what they decode to."""
+        self.db.register("done", done)
+        out = self.db.sql(COLLECT).to_arrow_table().combine_chunks()
         self.db.unregister("done")
-        for i, ids, raw in zip(out["word"].to_pylist(), out["ids"].to_pylist(), out["bytes"].to_pylist(), strict=True):
-            self.ids[words[i]] = bytes.fromhex(ids)
-            self.bytes[words[i]] = bytes.fromhex(raw)
-
-    def learn(self, words: Iterable[str]) -> None:
-        """Make sure that ``ids`` and ``bytes`` hold these distinct words."""
-        new = [w for w in words if w not in self.ids]
-        for sql, some in ((ONE_PAIR, [w for w in new if len(w) < LONG_WORD]), (ALL_PAIRS, [w for w in new if len(w) >= LONG_WORD])):
-            part, size = [], 0
-            for w in some:
-                part.append(w)
-                size += len(w)
-                if size >= QUERY_BYTES:
-                    self._solve(part, sql)
-                    part, size = [], 0
-            if part:
-                self._solve(part, sql)
+        lists = out["ids"].combine_chunks()
+        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+        ends = (lists.offsets.to_numpy() - lists.offsets[0].as_py()) * 4
+        packed = lists.flatten().to_numpy().astype("<u4").tobytes()
+        for i, lo, hi, hexed in zip(out["word"].to_pylist(), ends[:-1].tolist(), ends[1:].tolist(), out["bytes"].to_pylist(), strict=True):
+            word = words[i]
+            self.ids[word] = packed[lo:hi]
+            raw = bytes.fromhex(hexed)
+            if raw != word.encode():
+                self.odd[word] = raw
+
+    def _pieces(self, raw: bytes) -> pa.Table | None:
+        """A long word put together from overlapping pieces, or None if two neighbours share no token.
+
+        A sequence of tokens is what contraction gives if each two neighbours in it are what contraction of their bytes
+        gives: the first contraction across a border would already happen between the two alone. Neighbours in a contracted
+        piece are such a pair. So two pieces may be joined after a token that both have at the same place.
+        """
+        starts = range(0, max(1, len(raw) - LAP), CHUNK - LAP)
+        tables = []
+        for at in range(0, len(starts), CHUNKS):
+            some = starts[at : at + CHUNKS]
+            part = self._contract([raw[i : i + CHUNK] for i in some], ONE_PAIR).sort_by([("word", "ascending"), ("pos", "ascending")])
+            word, tok = part["word"].to_numpy(), part["tok"].to_numpy()
+            cuts = np.searchsorted(word, np.arange(len(some) + 1))
+            tables += [tok[lo:hi] for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
+        whole: list[np.ndarray] = []
+        left = None  # tokens of the piece before, and the place where each ends
+        for at, tok in zip(starts, tables, strict=True):
+            ends = at + np.cumsum(self.size[tok])
+            if left is not None:
+                before, before_ends, used = left
+                same = np.flatnonzero(np.isin(before_ends * 65536 + before, ends * 65536 + tok))
+                same = same[same >= used]
+                if not len(same):
+                    return None
+                # the middle of what they share is far from both pieces' ends
+                last = int(same[len(same) // 2])
+                whole.append(before[used : last + 1])
+                first = int(np.searchsorted(ends, before_ends[last], "right"))
+            else:
+                first = 0
+            left = (tok, ends, first)
+        whole.append(left[0][left[2] :])
+        found = np.concatenate(whole)
+        return pa.table({"word": np.zeros(len(found), np.int32), "pos": np.arange(len(found), dtype=np.int32), "tok": found.astype(np.int32)})
+
+    def learn(self, words: set[str]) -> None:
+        """Make sure that ``ids`` holds these distinct words."""
+        part: list[str] = []
+        size = 0
+        for w in words.difference(self.ids):
+            if len(w) >= LONG_WORD:
+                raw = w.encode()
+                self._keep([w], (self._pieces(raw) if raw not in self.ranks else None) or self._contract([raw], ALL_PAIRS))
+                continue
+            part.append(w)
+            size += len(w)
+            if size >= QUERY_BYTES:
+                self._keep(part, self._contract([x.encode() for x in part], ONE_PAIR))
+                part, size = [], 0
+        if part:
+            self._keep(part, self._contract([x.encode() for x in part], ONE_PAIR))
+
+    def decoded(self, words: list[str]) -> bytes:
+        """The bytes that the ids of these words decode to."""
+        if self.odd:
+            words = [self.odd.get(w, w.encode()) for w in words]
+            return b"".join(words)
+        return "".join(words).encode()
 
     def forget(self) -> None:
         """Keep the first half of a full cache: frequent words are met first."""
         if len(self.ids) > CACHED_WORDS:
             self.ids = dict(islice(self.ids.items(), CACHED_WORDS // 2))
-            self.bytes = {w: self.bytes[w] for w in self.ids}
+            self.odd = {w: raw for w, raw in self.odd.items() if w in self.ids}
 
 
 _TOKENIZERS: dict[tuple[str, str], Tokenizer] = {}
@@ -211,7 +272,7 @@ def _words(t: Tokenizer, texts: list[str]) -> Iterator[tuple[int, list[str]]]:
     for group in _groups(texts):
         found = [(d, t.find(piece)) for d, piece in group]
         t.forget()
-        t.learn(dict.fromkeys(w for _, words in found for w in words))
+        t.learn(set().union(*(words for _, words in found)))
         yield from found
 
 
@@ -241,7 +302,7 @@ def _round_trip(path: str, pattern: str):
                 part = b"".join(map(t.ids.__getitem__, words))
                 n[d] += len(part) // 4
                 ids[d].update(part)
-                raw[d].update(b"".join(map(t.bytes.__getitem__, words)))
+                raw[d].update(t.decoded(words))
             yield pa.RecordBatch.from_pydict(
                 _keys(batch)
                 | {"n_tokens": pa.array(n, pa.int64())}
@@ -303,8 +364,9 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
 def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of each whole text, without moving its ids.
 
-    The ids are those of ``encode``; each word's ids are decoded by the ordered aggregation in the
-    same database, and a text's decoded bytes are those of its words in turn.
+    The ids are those of ``encode``. Each distinct word's ids are decoded by the ordered aggregation in the same
+    database and compared with the word; a text's decoded bytes are those of its words in turn, which is
+    what decoding its ids in one go gives. A text or word of any length is treated whole.
     """
     kind = dict(docs.dtypes)[id_col]
     schema = f"_row long, doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
