@@ -10,19 +10,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import prepare_python
+from kestrel.llm.common import prepare_python, stored, whole_row, with_row_key
 
 THRESHOLD = 0.7
 # bounds of the labelled sample that voters and classifier are fitted on, by label
 SAMPLE_TOXIC, SAMPLE_CLEAN = 2048, 4096
-MAX_LEXICON = 256  # lexicon voters
 STEMS = (4, 5)  # word beginnings that can be lexicon entries
 MIN_FIRES = 4  # documents of the sample that an entry must be in
 MAX_CLEAN = 0.01  # share of clean documents among those of the sample that hold an entry
 CHANCE = 0.01
 ROUNDS = 50
 MIN_CORRELATION = 0.15  # residual correlation from which voters are of one group
-MIN_Z, MAX_FEATURES = 6.0, 1024
+MIN_Z = 6.0
 L1 = 2e-5
 STEPS = 2000
 CACHED_WORDS = 200_000
@@ -90,19 +89,24 @@ class Model:
 
 @dataclass
 class Sample:
-    """Features of the labelled texts: ``names`` numbers them, ``col`` lists each document's, ``row`` its documents."""
+    """Features of the labelled texts: ``names`` numbers them, ``col`` lists each document's, ``row`` its documents.
+
+    ``weight`` is the number of labelled documents that each stands for, their mean being 1.
+    """
 
     names: list[str]
     row: np.ndarray
     col: np.ndarray
     toxic: np.ndarray
+    weight: np.ndarray
 
     @staticmethod
-    def of(texts: list[str], toxic: list[int]) -> Sample:
+    def of(texts: list[str], toxic: list[int], stands_for: tuple[float, float] = (1.0, 1.0)) -> Sample:
         at: dict[str, int] = {}
         cols = [np.fromiter((at.setdefault(f, len(at)) for f in sorted(features(t))), np.int32) for t in texts]
         row = np.repeat(np.arange(len(cols), dtype=np.int32), [len(c) for c in cols])
-        return Sample(list(at), row, np.concatenate([np.zeros(0, np.int32), *cols]), np.array(toxic, float))
+        weight = np.where(np.array(toxic, bool), stands_for[1], stands_for[0])
+        return Sample(list(at), row, np.concatenate([np.zeros(0, np.int32), *cols]), np.array(toxic, float), weight / max(weight.mean(), 1e-12) if len(weight) else weight)
 
     def counts(self, weight: np.ndarray) -> np.ndarray:
         """Sum of the documents' weights for each feature."""
@@ -112,42 +116,59 @@ class Sample:
 def lexicon(sample: Sample) -> list[int]:
     """Entries (words, beginnings) that mark toxic documents, the most telling first.
 
-    At most MAX_CLEAN of the documents that hold an entry may be clean, and it must be in so many that by
-    chance not one of all candidates would be, but for a probability of CHANCE (Chernoff bound).
+    At most MAX_CLEAN of the labelled documents that hold an entry may be clean, and it must be in so many of the sample that by
+    chance not one of all candidates would be, but for a probability of CHANCE (Chernoff bound). Of
+    entries that are in the same documents, as a word and its beginnings mostly are, the first by name speaks for all.
     """
     y = sample.toxic
     bad, good = sample.counts(y), sample.counts(1 - y)
+    all_bad, all_good = sample.counts(y * sample.weight), sample.counts((1 - y) * sample.weight)
     n_bad, n_good = max(y.sum(), 1), max((1 - y).sum(), 1)
     base = n_bad / (n_bad + n_good)
     found = np.flatnonzero((bad >= MIN_FIRES) & np.array([f[0] != "~" for f in sample.names], bool))
     b, g = bad[found], good[found]
     share = np.minimum(b / (b + g), 1 - 1e-9)
     evidence = (b + g) * (share * np.log(share / base) + (1 - share) * np.log((1 - share) / (1 - base)))
-    chosen = np.flatnonzero((g <= MAX_CLEAN * (b + g)) & (evidence >= np.log(max(len(found), 1) / CHANCE)))
+    pure = all_good[found] <= MAX_CLEAN * (all_bad[found] + all_good[found])
+    chosen = np.flatnonzero(pure & (evidence >= np.log(max(len(found), 1) / CHANCE)))
     order = sorted(chosen, key=lambda k: (-evidence[k], sample.names[found[k]]))
-    return [int(found[k]) for k in order[:MAX_LEXICON]]
-
-
-def label_model(votes: np.ndarray, start: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    where: dict[int, list[int]] = {int(found[k]): [] for k in order}
+    for d, f in zip(sample.row.tolist(), sample.col.tolist(), strict=True):
+        if f in where:
+            where[f].append(d)
+    seen: set[tuple[int, ...]] = set()
+    kept = []
+    for k in order:
+        documents = tuple(where[int(found[k])])
+        if documents not in seen:
+            seen.add(documents)
+            kept.append(int(found[k]))
+    return kept
+
+
+def label_model(votes: np.ndarray, start: np.ndarray, prior: float, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Posterior of the hidden label of each document from its votes (documents x voters, 0 or 1).
 
     A two-class generative model fitted by expectation-maximisation without the
     documents' labels, given the classes' balance ``prior``: each voter fires with one chance in clean and another in toxic documents; a voter
     that does not fire abstains, and one more voter fires where all others abstain. Voters
     that fire together beyond what the class explains (residual correlation) say the same thing twice: they
-    form a group, of which only the strongest vote counts. ``start`` is the first guess of the posterior.
+    form a group, of which only the strongest vote counts. ``start`` is the first guess of the posterior,
+    ``weight`` the number of documents that each stands for.
     """
+    weight = np.ones(len(votes)) if weight is None else weight
     votes = np.column_stack([votes, ~votes.any(axis=1)]).astype(float)
     n, m = votes.shape
     post, corr, group = start.astype(float), np.eye(m), np.arange(m)
     fires = np.full((2, m), 0.5)
     for round_ in range(ROUNDS):
         for c, p in ((0, 1 - post), (1, post)):
-            fires[c] = (p @ votes + 0.01) / (p.sum() + 1.0)
+            fires[c] = ((p * weight) @ votes + 0.01) / ((p * weight).sum() + 1.0)
         if round_ in (5, 15):
             rest = votes - np.outer(1 - post, fires[0]) - np.outer(post, fires[1])
-            sd = np.sqrt((rest**2).mean(axis=0)) + 1e-9
-            corr = (rest.T @ rest) / n / np.outer(sd, sd)
+            rest *= np.sqrt(weight / weight.sum())[:, None]
+            rest = (rest / (np.sqrt((rest**2).sum(axis=0)) + 1e-9)).astype(np.float32)
+            corr = rest.T @ rest
             group, linked = np.arange(m), corr > MIN_CORRELATION
             linked[-1] = linked[:, -1] = False
             while (low := np.where(linked | np.eye(m, dtype=bool), group, m).min(axis=1)).tolist() != group.tolist():
@@ -165,13 +186,13 @@ def linear_classifier(sample: Sample, target: np.ndarray) -> tuple[float, dict[s
     """L1-regularised logistic regression on binary features with soft targets (accelerated proximal steps).
 
     Features of under MIN_FIRES documents, or whose difference between the targets is within MIN_Z
-    standard errors of none, are left out; MAX_FEATURES at most, the most telling first.
+    standard errors of none, are left out. Documents count by the number that they stand for.
     """
-    n, mean = len(target), target.mean()
+    n, mean, weight = len(target), target.mean(), sample.weight
     df = sample.counts(np.ones(n))
     z = np.abs(sample.counts(target - mean)) / np.sqrt(df * (1 - df / n) * (target.var() + 1e-9) + 1e-9)
     able = np.flatnonzero((df >= MIN_FIRES) & (df < n) & (z >= MIN_Z))
-    kept = sorted(able, key=lambda f: (-z[f], sample.names[f]))[:MAX_FEATURES]
+    kept = sorted(able, key=lambda f: (-z[f], sample.names[f]))
     names = [sample.names[f] for f in kept]
     place = np.full(len(sample.names), -1, np.int32)
     place[kept] = np.arange(len(kept))
@@ -180,16 +201,16 @@ def linear_classifier(sample: Sample, target: np.ndarray) -> tuple[float, dict[s
 
     def gradient(w, b):
         z = np.bincount(row, w[col], n) + b
-        r = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - target
+        r = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - target) * weight
         return np.bincount(col, r[row], len(names)) / n, r.mean()
 
     x, top = np.ones(len(names)), 1.0
-    for _ in range(8):  # largest eigenvalue of X'X / n, for the step
+    for _ in range(8):  # largest eigenvalue of X'WX / n, for the step
         x /= np.linalg.norm(x) + 1e-12
-        x = np.bincount(col, np.bincount(row, x[col], n)[row], len(names)) / n
+        x = np.bincount(col, (weight * np.bincount(row, x[col], n))[row], len(names)) / n
         top = np.linalg.norm(x)
     step = 3.0 / (top + 1)
-    base = np.clip(mean, 0.01, 0.99)
+    base = np.clip((weight * target).mean(), 0.01, 0.99)
     b = old_b = np.log(base / (1 - base))
     w = old = np.zeros(len(names))
     for k in range(STEPS):
@@ -203,9 +224,12 @@ def linear_classifier(sample: Sample, target: np.ndarray) -> tuple[float, dict[s
     return float(b), {f: float(x) for f, x in zip(names, w, strict=True) if x}
 
 
-def fit(texts: list[str], toxic: list[int]) -> Model:
-    """Fit voters, label model and classifier; with no labelled text every score is 0.01."""
-    sample = Sample.of(texts, toxic)
+def fit(texts: list[str], toxic: list[int], stands_for: tuple[float, float] = (1.0, 1.0)) -> Model:
+    """Fit voters, label model and classifier; with no labelled text every score is 0.01.
+
+    ``stands_for``: how many labelled documents each clean and each toxic one of the sample stands for.
+    """
+    sample = Sample.of(texts, toxic, stands_for)
     nothing = Model(float(np.log(0.01 / 0.99)), {})
     if not sample.toxic.any():
         return nothing
@@ -219,7 +243,8 @@ def fit(texts: list[str], toxic: list[int]) -> Model:
     hit = place[sample.col] >= 0
     votes[sample.row[hit], place[sample.col[hit]]] = True
     start = np.where(votes[:, : len(entries) or None].any(axis=1), 0.9, 0.001)
-    post, fires, corr = label_model(votes, start, float(np.clip(sample.toxic.mean(), 0.001, 0.999)))
+    prior = float(np.clip((sample.toxic * sample.weight).mean(), 0.001, 0.999))
+    post, fires, corr = label_model(votes, start, prior, sample.weight)
     bias, weights = linear_classifier(sample, post)
     return Model(bias, weights, [sample.names[v] for v in voters], fires, corr)
 
@@ -228,18 +253,27 @@ def sample_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     """Fit on up to SAMPLE_TOXIC + SAMPLE_CLEAN labelled documents, chosen by a hash of their id.
 
     Only labels of rows that are not ``held_out`` are read. Of several labels of a document the
-    highest counts; of several rows of an id one.
+    highest counts; of several rows of an id one. Documents of the sample are weighted by the share of their label that is in
+    it, so that the classes' balance is that of all labelled rows whatever the table's size.
     """
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
     known = known.where(~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("_d"), "_toxic")
     order = F.xxhash64(F.col("_d").cast("long"), F.lit(8))
-    pick = lambda label, n: known.where(F.col("_toxic") == label).orderBy(order, "_d").limit(n)
+    sizes = {r["_toxic"]: r["c"] for r in known.where(F.col("_toxic").isin(0, 1)).groupBy("_toxic").agg(F.count(F.lit(1)).alias("c")).collect()}
+
+    def pick(label, n):
+        # the least hashes lie below this bound but for a chance of under 1e-12, so that tasks send little more than the sample
+        bound = F.lit(-(2.0**63) + 2.0**64 * min(1.0, 1.25 * n / sizes.get(label, 1)))
+        return known.where((F.col("_toxic") == label) & (order.cast("double") <= bound)).orderBy(order, "_d").limit(n)
+
     # a table of SAMPLE_TOXIC + SAMPLE_CLEAN rows at most
     chosen = F.broadcast(pick(1, SAMPLE_TOXIC).union(pick(0, SAMPLE_CLEAN)))
     texts = docs.select(F.col(id_col).alias("_i"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     rows = texts.join(chosen, F.col("_i") == F.col("_d")).select("_d", "t", "_toxic").collect()
     rows = sorted({r["_d"]: r for r in sorted(rows, key=lambda r: (r["_d"], r["t"]))}.values(), key=lambda r: r["_d"])
-    return fit([r["t"] for r in rows], [r["_toxic"] for r in rows])
+    taken = [min(sizes.get(0, 0), SAMPLE_CLEAN), min(sizes.get(1, 0), SAMPLE_TOXIC)]
+    stands_for = tuple(sizes.get(label, 0) / n if n else 1.0 for label, n in enumerate(taken))
+    return fit([r["t"] for r in rows], [r["_toxic"] for r in rows], stands_for)
 
 
 def _score(model: Model):
@@ -280,7 +314,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """
     prepare_python(docs.sparkSession)
     kind = dict(docs.dtypes)[id_col]
-    rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("t"))
+    rows = with_row_key(stored(docs), "_row", doc_id=F.col(id_col), t=F.col(text_col))
     scored = rows.mapInArrow(_score(model), f"_row long, doc_id {kind}, score double")
     return scored.select(
         "_row",
@@ -293,7 +327,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **settings) -> DataFrame:
     """``docs`` without the rows that score ``threshold`` or more, all columns kept."""
+    docs = stored(docs)
     gone = score(docs, sample_model(docs, labels, **settings), threshold=threshold, **settings).where("predicted = 1")
     gone = gone.select(F.col("_row").alias("_gone"))
-    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("d"), F.monotonically_increasing_id().alias("_row"))
+    packed = with_row_key(docs, "_row", d=whole_row(docs))
     return packed.join(gone, F.col("_row") == F.col("_gone"), "left_anti").select("d.*")
