@@ -38,7 +38,7 @@ _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 class Block(NamedTuple):
     text: str  # references decoded, white space turned into single blanks, trimmed
-    path: tuple[str, ...]  # tags from the root, each followed by the words of its class, id and role as ``.word``
+    path: tuple[str, ...]  # tags from the root, each with the words of its class, id and role as ``.word``, once each; the innermost tag again at the end
     linked: float  # share of the text that stands in links
 
 
@@ -49,12 +49,18 @@ def _names(attrs: str) -> tuple[str, ...]:
 
 
 def blocks(page: str) -> list[Block]:
-    """Leaf blocks: runs of text that no block-level tag interrupts. Unclosed and misnested tags are tolerated."""
+    """Leaf blocks: runs of text that no block-level tag interrupts. Unclosed and misnested tags are tolerated.
+
+    Work per tag does not grow with the depth of nesting: the open tags and names are counted as they open and close.
+    """
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
+    block_tags: list[str] = []  # those of the stack that are no inline tags
+    opened: dict[str, int] = {}  # open tags, inline ones too
+    on_path: dict[str, int] = {}  # block tags and their names, in the order of opening
     parts: list[str] = []
     where: tuple[str, ...] | None = None
-    links = total = depth_a = 0
+    links = total = 0
 
     def flush():
         nonlocal where, links, total
@@ -65,11 +71,26 @@ def blocks(page: str) -> list[Block]:
         parts.clear()
         where, links, total = None, 0, 0
 
+    def count(counts, name, step) -> None:
+        counts[name] = counts.get(name, 0) + step
+        if not counts[name]:
+            del counts[name]
+
+    def enter(tag, names, step) -> None:
+        count(opened, tag, step)
+        if tag not in INLINE:
+            for x in (tag, *names):
+                count(on_path, x, step)
+
     def close(kinds, stops) -> None:
-        nonlocal depth_a
+        if not any(x in opened for x in kinds):
+            return
         for k in range(len(stack) - 1, -1, -1):
             if stack[k][0] in kinds:
-                depth_a -= sum(t == "a" for t, _ in stack[k:])
+                for tag, names in reversed(stack[k:]):
+                    enter(tag, names, -1)
+                    if tag not in INLINE:
+                        block_tags.pop()
                 del stack[k:]
                 return
             if stack[k][0] in stops:
@@ -79,11 +100,11 @@ def blocks(page: str) -> list[Block]:
         text = m["text"]
         if text is not None:
             if where is None and not text.isspace():
-                where = tuple(x for tag, names in stack if tag not in INLINE for x in (tag, *names))
+                where = (*on_path, *block_tags[-1:])
             parts.append(text)
             n = len(text.strip())
             total += n
-            links += n if depth_a else 0
+            links += n if "a" in opened else 0
             continue
         tag = m["tag"]
         if tag is None:
@@ -97,14 +118,15 @@ def blocks(page: str) -> list[Block]:
             parts.append(" ")
         if m["end"]:
             # an inline end tag does not reach beyond its block
-            block = [t for t, _ in stack if t not in INLINE][-1:] if tag in INLINE else []
-            close((tag,), tuple(block))
+            close((tag,), tuple(block_tags[-1:]) if tag in INLINE else ())
         elif tag not in VOID:
             if tag not in INLINE:
                 close(("p",), ("table", "td", "button", "li", "div", "section", "article"))
             if tag in ENDS:
                 close(*ENDS[tag])
             stack.append((tag, _names(m["attrs"])))
-            depth_a += tag == "a"
+            enter(*stack[-1], 1)
+            if tag not in INLINE:
+                block_tags.append(tag)
     flush()
     return out

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from kestrel.llm.common import prepare_python
 from kestrel.llm.html_blocks import Block, blocks
 
+SAMPLE_BYTES = 1 << 18  # of a page of the sample
 SAMPLE_PAGES = 256  # real pages that the training pages take their words and layouts from
 MADE_PAGES = 900
 PATH, WORDS, SCALARS = 40, 24, 6  # widths of the three parts of a block's vector
@@ -307,9 +308,17 @@ def fit(pages: list[str], made: int = MADE_PAGES, seed: int = SEED) -> Labeller
 
 
 def sample_model(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", limit: int = SAMPLE_PAGES) -> Labeller | None:
-    """Fit on the ``limit`` pages that come first in the order of a hash of their id."""
-    few = pages.where(F.col(html_col).isNotNull()).select(F.xxhash64(F.col(id_col)).alias("h"), F.col(html_col).alias("x"))
-    return fit([r["x"] for r in few.orderBy("h", "x").limit(limit).collect()])
+    """Fit on the ``limit`` pages of at most SAMPLE_BYTES that come first in the order of a hash of their id.
+
+    Pages whose hash is beyond what the table's length calls for are left out before any html moves, so that tasks send
+    about four times ``limit`` pages in all. A table of long pages only is sampled from all pages.
+    """
+    n = pages.count()
+    h = F.xxhash64(F.col(id_col))
+    bound = F.lit(-(2.0**63) + 2.0**64 * min(1.0, 4 * limit / max(n, 1)))
+    first = pages.where((h.cast("double") <= bound) & F.col(html_col).isNotNull()).select(h.alias("h"), F.col(html_col).alias("x"))
+    few = first.where(F.octet_length("x") <= SAMPLE_BYTES).orderBy("h", "x").limit(limit).collect()
+    return fit([r["x"] for r in few or first.orderBy("h", "x").limit(limit).collect()])
 
 
 def _extract(model: Labeller | None):
