@@ -7,8 +7,10 @@ import zipfile
 from collections.abc import Sequence
 from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 import kestrel
 from kestrel.session import scratch_path
@@ -32,13 +34,33 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def with_row_key(df: DataFrame, key: str) -> DataFrame:
-    """Add a unique long per row.
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` itself if its rows come straight from files, else a written copy: a frame that ``with_row_key`` can read twice."""
+    try:
+        df.select(df.metadataColumn("_metadata")["row_index"])
+    except AnalysisException:
+        return materialise(df, "stored")
+    return df
 
-    ``df`` must be a file scan or a written table, whose splits are the same
-    each time it is read, so that the key survives recomputation.
+
+def with_row_key(df: DataFrame, key: str, **columns: Column) -> DataFrame:
+    """``columns`` of ``df`` and a unique long per row that every later read gives again.
+
+    The key is the number of the row's file, in the order of their names, and its place in that file. It does not depend on
+    how files are cut into tasks, which follows the number of cores that are registered when a job starts. ``df`` must
+    be ``stored``. The table of file names is as long as the list that Spark's driver keeps of them anyway.
     """
-    return df.withColumn(key, F.monotonically_increasing_id())
+    place = df.metadataColumn("_metadata")
+    files = df.select(place["file_path"].alias("_file")).distinct()
+    files = files.select("_file", (F.row_number().over(Window.orderBy("_file")) - 1).cast("long").alias("_number"))
+    rows = df.select(place["file_path"].alias("_file"), place["row_index"].alias("_index"), *[c.alias(name) for name, c in columns.items()])
+    numbered = rows.join(F.broadcast(files), "_file")
+    return numbered.select((F.shiftleft("_number", 40) + F.col("_index")).alias(key), *columns)
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns of ``df`` as one struct, whatever their names."""
+    return F.struct(*[df[c] for c in df.columns])
 
 
 def hex60(col: Column) -> Column:

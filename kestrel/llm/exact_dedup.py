@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import salted_join, with_row_key
+from kestrel.llm.common import salted_join, stored, whole_row, with_row_key
 
 PREFIX_CHARS = 128
 
@@ -26,12 +26,11 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     * other columns of ``docs`` are ignored, so their names cannot clash;
     * an empty table gives an empty result.
 
-    ``_row`` is the row key of ``with_row_key(docs)``; ``docs`` must be a file
-    scan or a written table. A hot length, prefix or text is counted
+    ``_row`` is the row key of ``with_row_key(docs)``. A hot length, prefix or text is counted
     by partial aggregation and joined back over salts.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = with_row_key(docs.select(F.col(id_col).alias("doc_id"), text.alias("t")), "_row").select(
+    rows = with_row_key(stored(docs), "_row", doc_id=F.col(id_col), t=text).select(
         "_row",
         "doc_id",
         F.octet_length("t").alias("n"),
@@ -62,6 +61,7 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group of equal texts (see ``duplicate_groups``), all columns kept."""
+    docs = stored(docs)
     dropped = duplicate_groups(docs, id_col, text_col).where("NOT kept").select(F.col("_row").alias("_gone"))
-    packed = with_row_key(docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("d")), "_row")
+    packed = with_row_key(docs, "_row", d=whole_row(docs))
     return packed.join(dropped, F.col("_row") == F.col("_gone"), "left_anti").select("d.*")

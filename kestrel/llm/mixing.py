@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from kestrel.llm.common import WORD, hex60, materialise, salted_join
+from kestrel.llm.common import WORD, hex60, materialise, salted_join, stored, whole_row, with_row_key
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -147,11 +147,12 @@ def mix(
     and inside a cell, so that a source holding most rows is spread.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    base = docs.select(
-        F.monotonically_increasing_id().alias("_row"),
-        F.col(id_col).alias("doc_id"),
-        F.col(source_col).cast("string").alias("source"),
-        F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
+    base = with_row_key(
+        stored(docs),
+        "_row",
+        doc_id=F.col(id_col),
+        source=F.col(source_col).cast("string"),
+        size=F.regexp_count(text, F.lit(WORD)).cast("long"),
     ).withColumn("h", seeded_place(seed))
     base = materialise(base.withColumn("cell", F.floor(F.col("h") / F.lit((1 << 60) // CELLS)).cast("int")), "mix-base")
 
@@ -242,9 +243,10 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
 
     Documents without words are in no block and leave. All columns are kept.
     """
+    docs = stored(docs)
     plan = mix(docs, **settings).documents.where("taken > 0").withColumn("h", seeded_place(settings.get("seed", SEED)))
     plan = whole_copies(plan).where("_copies > 0")
-    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("d"), F.monotonically_increasing_id().alias("_row"))
+    packed = with_row_key(docs, "_row", d=whole_row(docs))
     return (
         packed.join(plan, F.col("_row") == F.col("_r"))
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import materialise, prepare_python, salted_join
+from kestrel.llm.common import materialise, prepare_python, salted_join, stored, whole_row, with_row_key
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -73,7 +73,7 @@ def _fingerprints(shingle: int):
 def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """``_row, doc_id, fp``: the fingerprint of each whole text as a signed long."""
     prepare_python(docs.sparkSession)
-    rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("t"))
+    rows = with_row_key(stored(docs), "_row", doc_id=F.col(id_col).cast("long"), t=F.col(text_col))
     return rows.mapInArrow(_fingerprints(shingle), "_row long, doc_id long, fp long")
 
 
@@ -267,7 +267,6 @@ def near_duplicates(
     Documents of equal fingerprint enter the search as one. Null text counts as empty; texts without words have
     fingerprint 0 and are linked like any other; a null id is larger than any other, and is the
     component's only if all are null; an empty table gives an empty result; other columns are ignored.
-    ``docs`` must be a file scan or a written table (rows are told apart by their place).
     """
     rows = materialise(with_fingerprints(docs, id_col, text_col, shingle), "simhash-fp")
     order = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id"), F.col("_row")))
@@ -284,6 +283,7 @@ def near_duplicates(
 
 def drop_near_duplicates(docs: DataFrame, **settings) -> DataFrame:
     """``docs`` with one row of each component (see ``near_duplicates``), all columns kept."""
+    docs = stored(docs)
     gone = near_duplicates(docs, **settings).where("_row <> keep_row").select(F.col("_row").alias("_gone"))
-    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("d"), F.monotonically_increasing_id().alias("_row"))
+    packed = with_row_key(docs, "_row", d=whole_row(docs))
     return packed.join(gone, F.col("_row") == F.col("_gone"), "left_anti").select("d.*")

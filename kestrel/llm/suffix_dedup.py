@@ -12,7 +12,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import materialise, prepare_python
+from kestrel.llm.common import materialise, prepare_python, stored, with_row_key
 from kestrel.llm.suffix_merge import ORDER, PLACE, cut, lcp_from, merge, neighbour_lcp, pack, place, unpack, unplace
 
 WINDOW = 100  # bytes of a repeated string
@@ -443,11 +443,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     removed; strings are judged on the input. Strings do not cross texts.
 
     Null text counts as empty; texts under 100 bytes keep everything; a null id comes after all others; rows of
-    equal id are ordered by their place in the table; an empty table gives an empty result; other columns are ignored. ``docs`` must
-    be a file scan or a written table.
+    equal id are ordered by their place in the table; an empty table gives an empty result; other columns are ignored.
     """
     prepare_python(docs.sparkSession)
-    rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("t"))
+    rows = with_row_key(stored(docs), "_row", doc_id=F.col(id_col).cast("long"), t=F.col(text_col))
     # a span is at most WINDOW + REACH bytes long: start and length in one number
     span = F.shiftleft("start", 8) + (F.col("end") - F.col("start"))
     spans = repeated_spans(rows).groupBy("_row").agg(F.collect_list(span).alias("spans"))
