@@ -13,6 +13,8 @@ edge index used by random walks is built in salted buckets so no window holds al
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import Word2Vec
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -211,69 +213,242 @@ def triangle_total(per_node: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- betweenness
 
 
-def betweenness(nodes: DataFrame, edges: DataFrame, directed: bool = True) -> DataFrame:
+CORE_EDGES = 4_000_000  # two 4-byte numbers an edge: at most 32 MB go to a task
+STATE_ROWS = 1_000_000_000
+
+
+def betweenness(
+    nodes: DataFrame, edges: DataFrame, directed: bool = True, core_edges: int = CORE_EDGES, state_rows: int = STATE_ROWS
+) -> DataFrame:
     """Exact betweenness centrality (Brandes 2001), unnormalised ``(id, betweenness)``.
 
-    A level-synchronous BFS from all sources keeps ``(s, v, sigma)`` per level
-    (join with the adjacency + ``groupBy``), then dependencies are accumulated
-    from the deepest level back. Every level is written to the scratch folder. Self-loops and
-    parallel edges do not change shortest paths and are dropped. For an
-    undirected graph each pair is seen from both ends, so scores are halved.
+    1. Pendant trees are peeled off, round by round, with the exact number of pairs that pass each of their nodes
+       (``_peel``); the rest of the graph, the core, keeps for each node how many peeled nodes reach it and are reached from it.
+    2. In the core every node is a source once. A core of at most ``core_edges`` edges is sent to tasks that share the
+       sources among them; a larger one is walked level by level as joins, so many sources at a time
+       that about ``state_rows`` (source, node) rows exist at once. Both count the same sums with node weights.
+    3. The peeled nodes' scores follow from the core's, in reverse order of peeling.
 
-    Cost: exact betweenness is O(V E) work and keeps a row per reachable (source, node) pair; no
-    sampling and no level limit is applied.
+    Self-loops and parallel edges do not change shortest paths and are dropped. For an undirected graph each pair is
+    seen from both ends, so scores are halved. Nothing is sampled or cut off.
     """
     adj = edges.where(F.col("src") != F.col("dst")).select("src", "dst")
     if not directed:
         adj = adj.unionByName(adj.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     adj = cut_lineage(adj.distinct())
-    ids = cut_lineage(nodes.select("id").distinct())
-    totals = _brandes(ids, adj)
+    ids = nodes.select("id").distinct()
+    everyone = cut_lineage(ids.union(adj.select("src")).union(adj.select("dst")).distinct())
+    core, weights, peeled = _peel(everyone, adj)
+    size = core.count()
+    if size == 0:
+        sums = weights.select("id", *[F.lit(0.0).alias(c) for c in ("bc", "reach", "reached")])
+    elif size <= core_edges:
+        sums = _core_in_tasks(core, weights)
+    else:
+        sums = _core_in_batches(core, weights, state_rows)
+    scores = _core_scores(weights, sums)
+    for leaves in reversed(peeled):
+        scores = cut_lineage(scores.unionByName(_leaf_scores(leaves, scores)))
     scale = 1.0 if directed else 0.5
-    res = ids.join(totals, "id", "left") if totals is not None else ids.withColumn("bc", F.lit(None).cast("double"))
-    return res.select("id", (F.coalesce(F.col("bc"), F.lit(0.0)) * F.lit(scale)).alias("betweenness"))
+    out = ids.join(scores, "id", "left")
+    return out.select("id", (F.coalesce(F.col("bc"), F.lit(0.0)) * F.lit(scale)).alias("betweenness"))
+
+
+def _peel(ids: DataFrame, adj: DataFrame, least_share: float = 0.01):
+    """``(core edges, core weights, rounds of leaves)``.
+
+    A leaf has one neighbour, its parent. ``win`` of a node is the number of nodes of the trees peeled onto it, itself included,
+    that reach it; ``wout`` that of those it reaches. Pairs of two different trees of a parent pass the parent and are counted when
+    the second is peeled onto it. Rounds go on while they take ``least_share`` of the nodes: any part of
+    the trees may stay in the core.
+    """
+    weights = ids.select("id", F.lit(1.0).alias("win"), F.lit(1.0).alias("wout"), F.lit(0.0).alias("bc0"))
+    n = ids.count()
+    rounds: list[DataFrame] = []
+    while n:
+        # each neighbour once, with the directions in which they are linked
+        sides = adj.select(F.col("src").alias("id"), F.col("dst").alias("parent"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+            adj.select(F.col("dst").alias("id"), F.col("src").alias("parent"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+        )
+        ends = sides.groupBy("id", "parent").agg(F.max("up").alias("up"), F.max("down").alias("down"))
+        single = ends.groupBy("id").agg(
+            F.count(F.lit(1)).alias("c"), F.first("parent").alias("parent"), F.first("up").alias("up"), F.first("down").alias("down")
+        ).where("c = 1").drop("c")
+        # of two nodes that have only each other, the larger id is the leaf
+        other = single.select(F.col("id").alias("parent"), F.lit(True).alias("both"))
+        leaves = single.join(other, "parent", "left").where(F.col("both").isNull() | (F.col("id") > F.col("parent")))
+        leaves = cut_lineage(leaves.join(weights, "id").select("id", "parent", "up", "down", "win", "wout", "bc0"))
+        taken = leaves.count()
+        if taken < max(1, least_share * n):
+            break
+        gone = leaves.select("id")
+        a, b = F.col("up") * F.col("win"), F.col("down") * F.col("wout")
+        gains = leaves.groupBy(F.col("parent").alias("id")).agg(F.sum(a).alias("a"), F.sum(b).alias("b"), F.sum(a * b).alias("ab"))
+        weights = weights.join(gone, "id", "left_anti").join(gains, "id", "left").na.fill(0.0, ["a", "b", "ab"])
+        weights = cut_lineage(weights.select(
+            "id", (F.col("win") + F.col("a")).alias("win"), (F.col("wout") + F.col("b")).alias("wout"),
+            (F.col("bc0") + F.col("a") * F.col("b") - F.col("ab") + F.col("a") * (F.col("wout") - 1) + (F.col("win") - 1) * F.col("b")).alias("bc0"),
+        ))
+        adj = adj.join(gone.withColumnRenamed("id", "src"), "src", "left_anti").join(gone.withColumnRenamed("id", "dst"), "dst", "left_anti")
+        adj = cut_lineage(adj.select("src", "dst"))
+        rounds.append(leaves)
+        n -= taken
+    return adj, weights, rounds
+
+
+def _core_scores(weights: DataFrame, sums: DataFrame) -> DataFrame:
+    """``id, bc, win, wout, reaches, reached``: scores of core nodes; how many nodes of the whole graph each reaches and is reached by."""
+    j = weights.join(sums, "id", "left").na.fill(0.0, ["bc", "reach", "reached"])
+    more_in, more_out = F.col("win") - 1, F.col("wout") - 1
+    return cut_lineage(j.select(
+        "id",
+        (F.col("bc0") + F.col("bc") + more_in * F.col("reach") + F.col("reached") * more_out).alias("bc"),
+        (F.col("reach") + more_out).alias("reaches"),
+        (F.col("reached") + more_in).alias("reached"),
+    ))
+
+
+def _leaf_scores(leaves: DataFrame, scores: DataFrame) -> DataFrame:
+    """Scores of leaves from those of their parents: pairs of a node of the leaf's own trees and one beyond the parent."""
+    parents = scores.select(F.col("id").alias("parent"), F.col("reaches").alias("p_reaches"), F.col("reached").alias("p_reached"))
+    j = degree_join(leaves, parents, "parent", ["id"], salts_of(leaves, "parent"))
+    beyond = F.col("up") * (1 + F.col("p_reaches") - F.col("down") * F.col("wout"))
+    before = F.col("down") * (1 + F.col("p_reached") - F.col("up") * F.col("win"))
+    return j.select(
+        "id",
+        (F.col("bc0") + (F.col("win") - 1) * beyond + before * (F.col("wout") - 1)).alias("bc"),
+        (F.col("wout") - 1 + beyond).alias("reaches"),
+        (F.col("win") - 1 + before).alias("reached"),
+    )
+
 
+def _core_in_tasks(core: DataFrame, weights: DataFrame) -> DataFrame:
+    """``id, bc, reach, reached`` of a core whose edges fit a task: sources are dealt to tasks, sums of each task are added.
 
-def _brandes(ids: DataFrame, adj: DataFrame):
-    level = ids.select(F.col("id").alias("s"), F.col("id").alias("v"), F.lit(1.0).alias("sigma"))
+    ``bc`` is the sum of a node's dependencies over all other sources s times win(s), ``reach`` the weight
+    wout of all other nodes it reaches, ``reached`` the weight win of all others that reach it.
+    """
+    spark = core.sparkSession
+    edges = core.select("src", "dst").toArrow()  # at most CORE_EDGES rows
+    names, flat = np.unique(np.concatenate([edges["src"].to_numpy(), edges["dst"].to_numpy()]), return_inverse=True)
+    src, dst = flat[: len(edges)].astype(np.int32), flat[len(edges) :].astype(np.int32)
+    order = np.argsort(src, kind="stable")
+    n, dst = len(names), dst[order]
+    first = np.searchsorted(src[order], np.arange(n + 1)).astype(np.int64)  # edges of node v: dst[first[v]:first[v + 1]]
+    ends = core.select(F.col("src").alias("id")).union(core.select("dst")).distinct()
+    known = weights.join(ends, "id", "left_semi").select("id", "win", "wout").toArrow().sort_by("id")
+    win, wout = known["win"].to_numpy(), known["wout"].to_numpy()
+    shares = min(n, 4 * max(_partitions(spark), spark.sparkContext.defaultParallelism))
+
+    def dependencies(s):
+        """Dependency of source ``s`` on each other node, and the nodes that it reaches, itself included."""
+        depth, sigma, delta = np.full(n, -1), np.zeros(n), np.zeros(n)
+        depth[s], sigma[s] = 0, 1.0
+        front, levels, seen = np.array([s]), [], [np.array([s])]
+        while len(front):
+            size = first[front + 1] - first[front]
+            tail = np.repeat(front, size)
+            head = dst[np.repeat(first[front + 1] - np.cumsum(size), size) + np.arange(size.sum())]
+            new = np.unique(head[depth[head] < 0])
+            depth[new] = len(levels) + 1
+            on = depth[head] == len(levels) + 1
+            tail, head = tail[on], head[on]
+            if len(head):
+                sigma += np.bincount(head, sigma[tail], n)
+            levels.append((tail, head))
+            front = new
+            seen.append(new)
+        for tail, head in reversed(levels):
+            if len(head):
+                delta += np.bincount(tail, sigma[tail] / sigma[head] * (wout[head] + delta[head]), n)
+        delta[s] = 0.0
+        return delta, np.concatenate(seen)
+
+    def run(batches):
+        for batch in batches:
+            total = np.zeros((3, n))
+            for share in batch.column("id").to_pylist():
+                for s in range(share, n, shares):
+                    delta, seen = dependencies(s)
+                    total[0] += win[s] * delta
+                    total[1, s] = wout[seen].sum() - wout[s]
+                    total[2, seen] += win[s]
+                    total[2, s] -= win[s]
+            made = pa.RecordBatch.from_arrays([pa.array(np.arange(n)), *map(pa.array, total)], ["at", "bc", "reach", "reached"])
+            yield from (made.slice(i, 10_000) for i in range(0, n, 10_000))
+
+    tasks = spark.range(0, shares, 1, shares)
+    sums = tasks.mapInArrow(run, "at long, bc double, reach double, reached double").groupBy("at").agg(*[F.sum(c).alias(c) for c in ("bc", "reach", "reached")])
+    table = spark.createDataFrame(pa.table({"at": np.arange(n), "id": known["id"]}))
+    return sums.join(table, "at").drop("at")
+
+
+def _core_in_batches(core: DataFrame, weights: DataFrame, state_rows: int) -> DataFrame:
+    """The sums of ``_core_in_tasks`` by joins, for a core of any size, in batches of sources."""
+    ends = core.select(F.col("src").alias("id")).union(core.select("dst")).distinct()
+    sources = cut_lineage(weights.join(ends, "id", "left_semi").select("id", "win", "wout"))
+    n = sources.count()
+    batches = max(1, -(-n * n // state_rows))
+    hot = salts_of(core, "src")
+    done = None
+    for batch in range(batches):
+        mine = sources.where(F.pmod(F.xxhash64("id"), F.lit(batches)) == batch)
+        part = _batch_sums(mine, sources, core, hot)
+        if part is not None:
+            part = cut_lineage(part)
+            done = part if done is None else done.unionByName(part)
+    return done.groupBy("id").agg(*[F.sum(c).alias(c) for c in ("bc", "reach", "reached")])
+
+
+def _batch_sums(mine: DataFrame, weights: DataFrame, adj: DataFrame, hot: DataFrame | None) -> DataFrame | None:
+    """Brandes' levels from the sources ``mine``: one row (s, v) per pair reached, a table per level."""
+    by_v = None if hot is None else hot.withColumnRenamed("src", "v")
+    level = cut_lineage(mine.select(F.col("id").alias("s"), F.col("id").alias("v"), F.lit(1.0).alias("sigma")))
     levels = [level]
-    visited = level.select("s", "v")
+    steps = adj.select(F.col("src").alias("v"), F.col("dst").alias("w"))
     while True:
-        nxt = (
-            levels[-1].join(adj, levels[-1].v == adj.src)
-            .groupBy("s", F.col("dst").alias("v")).agg(F.sum("sigma").alias("sigma"))
-            .join(visited, ["s", "v"], "left_anti")
-        )
+        paths = _hub_join(levels[-1], steps, by_v)
+        nxt = paths.groupBy("s", F.col("w").alias("v")).agg(F.sum("sigma").alias("sigma"))
+        for seen in levels:
+            nxt = nxt.join(seen.select("s", "v"), ["s", "v"], "left_anti")
         nxt = cut_lineage(nxt)
         if nxt.isEmpty():
             break
         levels.append(nxt)
-        # a flat union of written levels: no extra materialisation per level
-        visited = visited.unionByName(nxt.select("s", "v"))
     if len(levels) == 1:
         return None
-    deltas = []
-    coef = None  # (s, w, coef) for the level below the current one
-    for k in range(len(levels) - 1, 0, -1):
-        lvl = levels[k]
-        if coef is None:
-            cur = lvl.withColumn("delta", F.lit(0.0))
+    out, coef = [], None
+    target = weights.select(F.col("id").alias("v"), "wout")
+    source = weights.select(F.col("id").alias("s"), "win")
+    for k in range(len(levels) - 1, -1, -1):
+        here = levels[k]
+        if coef is not None:
+            paths = _hub_join(here.select("s", "v"), steps, by_v)
+            pushed = paths.join(coef, ["s", "w"]).groupBy("s", "v").agg(F.sum("coef").alias("acc"))
+            here = here.join(pushed, ["s", "v"], "left")
         else:
-            pushed = (
-                lvl.join(adj, lvl.v == adj.src).select("s", "v", F.col("dst").alias("w"))
-                .join(coef, ["s", "w"])
-                .groupBy("s", "v").agg(F.sum("coef").alias("acc"))
-            )
-            cur = lvl.join(pushed, ["s", "v"], "left").select(
-                "s", "v", "sigma", (F.col("sigma") * F.coalesce(F.col("acc"), F.lit(0.0))).alias("delta")
-            )
-        cur = cut_lineage(cur)
-        deltas.append(cur.select(F.col("v").alias("id"), "delta"))
-        coef = cur.select("s", F.col("v").alias("w"), ((F.lit(1.0) + F.col("delta")) / F.col("sigma")).alias("coef"))
-    out = deltas[0]
-    for d in deltas[1:]:
-        out = out.unionByName(d)
-    return out.groupBy("id").agg(F.sum("delta").alias("bc"))
+            here = here.withColumn("acc", F.lit(0.0))
+        here = here.join(target, "v").join(source, "s")
+        here = cut_lineage(here.select("s", "v", "sigma", "win", "wout", (F.col("sigma") * F.coalesce("acc", F.lit(0.0))).alias("delta")))
+        coef = here.select("s", F.col("v").alias("w"), ((F.col("wout") + F.col("delta")) / F.col("sigma")).alias("coef"))
+        if k:
+            zero = F.lit(0.0)
+            out.append(here.select(F.col("v").alias("id"), (F.col("win") * F.col("delta")).alias("bc"), zero.alias("reach"), F.col("win").alias("reached")))
+            out.append(here.select(F.col("s").alias("id"), zero.alias("bc"), F.col("wout").alias("reach"), zero.alias("reached")))
+    rows = out[0]
+    for more in out[1:]:
+        rows = rows.unionByName(more)
+    return rows.groupBy("id").agg(*[F.sum(c).alias(c) for c in ("bc", "reach", "reached")])
+
+
+def _hub_join(rows: DataFrame, steps: DataFrame, hot: DataFrame | None) -> DataFrame:
+    """``rows`` (s, v, ...) with every step (v, w); the steps of a hub are dealt over salts, and its rows sent to each."""
+    if hot is None:
+        return rows.join(steps, "v")
+    salts = F.coalesce(F.col("_salts"), F.lit(1))
+    dealt = steps.join(F.broadcast(hot), "v", "left").withColumn("_salt", F.pmod(F.xxhash64("w"), salts).cast("int")).drop("_salts")
+    sent = rows.join(F.broadcast(hot), "v", "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
+    return sent.join(dealt, ["v", "_salt"]).drop("_salt")
 
 
 # ---------------------------------------------------------------- modularity / Louvain
