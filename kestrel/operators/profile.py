@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from kestrel.functions.columns import is_missing
-from kestrel.session import scratch_path
+from kestrel.operators.joins import degree_join, salts_of
+from kestrel.session import cut_lineage, scratch_path
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -182,21 +183,14 @@ def correlation(df: DataFrame, columns: list[str] | None = None, method: str = "
 
     Pearson: one pass for means and counts, one flat aggregate of products of
     centred columns. A pair skips rows where either side is NULL; only pairs with
-    such rows need their own ``corr``. Spearman goes through
-    ``pyspark.ml.stat.Correlation`` (rank transform by sort); the k x k matrix is the
-    only thing on the driver.
+    such rows need their own ``corr``. Spearman: Pearson of average ranks, ranked anew for each pair among the rows that have both
+    values (``_spearman``).
     """
     cols = list(columns) if columns else numeric_columns(df)
-    spark = df.sparkSession
+    if method == "spearman":
+        return _spearman(df, cols)
     if method != "pearson":
-        from pyspark.ml.feature import VectorAssembler
-        from pyspark.ml.stat import Correlation
-
-        vec = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="skip").transform(df.select(*[F.col(_q(c)) for c in cols]))
-        m = Correlation.corr(vec, "_v", method).head()[0].toArray()
-        rows = [(a, b, float(m[i][j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
-        return spark.createDataFrame(rows, "col_a string, col_b string, corr double")
-
+        raise ValueError(method)
     x = [F.col(_q(c)).cast("double") for c in cols]
     first = df.agg(F.count(F.lit(1)).alias("n"), *[f(v).alias(f"{k}{i}") for i, v in enumerate(x) for k, f in (("n", F.count), ("m", F.avg))]).head()
     whole = [first[f"n{i}"] == first["n"] and first["n"] > 0 for i in range(len(cols))]
@@ -217,6 +211,51 @@ def correlation(df: DataFrame, columns: list[str] | None = None, method: str = "
     return one.select(F.inline(F.array(*structs)))
 
 
+def _spearman(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Spearman's matrix ``(col_a, col_b, corr)``; a pair leaves out the rows in which either side is NULL or NaN, and no others.
+
+    Per pair the rows are first counted by their two values. The distinct values of each side are sorted over all tasks by a
+    range partitioning and written; a value's average rank follows from the counts before it (those of its range,
+    and the totals of the ranges before). Ranks are joined back with salts for frequent values, and enter the sums
+    centred on their mean, which is known exactly.
+    """
+    spark = df.sparkSession
+    x = [F.col(_q(c)).cast("double") for c in cols]
+    x = [F.when(~F.isnan(v), v) for v in x]
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    both = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), x[i].alias("a"), x[j].alias("b")) for i, j in pairs])
+    rows = df.select(F.explode(both).alias("p")).select("p.*").where("a IS NOT NULL AND b IS NOT NULL")
+    rows = cut_lineage(rows.groupBy("i", "j", "a", "b").agg(F.count(F.lit(1)).alias("n")))
+    for side, rank in (("a", "rank_a"), ("b", "rank_b")):
+        ranks = _average_ranks(rows, side).select(F.struct("i", "j", F.col(side).alias("v")).alias("_key"), F.col("rank").alias(rank))
+        keyed = rows.withColumn("_key", F.struct("i", "j", F.col(side).alias("v")))
+        rows = degree_join(keyed, ranks, "_key", ["a", "b"], salts_of(keyed, "_key")).drop("_key")
+    totals = rows.groupBy("i", "j").agg(F.sum("n").alias("all_n"))
+    # a row per pair of columns
+    rows = rows.join(F.broadcast(totals), ["i", "j"])
+    u, v = (F.col(r) - (F.col("all_n") + 1) / 2 for r in ("rank_a", "rank_b"))
+    sums = rows.groupBy("i", "j").agg(F.sum(F.col("n") * u * v).alias("uv"), F.sum(F.col("n") * u * u).alias("uu"), F.sum(F.col("n") * v * v).alias("vv"))
+    names = spark.createDataFrame([(i, j, cols[i], cols[j]) for i, j in pairs], "i int, j int, col_a string, col_b string")
+    spread = F.sqrt("uu") * F.sqrt("vv")
+    found = F.broadcast(names).join(sums, ["i", "j"], "left").withColumn("corr", F.when(spread > 0, F.col("uv") / spread))
+    mirror = found.where("i <> j").select(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "corr")
+    return found.select("col_a", "col_b", "corr").unionByName(mirror)
+
+
+def _average_ranks(rows: DataFrame, side: str) -> DataFrame:
+    """``(i, j, side, rank)``: average rank of each value among the ``n`` rows of its pair."""
+    counts = rows.groupBy("i", "j", side).agg(F.sum("n").alias("n"))
+    dealt = cut_lineage(counts.repartitionByRange("i", "j", side).withColumn("part", F.spark_partition_id()))
+    pair = Window.partitionBy("i", "j")
+    starts = dealt.groupBy("i", "j", "part").agg(F.sum("n").alias("part_n"))
+    start = F.coalesce(F.sum("part_n").over(pair.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # a row per pair and range
+    starts = F.broadcast(starts.select("i", "j", "part", start.alias("start")))
+    upto = F.sum("n").over(Window.partitionBy("i", "j", "part").orderBy(side).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = dealt.withColumn("upto", upto).join(starts, ["i", "j", "part"])
+    return ranked.select("i", "j", side, (F.col("start") + F.col("upto") - (F.col("n") - 1) / 2).alias("rank"))
+
+
 def top_n(df: DataFrame, n: int, order_by: list) -> DataFrame:
     """First ``n`` rows after an explicit sort (planned as TakeOrderedAndProject)."""
     return df.orderBy(*order_by).limit(n)

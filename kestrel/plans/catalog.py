@@ -81,6 +81,19 @@ def q_spearman(spark, base):
     return _round(profile.correlation(read_table(spark, base, "part").select("p_size", "p_retailprice"), method="spearman"), ["corr"])
 
 
+def q_spearman_gaps(spark, base):
+    """Rank correlation of columns with NULLs in different rows, each pair over its own complete rows."""
+    li = fixtures.gappy_lineitem(spark, base).select("l_quantity", "l_tax", "l_linenumber")
+    return _round(profile.correlation(li, method="spearman"), ["corr"])
+
+
+def q_string_index_inverse(spark, base):
+    """the index table turns indices back into the text they came from."""
+    p = read_table(spark, base, "part").select("p_partkey", "p_brand")
+    out, index = features.string_index(p, ["p_brand"])
+    return index.inverse(out.drop("p_brand"), "p_brand", "p_brand")
+
+
 def q_top_orders(spark, base):
     o = read_table(spark, base, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     return profile.top_n(o, 20, [F.desc("o_totalprice"), F.asc("o_orderkey")])
@@ -589,6 +602,7 @@ QUERIES = {
     "correlation": q_correlation,
     "correlation_gaps": q_correlation_gaps,
     "spearman": q_spearman,
+    "spearman_gaps": q_spearman_gaps,
     "top_orders": q_top_orders,
     "project": q_project,
     "rename": q_rename,
@@ -605,6 +619,7 @@ QUERIES = {
     "epoch_duration": q_epoch_duration,
     "parse_vector": q_parse_vector,
     "string_index": q_string_index,
+    "string_index_inverse": q_string_index_inverse,
     "one_hot": q_one_hot,
     "assemble": q_assemble,
     "text_embedding": q_text_embedding,

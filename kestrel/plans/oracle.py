@@ -192,6 +192,18 @@ def spearman() -> str:
     )
 
 
+def spearman_gaps() -> str:
+    """Correlation of average ranks, ranked for each pair among the rows that have both values."""
+    cols = ["l_quantity", "l_tax", "l_linenumber"]
+    rank = lambda c: f"(rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0)::DOUBLE"
+    return f"WITH t AS {_gappy_lineitem()} " + " UNION ALL ".join(
+        f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr(ra, rb), 6) AS corr FROM "
+        f"(SELECT {rank('x')} AS ra, {rank('y')} AS rb FROM (SELECT CAST({a} AS DOUBLE) AS x, CAST({b} AS DOUBLE) AS y FROM t) "
+        "WHERE x IS NOT NULL AND y IS NOT NULL)"
+        for a in cols for b in cols
+    )
+
+
 def _cleaned_lineitem() -> str:
     """Rows of the batch flow after imputation and the NaN / NULL drop, with the label's index."""
     return (
@@ -447,6 +459,8 @@ def oracle_sql() -> dict[str, str]:
         "epoch_duration": epoch_duration(),
         "parse_vector": parse_vector(),
         "string_index": string_index(),
+        "string_index_inverse": "SELECT p_partkey, p_brand, (dense_rank() OVER (ORDER BY c DESC, p_brand) - 1)::DOUBLE AS \"p_brandVec\" FROM "
+        "(SELECT p_partkey, p_brand, count(*) OVER (PARTITION BY p_brand) AS c FROM part)",
         "one_hot": one_hot(),
         "assemble": (
             "SELECT l_orderkey, CAST(l_linenumber AS DOUBLE) AS label, l_quantity AS f0, l_extendedprice AS f1, "
@@ -488,6 +502,7 @@ def oracle_sql() -> dict[str, str]:
         "summary_text": summary_text(),
         "correlation_gaps": correlation_gaps(),
         "spearman": spearman(),
+        "spearman_gaps": spearman_gaps(),
         "project": "SELECT o_orderpriority, o_orderkey, o_totalprice FROM orders",
         "rename": "SELECT doc_id, quality AS is_good, toxic AS is_toxic FROM labels",
         "impute_overrides": impute_overrides(),

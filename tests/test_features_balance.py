@@ -36,6 +36,39 @@ def test_string_index_matches_sql_rank(spark):
     assert all(r["vVec"] == m[r["v"]] for r in out.collect())
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_label_index_handles_gaps_unseen_values_and_the_way_back(spark, monkeypatch, small):
+    if not small:  # the way of long label lists: frequent values broadcast, the others joined
+        monkeypatch.setattr(features, "BROADCAST_LABELS", 0)
+        monkeypatch.setattr(features, "ROWS_PER_SALT", 2)
+    df = spark.createDataFrame([(i, v, w) for i, (v, w) in enumerate(zip("ccbbbaad", "xyxyxyxy"))], "id long, v string, w string")
+    out, index = features.string_index(df, ["v", "w"])
+    rank = {"b": 0.0, "a": 1.0, "c": 2.0, "d": 3.0}
+    assert out.columns == ["id", "v", "w", "vVec", "wVec"]
+    assert {(r["id"], r["vVec"], r["wVec"]) for r in out.collect()} == {(i, rank[v], float(w == "y")) for i, (v, w) in enumerate(zip("ccbbbaad", "xyxyxyxy"))}
+    back = index.inverse(out.drop("v"), "v", "text")
+    assert {(r["id"], r["text"]) for r in back.collect()} == set(enumerate("ccbbbaad"))
+    new = spark.createDataFrame([(1, None, "x"), (2, "new", "y"), (3, "a", "x")], "id long, v string, w string")
+    index.handle_invalid = "keep"
+    assert {(r["id"], r["vVec"]) for r in index.transform(new).collect()} == {(1, 4.0), (2, 4.0), (3, 1.0)}
+    index.handle_invalid = "skip"
+    assert [r["id"] for r in index.transform(new).collect()] == [3]
+    index.handle_invalid = "error"
+    with pytest.raises(Exception, match="NULL or a value"):
+        index.transform(new).collect()
+
+
+def test_label_index_of_many_values_in_many_ranges(spark):
+    """Dense, without gaps or doubles, in the order of SQL, however the ranges fall."""
+    df = spark.range(5000).selectExpr("id", "concat('k', cast(id * id % 1777 as string)) as v")
+    out, index = features.string_index(df, ["v"])
+    assert index.labels.rdd.getNumPartitions() > 0
+    sql = df.groupBy("v").count().selectExpr("v", "row_number() over (order by count desc, v) - 1 as i")
+    want = {r["v"]: r["i"] for r in sql.collect()}
+    assert {r["value"]: r["label_index"] for r in index.labels.collect()} == want
+    assert out.count() == 5000 and all(want[r["v"]] == r["vVec"] for r in out.collect())
+
+
 def test_assemble_refuses_label_as_feature(spark):
     df = spark.createDataFrame([(1.0, 2.0)], "a double, y double")
     with pytest.raises(ValueError):

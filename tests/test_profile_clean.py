@@ -130,3 +130,23 @@ def test_impute_mean_fills_null_keeps_nan(spark):
 def test_impute_mode(spark):
     df = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "s string")
     assert [r[0] for r in clean.impute_mode(df, ["s"]).collect()] == ["a", "b", "b", "b"]
+
+
+def test_spearman_leaves_out_gaps_pair_by_pair(spark):
+    import random
+
+    import pandas as pd
+
+    rng = random.Random(4)
+    gap = lambda x, p: None if rng.random() < p else x
+    rows = [(gap(float(rng.randint(0, 5)), 0.2), gap(rng.random(), 0.3), gap(float(rng.randint(0, 40)), 0.1), 1.0) for _ in range(300)]
+    rows.append((float("nan"), 1.0, 2.0, 1.0))
+    df = spark.createDataFrame(rows, "a double, b double, c double, same double")
+    got = {(r["col_a"], r["col_b"]): r["corr"] for r in profile.correlation(df, method="spearman").collect()}
+    assert len(got) == 16
+    frame = pd.DataFrame(rows, columns=["a", "b", "c", "same"], dtype=float)
+    for x in "abc":
+        for y in "abc":
+            part = frame[[x, y]].dropna() if x != y else frame[[x]].dropna()
+            assert abs(got[x, y] - part[x].rank().corr(part[y].rank())) < 1e-9
+        assert got[x, "same"] is None
