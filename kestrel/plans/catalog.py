@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from kestrel.functions.columns import bool_text_to_int
-from kestrel.operators import balance, clean, evaluate, features, graph, models, profile
+from kestrel.operators import balance, certificates, clean, evaluate, features, graph, models, profile
 from kestrel.plans import fixtures, flows
 from kestrel.session import cut_lineage, scratch_path
 from kestrel.sources import files
@@ -272,6 +272,36 @@ def q_logistic_optimum(spark, base):
     return rows.agg(F.count(F.lit(1)).alias("n"), F.lit(worst < 1e-4).alias("optimal"))
 
 
+def _node_rows(spark, base):
+    """Nodes with their plain properties as features; label: mature."""
+    nodes = graph.load_nodes(fixtures.graph_node_table(spark, base))
+    flat = nodes.select(F.col("id"), *[F.col(c).cast("double").alias(c) for c in flows.GRAPH_BASIC], F.col("mature").cast("int").alias("label"))
+    flat = cut_lineage(flat)
+    return features.assemble(flat, flows.GRAPH_BASIC, label="label", keep=["id"])
+
+
+def q_elastic_net_optimum(spark, base):
+    """At the settings in use, (.3, .8) on the batch flow and (.03, .3) on nodes, models meet the elastic net's optimality condition."""
+    train, _ = flows.batch_split(spark, base)
+    train = cut_lineage(train.select("features", "label"))
+    nodes = _node_rows(spark, base)
+    out = None
+    for name, rows, (most, reg, net) in (("batch", train, (100, 0.3, 0.8)), ("graph", nodes, (1000, 0.03, 0.3))):
+        model = models.logistic(rows, most, reg, net)
+        worst = certificates.elastic_net_residual(model, rows, reg, net)
+        row = rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("setting"), "n", F.lit(worst < 1e-3).alias("optimal"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def q_forest_replay(spark, base):
+    """M3/M8: depth 20, 21 trees: every split's gain, the importances and the votes of all rows follow from the saved trees."""
+    rows = _node_rows(spark, base)
+    model = models.forest(rows, max_depth=20, num_trees=21, seed=42)
+    seen = certificates.forest_certificate(model, rows, "id", models.feature_names(rows))
+    return seen.select("feature", "splits_fit", "importance_fits", "votes_fit")
+
+
 def q_perceptron(spark, base):
     train, test = flows.batch_split(spark, base)
     m = models.perceptron(train, hidden=(16,), max_iter=100)
@@ -633,6 +663,8 @@ QUERIES = {
     "accuracy": q_accuracy,
     "logistic": q_logistic,
     "logistic_optimum": q_logistic_optimum,
+    "elastic_net_optimum": q_elastic_net_optimum,
+    "forest_replay": q_forest_replay,
     "perceptron": q_perceptron,
     "fit_stages": q_fit_stages,
     "save_load": q_save_load,

@@ -510,6 +510,9 @@ def oracle_sql() -> dict[str, str]:
         "logistic": scored_rows(),
         "perceptron": scored_rows(),
         "fit_stages": scored_rows(),
+        "elastic_net_optimum": f"WITH {GRAPH_CTE}, {_cleaned_lineitem()} SELECT 'batch' AS setting, (SELECT count(*) FROM cleaned) - (SELECT count(*) FROM test) AS n, "
+        "TRUE AS optimal UNION ALL SELECT 'graph', count(*), TRUE FROM nodes",
+        "forest_replay": "SELECT unnest(['days', 'partner', 'views']) AS feature, TRUE AS splits_fit, TRUE AS importance_fits, TRUE AS votes_fit",
         "logistic_optimum": "SELECT count(*) AS n, TRUE AS optimal FROM lineitem",
         "forest_importances": (
             "SELECT feature, CAST(1.0 AS DOUBLE) AS total, TRUE AS is_share FROM (SELECT unnest(["
