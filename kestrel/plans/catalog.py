@@ -308,6 +308,19 @@ def q_perceptron(spark, base):
     return models.scored_rows(models.score(m, test))
 
 
+def q_perceptron_certificate(spark, base):
+    """M2: trained on scaled lineitem columns to tell large discounted quantities, the layers' loss is below the labels' entropy, and
+    their backward pass is the loss's real slope."""
+    li = read_table(spark, base, "lineitem").select(
+        (F.col("l_quantity") / 50.0).cast("double").alias("quantity"), (F.col("l_discount") * 10.0).cast("double").alias("discount"),
+        (F.col("l_tax") * 10.0).cast("double").alias("tax"), (F.col("l_quantity") * (1 - F.col("l_discount")) > 25).cast("double").alias("label"),
+    )
+    train = cut_lineage(features.assemble(li, ["quantity", "discount", "tax"], label="label"))
+    m = models.perceptron(train, hidden=(16,), max_iter=100)
+    seen = certificates.perceptron_certificate(list(m.getLayers()), m.weights.toArray().tolist(), train)
+    return train.agg(F.count(F.lit(1)).alias("n"), *[F.lit(v).alias(k) for k, v in seen.items()])
+
+
 def q_fit_stages(spark, base):
     df = flows.prepared_lineitem(spark, base)
     train, test = balance.hash_split(df, flows.BATCH_KEYS, 0.7)
@@ -603,6 +616,25 @@ def q_stream_train_per_batch(spark, base):
     )
 
 
+def q_stream_metrics_replay(spark, base):
+    """R2: each epoch's four metrics are those that its rows, the split rule and its coefficients give."""
+    enc = _encoded_lineitem(spark, base)
+    src = files.write_features(enc.repartition(3, "l_orderkey"), scratch_path(spark, "encoded-csv"), header=False)
+    out, kept = scratch_path(spark, "train-batches"), scratch_path(spark, "train-rows")
+    s = stream.prepare(stream.read_csv_stream(spark, src, ENCODED_SCHEMA, header=False, max_files_per_trigger=1), {"flag_n": "label"})
+    keys = ["l_orderkey", "l_quantity"]
+    fn = stream.train_per_batch(STREAM_FEATURES, out, key_cols=keys, reg_param=0.001, rows_path=kept)
+    stream.run_batches(s, fn, scratch_path(spark, "train-ckpt"))
+    results = spark.read.parquet(out)
+    again = stream.replay_metrics(spark.read.parquet(kept), results, STREAM_FEATURES, keys)
+    names = ["accuracy", "weighted_precision", "weighted_recall", "weighted_f1", "n", "n_train", "n_test"]
+    both = results.join(again.select("epoch_id", *[F.col(c).alias(f"r_{c}") for c in names]), "epoch_id", "left")
+    equal = F.lit(True)
+    for c in names:
+        equal = equal & F.coalesce(F.abs(F.col(c) - F.col(f"r_{c}")) < 1e-9, F.lit(False))
+    return both.agg(F.count(F.lit(1)).alias("epochs"), F.sum("n_train").alias("n_train"), F.sum("n_test").alias("n_test"), F.min(equal).alias("replayed"))
+
+
 def q_score_stream(spark, base):
     """A re-loaded model scores the stream row by row as it scores the table."""
     enc = _encoded_lineitem(spark, base).withColumnRenamed("flag_n", "label")
@@ -666,6 +698,7 @@ QUERIES = {
     "elastic_net_optimum": q_elastic_net_optimum,
     "forest_replay": q_forest_replay,
     "perceptron": q_perceptron,
+    "perceptron_certificate": q_perceptron_certificate,
     "fit_stages": q_fit_stages,
     "save_load": q_save_load,
     "prediction_preview": q_prediction_preview,
@@ -696,5 +729,6 @@ QUERIES = {
     "declared_layouts": q_declared_layouts,
     "stream_counts": q_stream_counts,
     "stream_train_per_batch": q_stream_train_per_batch,
+    "stream_metrics_replay": q_stream_metrics_replay,
     "score_stream": q_score_stream,
 }

@@ -512,6 +512,7 @@ def oracle_sql() -> dict[str, str]:
         "fit_stages": scored_rows(),
         "elastic_net_optimum": f"WITH {GRAPH_CTE}, {_cleaned_lineitem()} SELECT 'batch' AS setting, (SELECT count(*) FROM cleaned) - (SELECT count(*) FROM test) AS n, "
         "TRUE AS optimal UNION ALL SELECT 'graph', count(*), TRUE FROM nodes",
+        "perceptron_certificate": "SELECT count(*) AS n, TRUE AS below_entropy, TRUE AS slope_agrees FROM lineitem",
         "forest_replay": "SELECT unnest(['days', 'partner', 'views']) AS feature, TRUE AS splits_fit, TRUE AS importance_fits, TRUE AS votes_fit",
         "logistic_optimum": "SELECT count(*) AS n, TRUE AS optimal FROM lineitem",
         "forest_importances": (
@@ -531,6 +532,7 @@ def oracle_sql() -> dict[str, str]:
         "node_features": node_facts(),
         "export_nodes": node_facts(),
         "stream_train_per_batch": stream_training(),
+        "stream_metrics_replay": f"SELECT 3 AS epochs, n_train, n_test, TRUE AS replayed FROM ({stream_training()})",
         "score_stream": (
             "SELECT CASE WHEN l_returnflag = 'N' THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END AS label, "
             "count(*) AS n, count(*) AS n_equal FROM lineitem GROUP BY 1"

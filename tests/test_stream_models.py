@@ -141,6 +141,27 @@ def test_train_per_batch_counts_what_it_trains_on_and_refuses_gaps(spark):
         stream.run_batches(stream.read_csv_stream(spark, src, "label double, x double"), stream.train_per_batch(["x"], scratch_path(spark, "t-gap-out")), scratch_path(spark, "t-gap-ckpt"))
 
 
+def test_replay_gives_each_epochs_metrics_and_names_wrong_coefficients(spark):
+    import random
+
+    rng = random.Random(5)
+    made = [(float(k), rng.gauss(k, 1.2), rng.gauss(-k, 2.0), i) for i in range(300) for k in (rng.randrange(3),)]
+    df = spark.createDataFrame(made, "label double, x double, z double, id long")
+    src = files.write_features(df.repartition(3, "id"), scratch_path(spark, "t-replay"), header=False)
+    out, kept = scratch_path(spark, "t-replay-out"), scratch_path(spark, "t-replay-rows")
+    s = stream.read_csv_stream(spark, src, "label double, x double, z double, id long", max_files_per_trigger=1)
+    stream.run_batches(s, stream.train_per_batch(["x", "z"], out, key_cols=["id"], reg_param=0.01, rows_path=kept), scratch_path(spark, "t-replay-ckpt"))
+    results, rows = spark.read.parquet(out), spark.read.parquet(kept)
+    names = ["accuracy", "weighted_precision", "weighted_recall", "weighted_f1", "n", "n_train", "n_test"]
+    want = {r["epoch_id"]: [r[c] for c in names] for r in results.collect()}
+    got = {r["epoch_id"]: [r[c] for c in names] for r in stream.replay_metrics(rows, results, ["x", "z"], ["id"]).collect()}
+    assert got.keys() == want.keys() and len(got) == 3
+    assert all(abs(a - b) < 1e-9 for e in got for a, b in zip(got[e], want[e], strict=True))
+    wrong = results.withColumn("coefficients", F.reverse("coefficients"))
+    other = {r["epoch_id"]: r["accuracy"] for r in stream.replay_metrics(rows, wrong, ["x", "z"], ["id"]).collect()}
+    assert all(abs(other[e] - want[e][0]) > 0.05 for e in want)
+
+
 def test_model_checks_fail_on_a_damaged_model(spark):
     from pyspark.ml.classification import LogisticRegression
 
