@@ -15,13 +15,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import Word2Vec
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kestrel.functions.columns import bool_text_to_int, parse_vector, to_double
+from kestrel.operators.embedding import BLOCK_WORDS, skip_gram, window_pairs
 from kestrel.operators.joins import ROWS_PER_SALT, SALTED_KEYS, degree_join, salts_of, spread_join
 from kestrel.session import cut_lineage
 from kestrel.sources.files import read_csv, write_features
@@ -804,23 +803,27 @@ def node2vec(
     walks_per_node: int = 10,
     window: int = 10,
     seed: int = 42,
-    num_partitions: int = 8,
     max_iter: int = 1,
+    block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
-    """Node embeddings ``(id, node2vec array<double>)`` from walks + skip-gram Word2Vec.
+    """Node embeddings ``(id, node2vec array<double>)`` from walks and sharded skip-gram (``embedding.skip_gram``).
 
     Defaults follow the common node2vec settings with return and in-out
-    factors 1 (uniform walks); nodes on no walk longer than themselves still
-    get a vector since every node starts walks and ``minCount`` is 0.
+    factors 1 (uniform walks). Nodes on no walk longer than themselves keep their first, hashed vector. The vectors are the same
+    on any number of partitions, and no list of nodes is gathered anywhere.
     """
+    return node2vec_run(nodes, edges, dimension, walk_length, walks_per_node, window, seed, max_iter, block_words)[0]
+
+
+def node2vec_run(nodes, edges, dimension=2, walk_length=80, walks_per_node=10, window=10, seed=42, max_iter=1, block_words=BLOCK_WORDS):
+    """``node2vec`` and the training loss ``(epoch, loss)``."""
     walks = random_walks(nodes, edges, walk_length, walks_per_node, seed)
-    sentences = walks.select(F.transform("path", lambda x: x.cast("string")).alias("sentence"))
-    model = Word2Vec(
-        vectorSize=dimension, windowSize=window, minCount=0, seed=seed, maxIter=max_iter,
-        numPartitions=num_partitions, inputCol="sentence", outputCol="v", maxSentenceLength=max(1000, walk_length),
-    ).fit(sentences)
-    vecs = model.getVectors().select(F.col("word").cast(T.LongType()).alias("id"), vector_to_array("vector").alias("node2vec"))
-    return nodes.select("id").distinct().join(vecs, "id", "left")
+    pairs = window_pairs(walks, "path", window)
+    pairs = cut_lineage(pairs.select(F.col("c").cast("string").alias("c"), F.col("t").cast("string").alias("t"), "n"))
+    kind = dict(nodes.dtypes)["id"]
+    vectors, losses = skip_gram(pairs, nodes.select(F.col("id").cast("string").alias("word")), dimension, max_iter, seed, block_words)
+    ids = nodes.select("id").distinct()
+    return ids.join(vectors.select(F.col("word").cast(kind).alias("id"), F.col("vector").alias("node2vec")), "id", "left"), losses
 
 
 # ---------------------------------------------------------------- write-back / export / summaries
