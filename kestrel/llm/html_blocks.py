@@ -38,7 +38,7 @@ _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 class Block(NamedTuple):
     text: str  # references decoded, white space turned into single blanks, trimmed
-    path: tuple[str, ...]  # tags from the root, each with the words of its class, id and role as ``.word``, once each; the innermost tag again at the end
+    path: tuple[str, ...]  # tags from the root, each with the words of its class, id and role as ``.word``, once each; the innermost tag and its words again at the end
     linked: float  # share of the text that stands in links
 
 
@@ -55,7 +55,7 @@ def blocks(page: str) -> list[Block]:
     """
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
-    block_tags: list[str] = []  # those of the stack that are no inline tags
+    block_tags: list[tuple[str, tuple[str, ...]]] = []  # those of the stack that are no inline tags
     opened: dict[str, int] = {}  # open tags, inline ones too
     on_path: dict[str, int] = {}  # block tags and their names, in the order of opening
     parts: list[str] = []
@@ -100,7 +100,7 @@ def blocks(page: str) -> list[Block]:
         text = m["text"]
         if text is not None:
             if where is None and not text.isspace():
-                where = (*on_path, *block_tags[-1:])
+                where = (*on_path, *(x for tag, names in block_tags[-1:] for x in (tag, *names)))
             parts.append(text)
             n = len(text.strip())
             total += n
@@ -118,7 +118,7 @@ def blocks(page: str) -> list[Block]:
             parts.append(" ")
         if m["end"]:
             # an inline end tag does not reach beyond its block
-            close((tag,), tuple(block_tags[-1:]) if tag in INLINE else ())
+            close((tag,), tuple(t for t, _ in block_tags[-1:]) if tag in INLINE else ())
         elif tag not in VOID:
             if tag not in INLINE:
                 close(("p",), ("table", "td", "button", "li", "div", "section", "article"))
@@ -127,6 +127,6 @@ def blocks(page: str) -> list[Block]:
             stack.append((tag, _names(m["attrs"])))
             enter(*stack[-1], 1)
             if tag not in INLINE:
-                block_tags.append(tag)
+                block_tags.append(stack[-1])
     flush()
     return out
