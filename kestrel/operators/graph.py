@@ -675,10 +675,10 @@ def _agreed_moves(proposals, m, size):
     chosen = sides.groupBy("c").agg(F.max_by(F.struct("enters", "p", "bears", "mass"), "p").alias("x"))
     kept = F.filter(F.sequence(F.lit(0), F.lit(THINNINGS - 1)), lambda i: F.get("x.mass", i) <= F.col("x.bears") / 4)
     chosen = chosen.withColumn("thin", F.get(kept, F.lit(0)))
-    roles = cut_lineage(chosen.select(
+    roles = chosen.select(
         "c", F.col("x.enters").alias("receives"), F.col("x.p.u").alias("first"), F.coalesce("thin", F.lit(THINNINGS)).alias("thin"),
         (F.col("x.p.k") + F.coalesce(F.get("x.mass", F.col("thin")), F.lit(0.0))).alias("mass"),
-    ))
+    )
     gives = roles.where("NOT receives").select("c", F.col("first").alias("f1"), F.col("thin").alias("t1"), F.col("mass").alias("m1"))
     takes = roles.where("receives").select(F.col("c").alias("to"), F.col("first").alias("f2"), F.col("thin").alias("t2"), F.col("mass").alias("m2"))
     pairs = degree_join(proposals, gives, "c", ["u"], _hot_communities(proposals, "c", size))
