@@ -9,8 +9,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from kestrel.llm.common import prepare_python, stored, whole_row, with_row_key
+from kestrel.llm.common import materialise, prepare_python, stored, whole_row, with_row_key
 
 THRESHOLD = 0.7
 # bounds of the labelled sample that voters and classifier are fitted on, by label
@@ -133,9 +134,9 @@ def lexicon(sample: Sample) -> list[int]:
     chosen = np.flatnonzero(pure & (evidence >= np.log(max(len(found), 1) / CHANCE)))
     order = sorted(chosen, key=lambda k: (-evidence[k], sample.names[found[k]]))
     where: dict[int, list[int]] = {int(found[k]): [] for k in order}
-    for d, f in zip(sample.row.tolist(), sample.col.tolist(), strict=True):
-        if f in where:
-            where[f].append(d)
+    hit = np.isin(sample.col, found[chosen])
+    for d, f in zip(sample.row[hit].tolist(), sample.col[hit].tolist(), strict=True):
+        where[f].append(d)
     seen: set[tuple[int, ...]] = set()
     kept = []
     for k in order:
@@ -229,7 +230,11 @@ def fit(texts: list[str], toxic: list[int], stands_for: tuple[float, float] = (1
 
     ``stands_for``: how many labelled documents each clean and each toxic one of the sample stands for.
     """
-    sample = Sample.of(texts, toxic, stands_for)
+    return fit_sample(Sample.of(texts, toxic, stands_for))
+
+
+def fit_sample(sample: Sample) -> Model:
+    """``fit`` on features that are there already; those of under MIN_FIRES documents, patterns apart, may be left out: none of them is used."""
     nothing = Model(float(np.log(0.01 / 0.99)), {})
     if not sample.toxic.any():
         return nothing
@@ -249,10 +254,42 @@ def fit(texts: list[str], toxic: list[int], stands_for: tuple[float, float] = (1
     return Model(bias, weights, [sample.names[v] for v in voters], fires, corr)
 
 
+def _sample_features(batches):
+    for batch in batches:
+        found = [sorted(features(x.as_py())) for x in batch.column("t")]
+        yield pa.RecordBatch.from_pydict({"_d": batch.column("_d"), "_toxic": batch.column("_toxic"), "f": pa.array(found, pa.list_(pa.string()))})
+
+
+def sample_of(rows: DataFrame, sizes: dict[int, int]) -> Sample:
+    """``Sample`` of the chosen documents (``_d, t, _toxic``), whose features tasks find, number and count.
+
+    To the driver come a list of numbers per document and the names of the features that the model can use: patterns and those of
+    MIN_FIRES documents. Names and lists are in the order of ``Sample.of``: by the first document that has them, then by name.
+    """
+    prepare_python(rows.sparkSession)
+    kinds = dict(rows.dtypes)
+    found = rows.mapInArrow(_sample_features, f"_d {kinds['_d']}, _toxic {kinds['_toxic']}, f array<string>")
+    found = materialise(found, "sample")
+    each = found.select("_d", F.explode("f").alias("f"))
+    used = each.groupBy("f").agg(F.count(F.lit(1)).alias("c"), F.min("_d").alias("first")).where((F.col("c") >= MIN_FIRES) | F.col("f").startswith("~"))
+    used = materialise(used.select("f", (F.row_number().over(Window.orderBy("first", "f")) - 1).alias("k")), "sample-names")
+    lists = each.join(used, "f").groupBy("_d").agg(F.transform(F.array_sort(F.collect_list(F.struct("f", "k"))), lambda x: x["k"]).alias("ks"))
+    known = found.select("_d", "_toxic").join(lists, "_d", "left").orderBy("_d")
+    known = known.select(F.col("_toxic").cast("double").alias("y"), F.coalesce("ks", F.array().cast("array<int>")).alias("ks")).toArrow().combine_chunks()
+    names = used.orderBy("k").select("f").toArrow()["f"].to_pylist()
+    toxic = known["y"].to_numpy()
+    lists = known["ks"].combine_chunks()
+    row = np.repeat(np.arange(len(toxic), dtype=np.int32), lists.value_lengths().to_numpy(zero_copy_only=False))
+    taken = [min(sizes.get(0, 0), SAMPLE_CLEAN), min(sizes.get(1, 0), SAMPLE_TOXIC)]
+    stands_for = [sizes.get(label, 0) / n if n else 1.0 for label, n in enumerate(taken)]
+    weight = np.where(toxic > 0, stands_for[1], stands_for[0])
+    return Sample(names, row, lists.flatten().to_numpy(), toxic, weight / max(weight.mean(), 1e-12) if len(weight) else weight)
+
+
 def sample_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Fit on up to SAMPLE_TOXIC + SAMPLE_CLEAN labelled documents, chosen by a hash of their id.
 
-    Only labels of rows that are not ``held_out`` are read. Of several labels of a document the
+    The texts stay in the tasks (``sample_of``). Only labels of rows that are not ``held_out`` are read. Of several labels of a document the
     highest counts; of several rows of an id one. Documents of the sample are weighted by the share of their label that is in
     it, so that the classes' balance is that of all labelled rows whatever the table's size.
     """
@@ -269,11 +306,8 @@ def sample_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     # a table of SAMPLE_TOXIC + SAMPLE_CLEAN rows at most
     chosen = F.broadcast(pick(1, SAMPLE_TOXIC).union(pick(0, SAMPLE_CLEAN)))
     texts = docs.select(F.col(id_col).alias("_i"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    rows = texts.join(chosen, F.col("_i") == F.col("_d")).select("_d", "t", "_toxic").collect()
-    rows = sorted({r["_d"]: r for r in sorted(rows, key=lambda r: (r["_d"], r["t"]))}.values(), key=lambda r: r["_d"])
-    taken = [min(sizes.get(0, 0), SAMPLE_CLEAN), min(sizes.get(1, 0), SAMPLE_TOXIC)]
-    stands_for = tuple(sizes.get(label, 0) / n if n else 1.0 for label, n in enumerate(taken))
-    return fit([r["t"] for r in rows], [r["_toxic"] for r in rows], stands_for)
+    rows = texts.join(chosen, F.col("_i") == F.col("_d")).groupBy("_d").agg(F.max(F.struct("t", "_toxic")).alias("m")).select("_d", "m.*")
+    return fit_sample(sample_of(rows, sizes))
 
 
 def _score(model: Model):

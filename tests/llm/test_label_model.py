@@ -57,3 +57,23 @@ def test_a_score_of_exactly_the_threshold_is_toxic(spark, tmp_path):
     model = toxicity.Model(0.0, {})
     rows = toxicity.score(spark.read.parquet(path), model, threshold=0.5).collect()
     assert {(r["score"], r["predicted"]) for r in rows} == {(0.5, 1)}
+
+
+def test_the_sample_comes_without_texts_and_rare_features_and_gives_the_same_model(spark):
+    texts = [f"wort{k} shared{k % 7} {'you are an idiot scum' if k % 5 == 0 else 'kind words'} {k % 40}" for k in range(400)] + ["", "die!!!"]
+    rows = [(k, t, int(k % 5 == 0)) for k, t in enumerate(texts)]
+    chosen = spark.createDataFrame(rows, "_d long, t string, _toxic int")
+    sizes = {0: sum(not r[2] for r in rows), 1: sum(r[2] for r in rows)}
+    whole, part = toxicity.Sample.of(texts, [r[2] for r in rows]), toxicity.sample_of(chosen.repartition(5), sizes)
+    assert len(part.toxic) == len(texts) and len(part.names) < 100 < len(whole.names)
+    assert part.names == [whole.names[k] for k in sorted(set(whole.col[np.isin(whole.col, [i for i, c in enumerate(np.bincount(whole.col)) if c >= toxicity.MIN_FIRES or whole.names[i][0] == "~"])].tolist()))]
+    a, b = toxicity.fit_sample(whole), toxicity.fit_sample(part)
+    assert a.bias == b.bias and a.weights == b.weights and a.voters == b.voters and a.weights
+
+
+def test_rows_that_share_an_id_are_one_document_of_the_sample(spark):
+    docs = spark.createDataFrame([(3, "a b"), (3, "c d"), (5, None), (6, "e f")], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 1) for k in range(30)], "doc_id long, toxic int")
+    assert toxicity.sample_model(docs, labels).weights == {}
+    none = toxicity.sample_of(spark.createDataFrame([], "_d long, t string, _toxic int"), {})
+    assert len(none.toxic) == 0 and none.names == []
