@@ -82,7 +82,8 @@ def salted_join(
 ) -> DataFrame:
     """Equi-join (nulls match nulls) in which a hot key of ``big`` is dealt to ``salts`` tasks.
 
-    ``small`` has at most one row per key and is repeated ``salts`` times.
+    ``small`` has at most one row per key and is repeated ``salts`` times. The repeated side is never broadcast: the planner
+    takes it for as small as it was before.
     """
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in salt_of]), F.lit(salts)).cast("int")
     left = big.withColumn("_salt", salt)
@@ -90,7 +91,7 @@ def salted_join(
         *[F.col(k).alias(f"_r_{k}") for k in keys],
         *[c for c in small.columns if c not in keys],
         F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_r_salt"),
-    )
+    ).hint("merge")
     cond = left["_salt"] == right["_r_salt"]
     for k in keys:
         cond = cond & left[k].eqNullSafe(right[f"_r_{k}"])

@@ -272,12 +272,13 @@ def near_duplicates(
     order = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id"), F.col("_row")))
     fps = rows.groupBy("fp").agg(order.alias("first"))
     roots = components(fingerprint_links(fps.select("fp"), bits)).select(F.col("u").alias("fp"), "root")
-    named = fps.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    # written tables with a row per fingerprint or linked fingerprint are small in their files, not in a broadcast
+    named = fps.join(roots.hint("merge"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     best = named.groupBy("root").agg(F.min("first").alias("best"))
     named = salted_join(named.select("fp", "root"), best, ["root"], ["fp"])
     # two written tables: a fingerprint that many rows share is split by Spark's skew join
     named = materialise(named.select(F.col("fp").alias("_fp"), "best"), "simhash-named")
-    out = rows.join(named, F.col("fp") == F.col("_fp"))
+    out = rows.join(named.hint("merge"), F.col("fp") == F.col("_fp"))
     return out.select("_row", "doc_id", "fp", F.col("best.doc_id").alias("component_id"), F.col("best._row").alias("keep_row"))
 
 
